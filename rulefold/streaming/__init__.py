@@ -1,0 +1 @@
+"""Intentionally empty: findings are consolidated in batch, there is no stream to read."""
