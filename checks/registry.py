@@ -274,7 +274,7 @@ def exclusive_association(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_without_group_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = assign_rules(narrow_findings(spark, sf_dir), RULES, unique_ids=True)
-    return assigned.groupBy("rule_number").agg(F.sum(COPIES).alias("findings"))
+    return assigned.groupBy("rule_number").agg(F.count(F.lit(1)).alias("findings"))
 
 
 def rollup_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +328,7 @@ def rules_with_excluder(spark: SparkSession, sf_dir: str) -> DataFrame:
     barred = excluder(source(spark, sf_dir, "orders"))
     assigned = assign_rules(narrow_findings(spark, sf_dir), rules, unique_ids=True, excluder=barred)
     return assigned.groupBy("rule_number", F.col(GROUP_KEY)[0].alias("group_name")).agg(
-        F.sum(COPIES).alias("findings")
+        F.count(F.lit(1)).alias("findings")
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from rulefold.functions.identity import group_key
 from rulefold.functions.predicates import FilterCompiler, FilterError
 from rulefold.operators.exclusions import excluded_rules, is_excluded, with_excluded_rules
-from rulefold.operators.skew import COPIES
+from rulefold.operators.skew import COPIES, copies_of
 from rulefold.schemas import TABLES
 from rulefold.sources.rules import Rule, in_order
 
@@ -99,9 +99,10 @@ def assign_rules(
 ) -> DataFrame:
     """Give each finding its rule and group key.
 
-    Returns ``[tenant,] finding_id, rule_number, group_key, *payload, row_copies``, equal
-    rows counted together. ``rule_number`` is the position in the sorted list of all
-    rules. Findings no rule takes are absent.
+    Returns ``[tenant,] finding_id, rule_number, group_key, *payload`` and, unless every
+    row stands for itself alone, ``row_copies``: equal rows are counted together.
+    ``rule_number`` is the position in the sorted list of all rules. Findings no rule takes
+    are absent.
 
     fanout: ``rows`` keeps a finding as often as it occurs, ``distinct`` once per group
         (with the smallest payload values).
@@ -140,26 +141,21 @@ def assign_rules(
         all_steps = steps(rules)
         number, key, several = _first_rule(all_steps), _key_of(all_steps), len(all_steps) > 1
 
-    copies = F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("long")
+    weights = [COPIES] if COPIES in df.columns and fanout == "rows" else []
     matched = (
         scope.withColumn(RULE_NUMBER, number.cast("int"))
         .where(F.col(RULE_NUMBER).isNotNull())
-        .select(
-            *finding, RULE_NUMBER, key.cast("array<string>").alias(GROUP_KEY), *payload, copies.alias(COPIES)
-        )
+        .select(*finding, RULE_NUMBER, key.cast("array<string>").alias(GROUP_KEY), *payload, *weights)
     )
     if unique_ids:
-        return matched if fanout == "rows" else matched.withColumn(COPIES, F.lit(1).cast("long"))
+        return matched
 
     # equal rows become one before findings are compared, also on the map side
+    by_group = [*finding, RULE_NUMBER, GROUP_KEY]
     if fanout == "rows":
-        kept = matched.groupBy(*finding, RULE_NUMBER, GROUP_KEY, *payload).agg(F.sum(COPIES).alias(COPIES))
+        kept = matched.groupBy(*by_group, *payload).agg(F.sum(copies_of(matched)).alias(COPIES))
     else:
-        kept = (
-            matched.groupBy(*finding, RULE_NUMBER, GROUP_KEY)
-            .agg(*[F.min(c).alias(c) for c in payload])
-            .withColumn(COPIES, F.lit(1).cast("long"))
-        )
+        kept = matched.groupBy(*by_group).agg(*[F.min(c).alias(c) for c in payload])
     if not several:
         return kept
     winner = F.min(RULE_NUMBER).over(Window.partitionBy(*finding))

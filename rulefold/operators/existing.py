@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulefold.operators.skew import COPIES, COPY_NUMBER
+from rulefold.operators.skew import COPY_NUMBER, copies_of
 
 # The states of a group in a change plan.
 NEW, MATCHED, VANISHED = "new", "matched", "vanished"
@@ -35,8 +35,7 @@ def ungrouped_findings(
     of about ``part_size`` or of 1/100000 of all rows, whichever is more, so a hot group
     yields several parts.
     """
-    copies = F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("long")
-    counts = df.groupBy(*group_by).agg(F.sum(copies).alias("__rows"))
+    counts = df.groupBy(*group_by).agg(F.sum(copies_of(df)).alias("__rows"))
     limit = counts.agg(
         F.greatest(F.lit(part_size), F.ceil(F.sum("__rows") / 100_000)).alias("limit")
     ).scalar()

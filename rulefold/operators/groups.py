@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rulefold.functions.identity import group_identifier, readable_identifier
 from rulefold.operators.assign import GROUP_KEY, RULE_NUMBER, Rules, assign_rules
-from rulefold.operators.skew import COPIES, COPY_NUMBER, expand_copies, materialize
+from rulefold.operators.skew import COPY_NUMBER, copies_of, expand_copies, materialize
 from rulefold.sources.rules import Rule
 
 LIST_LIMIT = 1_000_000
@@ -50,8 +50,8 @@ def group_findings(
     if reuse:
         assigned = materialize(assigned)
     return Grouping(
-        association(assigned, id_style, tenant),
-        rollup(assigned, id_style, lists, list_limit, tenant),
+        association(assigned, id_style, tenant, stored=reuse),
+        rollup(assigned, id_style, lists, list_limit, tenant, stored=reuse),
         assigned,
     )
 
@@ -77,17 +77,22 @@ def _group(tenant: str | None) -> list[str]:
     return ([tenant] if tenant else []) + [RULE_NUMBER, GROUP_KEY]
 
 
-def association(assigned: DataFrame, id_style: str = "compat", tenant: str | None = None) -> DataFrame:
+def association(
+    assigned: DataFrame, id_style: str = "compat", tenant: str | None = None, stored: bool = False
+) -> DataFrame:
     """One row per group and finding, as often as the finding occurs in the group.
 
     A projection of the assigned rows: no list is collected to be taken apart again.
+    ``stored`` says that ``assigned`` is cheap to read twice.
     """
-    rows = expand_copies(assigned, "finding_id")
+    rows = expand_copies(assigned, "finding_id", stored)
     return rows.select(*([tenant] if tenant else []), *_identifiers(id_style), "finding_id")
 
 
 def group_counts(assigned: DataFrame, tenant: str | None = None) -> DataFrame:
-    return assigned.groupBy(*_group(tenant)).agg(F.sum(COPIES).alias("findings_count"))
+    return assigned.groupBy(*_group(tenant)).agg(
+        F.sum(copies_of(assigned)).alias("findings_count")
+    )
 
 
 def rollup(
@@ -96,6 +101,7 @@ def rollup(
     lists: bool = True,
     list_limit: int = LIST_LIMIT,
     tenant: str | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per group: identifiers, finding ids, cloud accounts, count, rule number.
 
@@ -124,7 +130,7 @@ def rollup(
     )
     spread = F.xxhash64("finding_id", COPY_NUMBER)
     entries = (
-        expand_copies(assigned, "finding_id")
+        expand_copies(assigned, "finding_id", stored)
         .join(F.broadcast(cut), group, "left")
         .withColumn("list_part", F.pmod(spread, F.coalesce(F.col("__parts"), F.lit(1))).cast("int"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rulefold.operators.assign import GROUP_KEY, RULE_NUMBER
-from rulefold.operators.skew import COPIES
+from rulefold.operators.skew import copies_of
 
 
 def schema_differences(df: DataFrame, schema: T.StructType) -> dict[str, list[str]]:
@@ -56,7 +56,7 @@ def association_difference(expected: DataFrame, actual: DataFrame, distinct: boo
 def run_report(assigned: DataFrame) -> DataFrame:
     """Groups, distinct findings and rows per rule, from one pass over the assignment."""
     per_group = assigned.groupBy(RULE_NUMBER, GROUP_KEY).agg(
-        F.sum(COPIES).alias("rows"), F.count_distinct("finding_id").alias("findings")
+        F.sum(copies_of(assigned)).alias("rows"), F.count_distinct("finding_id").alias("findings")
     )
     return per_group.groupBy(RULE_NUMBER).agg(
         F.count(F.lit(1)).alias("groups"),

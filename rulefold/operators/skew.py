@@ -120,29 +120,39 @@ def copies_by_key(
     )
 
 
-def expand_copies(df: DataFrame, spread_by: str, per_piece: int = COPIES_PER_PIECE) -> DataFrame:
+def copies_of(df: DataFrame) -> Column:
+    """How many rows each row of ``df`` stands for; one where it has no such column."""
+    return F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("long")
+
+
+def expand_copies(
+    df: DataFrame, spread_by: str, stored: bool = False, per_piece: int = COPIES_PER_PIECE
+) -> DataFrame:
     """One row per copy; replaces ``row_copies`` by ``copy_number`` (from 0).
 
-    Rows with more copies than ``per_piece`` are first cut into pieces and the pieces
-    shuffled, so no task writes out all copies of a hot row and no array of them exists.
+    Rows are cut into pieces of at most ``per_piece`` copies and the pieces shuffled, so
+    no task writes out all copies of a hot row and no array of them exists. A ``stored``
+    input, which is cheap to read twice, is shuffled only where rows exceed one piece.
     """
-    copies = F.col(COPIES)
+    if COPIES not in df.columns:
+        return df.withColumn(COPY_NUMBER, F.lit(0).cast("long"))
+    copies, piece = F.col(COPIES), F.col("__piece")
     others = [c for c in df.columns if c != COPIES]
 
     def numbered(first: Column, size: Column) -> Column:
         return F.explode(F.sequence(first, first + size - 1)).alias(COPY_NUMBER)
 
-    few = df.where(copies <= per_piece).select(*others, numbered(F.lit(0).cast("long"), copies))
-    pieces = (
-        df.where(copies > per_piece)
-        .withColumn(
-            "__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / per_piece)))
-        )
-        .repartition(F.col(spread_by), F.col("__piece"))
-    )
-    first = F.col("__piece") * per_piece
-    many = pieces.select(*others, numbered(first, F.least(F.lit(per_piece).cast("long"), copies - first)))
-    return few.unionByName(many)
+    def spread(rows: DataFrame) -> DataFrame:
+        last = ((copies - 1) / per_piece).cast("long")
+        pieces = rows.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        size = F.least(F.lit(per_piece).cast("long"), copies - piece * per_piece)
+        shuffled = pieces.repartition(F.col(spread_by), piece)
+        return shuffled.select(*others, numbered(piece * per_piece, size))
+
+    if not stored:
+        return spread(df)
+    whole = df.where(copies <= per_piece).select(*others, numbered(F.lit(0).cast("long"), copies))
+    return whole.unionByName(spread(df.where(copies > per_piece)))
 
 
 def materialize(df: DataFrame) -> DataFrame:

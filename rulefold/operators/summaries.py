@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rulefold.operators.skew import COPIES
+from rulefold.operators.skew import copies_of
 
 # Status categories, and the key that stands for "open, without a status".
 OPEN, FIXED, IGNORED = "OPEN", "FIXED", "IGNORED"
@@ -183,7 +183,6 @@ def most_common(df: DataFrame, group_by: Sequence[str], fields: dict[str, str])
     values are ever held in one place, as they are in ``mode``.
     """
     types = {f.name: f.dataType for f in df.schema}
-    copies = F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("long")
     numeric = {out: isinstance(types[c], T.IntegralType) for out, c in fields.items()}
     entries = [
         F.struct(
@@ -194,7 +193,7 @@ def most_common(df: DataFrame, group_by: Sequence[str], fields: dict[str, str])
         for n, (out, c) in enumerate(fields.items())
     ]
     counted = (
-        df.select(*group_by, copies.alias("__n"), F.explode(F.array(*entries)).alias("__entry"))
+        df.select(*group_by, copies_of(df).alias("__n"), F.explode(F.array(*entries)).alias("__entry"))
         .select(*group_by, "__n", "__entry.*")
         .groupBy(*group_by, "field", "number", "text")
         .agg(F.sum("__n").alias("__n"))
