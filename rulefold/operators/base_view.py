@@ -171,31 +171,32 @@ def _in(df: DataFrame, shared: Sequence[str]) -> list[str]:
     return [c for c in shared if c in df.columns]
 
 
-def _renamed(df: DataFrame, table: str, columns: list[str]) -> list[Column]:
-    return [F.col(c).alias(view_name_of(table, c)) for c in columns if c in df.columns]
+def _renamed(df: DataFrame, table: str, columns: list[str]) -> list[str]:
+    """Projections of the columns ``df`` has, under their names in the view."""
+    return [f"{c} AS {view_name_of(table, c)}" for c in columns if c in df.columns]
 
 
 def _findings(df: DataFrame, shared: Sequence[str]) -> DataFrame:
     columns = VIEW_COLUMNS["findings"] + SUMMARY_COLUMNS["findings"]
     columns += [c for c in OPTIONAL_FINDING_COLUMNS if c in df.columns]
-    own_category = [F.col("category").alias("finding_category")] if "category" in df.columns else []
-    return df.where(F.col("package_name").isNotNull()).select(
+    own_category = ["category AS finding_category"] if "category" in df.columns else []
+    return df.where(F.col("package_name").isNotNull()).selectExpr(
         *shared, *_renamed(df, "findings", columns), *own_category
     )
 
 
 def _resources(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame:
     df = tables["plain_resources"]
-    resources = df.select(
+    resources = df.selectExpr(
         *_in(df, shared),
-        F.col("id").alias("__resource"),
+        "id AS __resource",
         *_renamed(df, "plain_resources", VIEW_COLUMNS["plain_resources"]),
     )
     scopes = tables.get("resource_to_scopes")
     if scopes is None:
         with_scopes = resources.withColumn("scope_ids", F.lit(None).cast("array<long>"))
     else:
-        side = scopes.select(*_in(scopes, shared), F.col("resource_id").alias(_KEY), "scope_ids")
+        side = scopes.selectExpr(*_in(scopes, shared), f"resource_id AS {_KEY}", "scope_ids")
         with_scopes = _join_on_key(resources, side, "__resource", "left", _in(df, shared))
     return with_scopes.withColumnRenamed("__resource", _KEY)
 
@@ -206,9 +207,9 @@ def _groups(
     df = tables.get("aggregation_groups")
     if df is None:
         df = findings.sparkSession.createDataFrame([], schema_of("aggregation_groups"))
-    return df.select(
+    return df.selectExpr(
         *_in(df, shared),
-        F.col("id").alias(_KEY),
+        f"id AS {_KEY}",
         *_renamed(df, "aggregation_groups", VIEW_COLUMNS["aggregation_groups"]),
     )
 
@@ -216,9 +217,9 @@ def _groups(
 def _scores(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame:
     df = tables["findings_scores"]
     columns = VIEW_COLUMNS["findings_scores"] + SUMMARY_COLUMNS["findings_scores"]
-    scores = df.select(
+    scores = df.selectExpr(
         *_in(df, shared),
-        F.col("finding_id").alias(_KEY),
+        f"finding_id AS {_KEY}",
         *_renamed(df, "findings_scores", columns),
         "scoring_rule_id",
     )
@@ -243,15 +244,15 @@ def _scores(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame
 def _status(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame:
     df, statuses = tables["user_status"], tables["statuses"]
     columns = VIEW_COLUMNS["user_status"] + SUMMARY_COLUMNS["user_status"]
-    user_status = df.select(
-        *_in(df, shared), F.col("id").alias(_KEY), *_renamed(df, "user_status", columns)
+    user_status = df.selectExpr(
+        *_in(df, shared), f"id AS {_KEY}", *_renamed(df, "user_status", columns)
     )
-    named = statuses.select(
+    named = statuses.selectExpr(
         *_in(statuses, shared),
-        F.col("key").alias("__status"),
-        F.col("key").alias("status_key"),
+        "key AS __status",
+        "key AS status_key",
         "category",
-        F.col("category").alias("status_category"),
+        "category AS status_category",
     )
     return skew_join(
         user_status, named, "actual_status_key", "__status", "inner", _KEY, shared=_in(df, shared)
@@ -315,10 +316,10 @@ def _with_scopes(
     groups = tables.get("scope_groups")
     if groups is None:
         return rows
-    named = groups.select(
+    named = groups.selectExpr(
         *_in(groups, shared),
-        F.col("id").alias(_KEY),
-        F.col("id").alias("scope_group"),
-        F.col("name").alias("scope_group_name"),
+        f"id AS {_KEY}",
+        "id AS scope_group",
+        "name AS scope_group_name",
     )
     return skew_join(rows, named, "scope_id", _KEY, "left", "finding_id", shared=shared)

@@ -76,7 +76,8 @@ def skew_join(
     for c in shared:
         same = same & (F.col(c) == F.col(f"__right_{c}"))
     if fits_broadcast(right):
-        return left.join(right, (F.col(left_key) == F.col("__right_key")) & same, how).select(*columns)
+        joined = left.join(right, (F.col(left_key) == F.col("__right_key")) & same, how)
+        return joined.drop("__right_key", *[f"__right_{c}" for c in shared])
 
     # at most MAX_HOT_KEYS rows by construction
     hot = F.broadcast(hot_keys(hot_from if hot_from is not None else left, left_key))

@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )
