@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulefold.operators.skew import skew_join
 
 # Types of the test tables, so that reading them infers nothing.
 SOURCES = {
@@ -176,11 +177,17 @@ def excluder(orders: DataFrame) -> DataFrame:
     )
 
 
-def published_groups(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Groups of an earlier run over (source, account): some missing, locked or outdated."""
-    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
+def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the customer's segment and nation."""
+    orders, customer, nation = (source(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", "c_mktsegment", "n_name", "n_regionkey"
     )
+    return skew_join(orders, customers, "o_custkey", "c_custkey", "inner", "o_orderkey")
+
+
+def published_groups(placed: DataFrame) -> DataFrame:
+    """Groups of an earlier run over (source, account): some missing, locked or outdated."""
     return (
         placed.groupBy("o_orderstatus", "n_name")
         .agg(F.min("o_orderkey").alias("id"))

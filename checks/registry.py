@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import excluder, finding_tables, published_groups, source
+from checks.fixtures import excluder, finding_tables, placed_orders, published_groups, source
 from rulefold.functions.identity import group_key, run_identifier
 from rulefold.functions.predicates import compile_filter
 from rulefold.operators.assign import GROUP_KEY, assign_rules, with_table_structs
@@ -28,7 +28,7 @@ from rulefold.operators.quality import (
     run_totals,
     unmatched_findings,
 )
-from rulefold.operators.skew import COPIES
+from rulefold.operators.skew import COPIES, skew_join
 from rulefold.operators.summaries import FIRST_OPEN_OR_MODE, summarize
 from rulefold.sources.ingest import id_ranges
 from rulefold.sources.rules import Rule, parse_rules
@@ -40,18 +40,13 @@ IDS = ["group_identifier", "group_identifier_readable"]
 
 def narrow_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings with the few columns simple rules need, one row each."""
-    orders, customer, nation = (source(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .selectExpr(
-            "o_orderkey AS finding_id",
-            "nullif(o_orderpriority, '4-NOT SPECIFIED') AS package_name",
-            "o_orderstatus AS source",
-            "c_mktsegment AS resource_type",
-            "n_regionkey AS tenant",
-            "CASE WHEN c_custkey % 10 <> 0 THEN n_name END AS cloud_account",
-        )
+    return placed_orders(spark, sf_dir).selectExpr(
+        "o_orderkey AS finding_id",
+        "nullif(o_orderpriority, '4-NOT SPECIFIED') AS package_name",
+        "o_orderstatus AS source",
+        "c_mktsegment AS resource_type",
+        "n_regionkey AS tenant",
+        "CASE WHEN o_custkey % 10 <> 0 THEN n_name END AS cloud_account",
     )
 
 
@@ -203,21 +198,27 @@ def first_array_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_existing_group(tables: Mapping[str, DataFrame], *columns: str) -> DataFrame:
+    """Findings with the group they name, where it exists."""
+    findings = tables["findings"].select(F.col("id").alias("finding_id"), "aggregation_group_id", *columns)
+    groups = tables["aggregation_groups"].select(
+        F.col("id").alias("group"), F.col("id").alias("existing_group_id"), "main_finding_id"
+    )
+    return skew_join(findings, groups, "aggregation_group_id", "group", "left", "finding_id")
+
+
 def existing_groups_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = finding_tables(spark, sf_dir)
-    findings = tables["findings"].select(F.col("id").alias("finding_id"), "aggregation_group_id")
-    groups = tables["aggregation_groups"].select(F.col("id").alias("group_id"), "main_finding_id")
-    joined = findings.join(groups, F.col("aggregation_group_id") == F.col("group_id"), "left")
     kept = existing_group_filter(
         F.col("finding_id"), F.col("aggregation_group_id"), F.col("main_finding_id")
     )
-    return joined.where(kept).select("finding_id", "main_finding_id")
+    rows = with_existing_group(finding_tables(spark, sf_dir)).where(kept)
+    return rows.select("finding_id", "main_finding_id")
 
 
 def id_range_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows each batch of an import would read, ids above 11,999 left out."""
+    """The rows each batch of an import would read, for a sixteenth of the ids per batch."""
     tables = FrameSource({"lineitem": source(spark, sf_dir, "lineitem")})
-    ranges = id_ranges(tables.id_bounds(spark, "lineitem", "l_orderkey"), 1000, max_id=11_999)
+    low, high = tables.id_bounds(spark, "lineitem", "l_orderkey")
     batches = [
         tables.read_ids(spark, "lineitem", "l_orderkey", ids.low, ids.high, 1)
         .select(
@@ -227,7 +228,7 @@ def id_range_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .groupBy("batch", "low_id", "high_id")
         .agg(F.count(F.lit(1)).alias("table_rows"))
-        for number, ids in enumerate(ranges)
+        for number, ids in enumerate(id_ranges((low, high), (high - low) // 16 + 1))
     ]
     union = batches[0]
     for batch in batches[1:]:
@@ -336,8 +337,7 @@ def _computed_and_published(spark: SparkSession, sf_dir: str) -> tuple[DataFrame
     groups = create_groups(
         narrow_findings(spark, sf_dir), ["source", "cloud_account"], unique_ids=True, lists=False, reuse=False
     )
-    orders, customer, nation = (source(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    return groups.rollup, published_groups(orders, customer, nation)
+    return groups.rollup, published_groups(placed_orders(spark, sf_dir))
 
 
 def match_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,11 +351,8 @@ def plan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ungrouped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = finding_tables(spark, sf_dir)
-    findings = tables["findings"].select(F.col("id").alias("finding_id"), "rule_id", "aggregation_group_id")
-    groups = tables["aggregation_groups"].select(F.col("id").alias("existing_group_id"))
-    joined = findings.join(groups, F.col("aggregation_group_id") == F.col("existing_group_id"), "left")
-    lists = ungrouped_findings(joined, ["rule_id"], "existing_group_id")
+    rows = with_existing_group(finding_tables(spark, sf_dir), "rule_id")
+    lists = ungrouped_findings(rows, ["rule_id"], "existing_group_id")
     ids = F.array_sort(F.col("finding_ids_without_group").cast("array<string>"))
     return lists.select("rule_id", F.array_join(ids, ",").alias("finding_ids_without_group"))
 

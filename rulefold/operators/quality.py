@@ -82,9 +82,13 @@ def unmatched_findings(tables: dict[str, DataFrame]) -> DataFrame:
     findings = tables["findings"].where(F.col("package_name").isNotNull())
 
     def lacking(key: str, other: DataFrame, other_key: str, name: str) -> DataFrame:
+        # counted per key first, so that a hot key meets the other side as one row
+        per_key = findings.groupBy(key).agg(F.count(F.lit(1)).alias("findings"))
+        if name == "group":
+            per_key = per_key.where(F.col(key).isNotNull())
         known = other.select(F.col(other_key).alias(key)).distinct()
-        missing = findings.where(F.col(key).isNotNull()) if name == "group" else findings
-        return missing.join(known, key, "left_anti").agg(F.count(F.lit(1)).alias(f"without_{name}"))
+        missing = per_key.join(known, key, "left_anti")
+        return missing.agg(F.coalesce(F.sum("findings"), F.lit(0)).alias(f"without_{name}"))
 
     with_status = tables["user_status"].join(
         tables["statuses"].select(F.col("key").alias("actual_status_key")).distinct(),

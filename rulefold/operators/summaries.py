@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rulefold.operators.skew import copies_of
+from rulefold.operators.skew import COPIES, copies_of, materialize
 
 # Status categories, and the key that stands for "open, without a status".
 OPEN, FIXED, IGNORED = "OPEN", "FIXED", "IGNORED"
@@ -34,6 +34,10 @@ def first_open(field: str) -> Column:
     return F.min(with_value)[field]
 
 
+def first_open_or_empty(field: str) -> Column:
+    return F.coalesce(first_open(field), F.lit(""))
+
+
 def same_or_default(field: str, default: str = "") -> Column:
     """The value, where all that are set agree, else the default. For text columns."""
     return F.when(F.min(field) == F.max(field), F.min(field)).otherwise(F.lit(default))
@@ -74,17 +78,14 @@ def flag(field: str) -> Column:
 class Summary:
     """An output column: a map-side combinable aggregate, a most common value, or both.
 
-    With both, the most common value fills in where the aggregate is NULL.
+    With both, the most common value fills in where the aggregate is NULL. ``reads`` names
+    the columns of the aggregate, beyond finding id and status.
     """
 
     name: str
     aggregate: Callable[[], Column] | None = None
     mode_of: str | None = None
-
-
-def _first_open_or_mode(name: str, field: str | None = None) -> Summary:
-    source = field or name
-    return Summary(name, lambda: first_open(source), source)
+    reads: tuple[str, ...] = ()
 
 
 # Output columns, the summaries behind them, and their order.
@@ -112,9 +113,14 @@ def all_summaries(df: DataFrame) -> list[Summary]:
         return renamed if renamed in df.columns else field
 
     def plain(name: str, make: Callable[..., Column], *args) -> Summary:
-        return Summary(name, lambda: make(*args))
+        reads = tuple(a for a in args if a in df.columns)
+        return Summary(name, lambda: make(*args), reads=reads)
+
+    def first_open_or_mode(name: str) -> Summary:
+        field = column(name)
+        return Summary(name, lambda: first_open(field), field, (field,))
 
-    out = [_first_open_or_mode(f, column(f)) for f in FIRST_OPEN_OR_MODE]
+    out = [first_open_or_mode(f) for f in FIRST_OPEN_OR_MODE]
     out += [plain("fix_id", F.max, "fix_id"), Summary("package_name", mode_of="package_name")]
     out += [plain(f, same_or_default, f) for f in SAME_OR_DEFAULT]
     out += [plain("original_finding_id", F.lit, "")]
@@ -123,13 +129,13 @@ def all_summaries(df: DataFrame) -> list[Summary]:
     for category, prefix in STATUS_KEYS.items():
         for kind in ("system", "user"):
             out.append(plain(f"{prefix}_{kind}_status_key", min_key_in, category, f"{kind}_status_key"))
-    out += [plain("min_closed_user_status", min_closed_user_status)]
-    out += [plain("min_open_user_status", min_open_user_status)]
+    for make in (min_closed_user_status, min_open_user_status):
+        out.append(Summary(make.__name__, make, reads=("user_status_key",)))
     out += [plain(f"max_open_{f}", max_open, f) for f in OPEN_MAXIMA]
     out += [plain("max_score", F.max, "score"), plain("max_severity", F.max, "severity")]
     out += [plain("main_resource_id", open_else, "main_resource_id", F.min)]
     out += [plain("original_score", first_open, "original_score")]
-    out += [Summary("original_status", lambda: F.coalesce(first_open("original_status"), F.lit("")))]
+    out += [plain("original_status", first_open_or_empty, "original_status")]
     for name in OPTIONAL_FLAGS:
         out.append(plain(name, flag, name) if name in df.columns else plain(name, F.lit, False))
     if OPTIONAL_DATE in df.columns:
@@ -144,10 +150,13 @@ def summarize(
     group_by: Sequence[str],
     summaries: Iterable[Summary] | None = None,
     only: Sequence[str] | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per group with its summaries (all of them by default, or those named ``only``).
 
-    Weighted rows (``row_copies``) count as often as they stand for.
+    Weighted rows (``row_copies``) count as often as they stand for. Aggregates and most
+    common values take one pass each; unless ``df`` is ``stored``, and so cheap to read
+    twice, the columns both need are computed once and kept (see ``skew.materialize``).
     """
     wanted = list(all_summaries(df) if summaries is None else summaries)
     if only is not None:
@@ -159,6 +168,9 @@ def summarize(
     # group columns under names of their own, as summaries may reuse them
     keys = [f"__group_{n}" for n in range(len(group_by))]
     df = df.withColumns({k: F.col(c) for k, c in zip(keys, group_by)})
+    if direct and modes and not stored:
+        needed = {FINDING, STATUS, COPIES, *(r for s in wanted for r in s.reads), *(s.mode_of for s in modes)}
+        df = materialize(df.select(*keys, *[c for c in df.columns if c in needed]))
     grouped = df.groupBy(*keys)
     parts = grouped.agg(*[s.aggregate().alias(f"__{s.name}") for s in direct]) if direct else None
     if modes:
