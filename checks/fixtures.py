@@ -164,6 +164,22 @@ def existing_groups(orders: DataFrame) -> DataFrame:
     )
 
 
+def with_package_groups(groups: DataFrame, findings: DataFrame) -> DataFrame:
+    """The existing groups and one more per package and source, locked for one source."""
+    packages = (
+        findings.where("package_name IS NOT NULL")
+        .groupBy("package_name", "source")
+        .agg(F.min("id").alias("main_finding_id"))
+        .selectExpr(
+            "-1 - main_finding_id AS id",
+            "main_finding_id",
+            "md5(concat_ws('-', '1', package_name)) AS group_identifier",
+            "source <> 'F' AS is_locked",
+        )
+    )
+    return groups.unionByName(packages)
+
+
 def additional_data(lineitem: DataFrame) -> DataFrame:
     cves = F.collect_set(
         F.when(F.col("l_returnflag") == "A", F.concat(F.lit("CVE-"), F.col("l_partkey") % 50))

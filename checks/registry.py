@@ -13,11 +13,24 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import excluder, finding_tables, placed_orders, published_groups, source
+from checks.fixtures import (
+    excluder,
+    finding_tables,
+    placed_orders,
+    published_groups,
+    source,
+    with_package_groups,
+)
 from rulefold.functions.identity import group_key, run_identifier
 from rulefold.functions.predicates import compile_filter
 from rulefold.operators.assign import GROUP_KEY, assign_rules, with_table_structs
-from rulefold.operators.base_view import base_findings, existing_group_filter, first_element
+from rulefold.operators.base_view import (
+    base_findings,
+    existing_group_filter,
+    first_element,
+    older_view,
+    packaged_findings,
+)
 from rulefold.operators.exclusions import exclude_findings
 from rulefold.operators.existing import change_plan, match_existing_groups, ungrouped_findings
 from rulefold.operators.groups import claimed_ids, create_groups, group_findings, rollup, unclaimed
@@ -30,6 +43,7 @@ from rulefold.operators.quality import (
 )
 from rulefold.operators.skew import COPIES, skew_join
 from rulefold.operators.summaries import FIRST_OPEN_OR_MODE, summarize
+from rulefold.plans.runs import candidate_groups
 from rulefold.sources.ingest import id_ranges
 from rulefold.sources.rules import Rule, parse_rules
 from rulefold.sources.tables import FrameSource
@@ -186,9 +200,33 @@ def base_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base_view_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir)
-    arrays = ("tags_values", "tags_key_values", "scope_ids")
-    return rows.withColumns({a: F.array_join(F.col(a).cast("array<string>"), ",") for a in arrays})
+    return as_text(base(spark, sf_dir))
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Arrays as joined text."""
+    arrays = [name for name, kind in df.dtypes if kind.startswith("array")]
+    return df.withColumns({a: F.array_join(F.col(a).cast("array<string>"), ",") for a in arrays})
+
+
+def older(form: str) -> Query:
+    return lambda spark, sf_dir: as_text(older_view(finding_tables(spark, sf_dir), form))
+
+
+def findings_only_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    findings = packaged_findings(finding_tables(spark, sf_dir)["findings"])
+    return findings.select("finding_id", "package_name", "finding_type", "rule_id", "category", "created_time")
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups by package with their ungrouped findings, next to the stored groups."""
+    tables = finding_tables(spark, sf_dir)
+    tables["aggregation_groups"] = with_package_groups(tables["aggregation_groups"], tables["findings"])
+    groups = candidate_groups(
+        tables, "findings.package_name", 1, rule_id=102, stamp="2025/08/07T13/50/14.541213Z"
+    ).drop("list_part")
+    ids = F.array_sort(F.col("finding_ids_without_group").cast("array<string>"))
+    return groups.withColumn("finding_ids_without_group", F.array_join(ids, ","))
 
 
 def first_array_element(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,6 +541,10 @@ def queries() -> dict[str, Query]:
     return {
         "base_view": base_view,
         "base_view_fanout": base_view_fanout,
+        "base_view_older": older("full"),
+        "base_view_compact": older("compact"),
+        "findings_only_view": findings_only_view,
+        "candidate_groups": candidates,
         "first_array_element": first_array_element,
         "existing_group_filter": existing_groups_kept,
         "id_range_batches": id_range_batches,

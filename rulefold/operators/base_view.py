@@ -60,6 +60,48 @@ OPTIONAL_FINDING_COLUMNS = [
     "cisa_kev", "vulncheck_kev", "is_fixable", "has_exploit", "vulnerability_reported_date",
 ]
 
+# The columns of the older forms of the view, by their names there. They
+# join no tickets, user SLAs or scopes; ``scope_group`` is the one of the selection rule
+# behind the score, ``category`` of the compact form the finding's own.
+_OLDER_NAMES = {
+    "existing_main_finding_id": "main_finding_id",
+    "existing_group_identifier": "group_identifier",
+}
+OLDER_VIEWS: dict[str, dict[str, str]] = {
+    "full": {
+        **{
+            c: c
+            for c in (
+                "finding_id package_name main_resource_id aggregation_group_id source rule_family"
+                " rule_id sla_connection_id resource_id cloud_account"
+                " root_cloud_account_friendly_name tags_values tags_key_values score_finding_id"
+                " severity resource_type cloud_provider user_status_id actual_status_key"
+                " additional_data_id status_key existing_group_id is_locked findings_info_id"
+                " finding_type fix_subtype category fix_id cve fix_type"
+            ).split()
+        },
+        **_OLDER_NAMES,
+        "scope_group": "rule_scope_group",
+    },
+    "compact": {
+        **{
+            c: c
+            for c in (
+                "finding_id package_name main_resource_id aggregation_group_id sla_connection_id"
+                " resource_id root_cloud_account_friendly_name score_finding_id user_status_id"
+                " actual_status_key additional_data_id status_key existing_group_id is_locked"
+                " findings_info_id source severity rule_id rule_family"
+            ).split()
+        },
+        **_OLDER_NAMES,
+        "root_cloud_account": "cloud_account",
+        "category": "finding_category",
+    },
+}
+_NOT_IN_OLDER_VIEWS = (
+    "finding_ticket_associations", "tickets", "user_sla", "resource_to_scopes", "scope_groups",
+)
+
 _KEY = "__key"
 
 
@@ -93,6 +135,8 @@ def base_findings(
     weighted: bool = False,
     summary: bool = False,
     tenant: str | None = None,
+    main_findings: bool = False,
+    rule_scope: bool = False,
 ) -> DataFrame:
     """Join the findings tables into the base view.
 
@@ -100,7 +144,9 @@ def base_findings(
     wants); otherwise every copy is a row. ``summary`` adds the columns that group
     summaries need. Of the left-joined tables, any may be missing. ``tenant`` is a column
     that tells the rows of several tenants apart, whose ids may collide: rows only meet
-    rows of their tenant, and tables without the column serve all.
+    rows of their tenant, and tables without the column serve all. ``main_findings`` keeps
+    what ``existing_group_filter`` would drop. ``rule_scope`` adds ``rule_scope_group``, the
+    scope group of the selection rule behind the score.
     """
     shared = [tenant] if tenant else []
     findings = _findings(tables["findings"], shared)
@@ -112,15 +158,16 @@ def base_findings(
         rows, _groups(tables, findings, shared), "aggregation_group_id", _KEY, "left", "finding_id",
         findings, shared,
     )
-    rows = rows.where(
-        existing_group_filter(
-            F.col("finding_id"), F.col("aggregation_group_id"), F.col("main_finding_id")
+    if not main_findings:
+        rows = rows.where(
+            existing_group_filter(
+                F.col("finding_id"), F.col("aggregation_group_id"), F.col("main_finding_id")
+            )
         )
-    )
 
     factors = []
     per_finding = [
-        (_scores(tables, shared), "inner"),
+        (_scores(tables, shared, rule_scope), "inner"),
         (_status(tables, shared), "inner"),
         (_presence(tables, "finding_sla_rule_connections", "finding_id", shared), "left"),
         (_additional_data(tables, shared), "left"),
@@ -142,6 +189,8 @@ def base_findings(
     names = view_columns(summary)
     if summary:
         names += [c for c in OPTIONAL_FINDING_COLUMNS if c in rows.columns]
+    if rule_scope:
+        names.append("rule_scope_group")
     for absent in set(names) - set(rows.columns):
         rows = rows.withColumn(absent, F.lit(None).cast("string" if absent == "cve" else "long"))
     weighted_rows = rows.select(*shared, *names, COPIES)
@@ -150,6 +199,19 @@ def base_findings(
     return expand_copies(weighted_rows, "finding_id").select(*shared, *names)
 
 
+def older_view(tables: Mapping[str, DataFrame], form: str = "full") -> DataFrame:
+    """The view in one of its older forms (see ``OLDER_VIEWS``)."""
+    joined = {n: df for n, df in tables.items() if n not in _NOT_IN_OLDER_VIEWS}
+    view = base_findings(joined, summary=True, rule_scope=form == "full")
+    return view.selectExpr(*[f"{column} AS {name}" for name, column in OLDER_VIEWS[form].items()])
+
+
+def packaged_findings(findings: DataFrame) -> DataFrame:
+    """Findings alone, under their names in the view: those that name a package."""
+    named = _renamed(findings, "findings", findings.columns)
+    return findings.where(F.col("package_name").isNotNull()).selectExpr(*named)
+
+
 def register_base_view(view: DataFrame, name: str = BASE_VIEW_NAME) -> DataFrame:
     view.createOrReplaceTempView(name)
     return view
@@ -214,7 +276,10 @@ def _groups(
     )
 
 
-def _scores(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame:
+def _scores(
+    tables: Mapping[str, DataFrame], shared: Sequence[str], rule_scope: bool = False
+) -> DataFrame:
+    """Scores; rows count once per scoring rule and selection rule behind them."""
     df = tables["findings_scores"]
     columns = VIEW_COLUMNS["findings_scores"] + SUMMARY_COLUMNS["findings_scores"]
     scores = df.selectExpr(
@@ -226,19 +291,26 @@ def _scores(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame
     rules = tables.get("scoring_rules")
     if rules is None:
         return scores.drop("scoring_rule_id")
+    lead, scope = _in(rules, shared), ["rule_scope_group"] if rule_scope else []
     selected = tables.get("selection_rules")
     copies = F.lit(1)
     if selected is not None:
+        renamed = selected.withColumnRenamed("scope_group", "rule_scope_group")
+        by_id = renamed.groupBy(*_in(selected, shared), "id", *scope).agg(F.count(F.lit(1)).alias(COPIES))
         rules = skew_join(
-            rules.select(*_in(rules, shared), "id", "selection_rule_id"),
-            _repeated_only(copies_by_key(selected, "id", shared=shared)),
-            "selection_rule_id", "id", "left", "id", shared=_in(rules, shared),
+            rules.select(*lead, "id", "selection_rule_id"),
+            by_id if rule_scope else _repeated_only(by_id),
+            "selection_rule_id", "id", "left", "id", shared=lead,
         )
         copies = F.coalesce(F.col(COPIES), F.lit(1))
-    repeated = _repeated_only(copies_by_key(rules, "id", copies, shared))
+    elif rule_scope:
+        rules = rules.withColumn("rule_scope_group", F.lit(None).cast("long"))
+    per_rule = rules.where(F.col("id").isNotNull()).groupBy(*lead, "id", *scope)
+    counted = per_rule.agg(F.sum(copies).cast("long").alias(COPIES))
     return skew_join(
-        scores, repeated, "scoring_rule_id", "id", "left", _KEY, shared=_in(df, shared)
-    ).drop("scoring_rule_id")
+        scores, counted if rule_scope else _repeated_only(counted),
+        "scoring_rule_id", "id", "left", _KEY, shared=_in(df, shared),
+    ).drop("scoring_rule_id")
 
 
 def _status(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame:

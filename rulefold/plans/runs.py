@@ -6,15 +6,25 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rulefold.functions.identity import group_identifier, group_key, run_identifier
 from rulefold.operators.assign import Rules
 from rulefold.operators.base_view import base_findings
+from rulefold.operators.exclusions import exclude_findings
+from rulefold.operators.existing import match_existing_groups, ungrouped_findings
 from rulefold.operators.groups import Grouping, group_findings
 from rulefold.schemas import ASSOCIATION_TABLE, ROLLUP_TABLE
 from rulefold.sources.rules import load_rules
 from rulefold.sources.sinks import save_files, save_table
 from rulefold.sources.tables import catalog_tables
 
+# The tables candidate groups are formed over.
+_CANDIDATE_TABLES = (
+    "findings", "finding_sla_rule_connections", "plain_resources", "findings_scores", "user_status",
+    "findings_additional_data", "statuses", "aggregation_groups", "findings_info",
+)
+
 
 def aggregate_findings(
     tables: Mapping[str, DataFrame], rules: Rules, tenant: str | None = None, **options: Any
@@ -35,6 +45,36 @@ def aggregate_catalog(
     return aggregate_findings(tables, rules, **options)
 
 
+def candidate_groups(
+    tables: Mapping[str, DataFrame],
+    group_by: str,
+    rule_number: int,
+    rule_id: int | None = None,
+    stamp: str | None = None,
+) -> DataFrame:
+    """Groups by one column of all findings with a package, next to the stored groups.
+
+    Returns ``calculated_group_identifier``, ``calculated_finding_id`` (where a run ``stamp``
+    is given), ``finding_ids_without_group`` with its ``list_part``, and ``group_id`` and
+    ``main_finding_id`` of the unlocked stored group of that identifier. Findings excluded
+    from ``rule_id`` are left out.
+    """
+    column = group_by.rsplit(".", 1)[-1]
+    joined = {n: df for n, df in tables.items() if n in _CANDIDATE_TABLES}
+    rows = base_findings(joined, main_findings=True)
+    excluder = tables.get("aggregation_rules_findings_excluder")
+    if rule_id is not None and excluder is not None:
+        rows = exclude_findings(rows, excluder, rule_id)
+    lists = ungrouped_findings(rows, [column], "existing_group_id")
+    number, key = F.lit(rule_number), group_key([column])
+    stamped = [run_identifier(number, key, [group_by], stamp).alias("calculated_finding_id")] if stamp else []
+    groups = lists.select(
+        group_identifier(number, key).alias("group_identifier"), *stamped, "finding_ids_without_group", "list_part"
+    )
+    matched = match_existing_groups(groups, tables["aggregation_groups"])
+    return matched.withColumnRenamed("group_identifier", "calculated_group_identifier")
+
+
 def publish_tables(
     grouping: Grouping, prefix: str = "", file_format: str = "parquet", tenant: str | None = None
 ) -> None:

@@ -47,11 +47,15 @@ def id_ranges(bounds: tuple[int, int] | None, size: int, max_id: int | None = No
 
 @dataclass(frozen=True)
 class TableImport:
-    """How one table is read: in ranges of ``batch_size`` ids, or whole where that is None."""
+    """How one table is read: in ranges of ``batch_size`` ids, or whole where that is None.
+
+    ``buckets`` stores the table bucketed by its id column.
+    """
 
     table: str
     connections: int = 1
     batch_size: int | None = None
+    buckets: int | None = None
 
     def run(self, spark: SparkSession, source, prefix: str = "", max_id: int | None = None,
             file_format: str = "parquet") -> int:
@@ -66,24 +70,29 @@ class TableImport:
             save_table(source.read(spark, self.table), target, file_format=file_format)
             return 1
         key = id_column(self.table)
+        layout = {"file_format": file_format, "bucket_by": (self.buckets, key) if self.buckets else None}
         bounds = source.id_bounds(spark, self.table, key)
         size = self.batch_size or (bounds[1] - bounds[0] + 1 if bounds else 1)
         ranges = id_ranges(bounds, size, max_id)
         if not ranges:
-            save_table(source.read_empty(spark, self.table), target, file_format=file_format)
+            save_table(source.read_empty(spark, self.table), target, **layout)
         for number, ids in enumerate(ranges):
             batch = source.read_ids(spark, self.table, key, ids.low, ids.high, self.connections)
             mode = "overwrite" if number == 0 else "append"
-            save_table(batch, target, mode=mode, file_format=file_format)
+            save_table(batch, target, mode=mode, **layout)
         return len(ranges)
 
 
 def import_plan(
-    ids_per_batch: int = IDS_PER_BATCH, connections: int = CONNECTIONS_PER_BATCH
+    ids_per_batch: int = IDS_PER_BATCH,
+    connections: int = CONNECTIONS_PER_BATCH,
+    buckets: int | None = None,
 ) -> list[TableImport]:
+    """All tables. With ``buckets`` (the session's number of shuffle partitions), the large
+    and medium ones are stored bucketed by id, so the base view does not shuffle them."""
     return [
-        *[TableImport(t, connections, ids_per_batch) for t in LARGE_TABLES],
-        *[TableImport(t, MEDIUM_CONNECTIONS) for t in MEDIUM_TABLES],
+        *[TableImport(t, connections, ids_per_batch, buckets) for t in LARGE_TABLES],
+        *[TableImport(t, MEDIUM_CONNECTIONS, None, buckets) for t in MEDIUM_TABLES],
         *[TableImport(t) for t in SMALL_TABLES],
     ]
 

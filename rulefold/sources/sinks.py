@@ -11,16 +11,21 @@ def save_table(
     mode: str = "overwrite",
     file_format: str = "parquet",
     partition_by: list[str] | None = None,
+    bucket_by: tuple[int, str] | None = None,
 ) -> None:
     """Write a managed table. Overwriting replaces the schema too.
 
-    ``file_format="delta"`` works where the session has it.
+    ``file_format="delta"`` works where the session has it. ``bucket_by`` is a number of
+    buckets and a column: tables bucketed alike join on that column without a shuffle.
     """
     writer = df.write.format(file_format).mode(mode)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        buckets, column = bucket_by
+        writer = writer.bucketBy(buckets, column).sortBy(column)
     writer.saveAsTable(name)
 
 

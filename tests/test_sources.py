@@ -80,6 +80,18 @@ def test_import_keeps_every_batch(spark):
     assert rows_of(spark.table("imported.findings"), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
+def test_bucketed_imports_join_by_id_without_shuffling_the_tables(spark, no_broadcast):
+    tables = small_tables(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    plan = [s for s in import_plan(4, 4, buckets=4) if s.table in ("findings_scores", "user_status")]
+    assert import_findings(spark, FrameSource(tables), "bucketed.", plan) == {"findings_scores": 3, "user_status": 3}
+    scores, status = spark.table("bucketed.findings_scores"), spark.table("bucketed.user_status")
+    joined = scores.join(status, scores["finding_id"] == status["id"])
+    assert joined.count() == 10
+    assert "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_overwriting_a_table_replaces_its_schema(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS replaced")
     save_table(spark.range(3), "replaced.t")
