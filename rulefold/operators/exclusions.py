@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 EXCLUDED = "__excluded_rules"
 
 
-def exclude_findings(df: DataFrame, excluder: DataFrame, rule_id: int) -> DataFrame:
+def exclude_findings(
+    df: DataFrame, excluder: DataFrame, rule_id: int, tenant: str | None = None
+) -> DataFrame:
     """Rows of ``df`` whose finding is not excluded from the rule.
 
     A NULL in the list excludes nothing, unlike in SQL's ``NOT IN``.
     """
-    listed = excluder.where(F.col("aggregation_rule_id") == rule_id).select("finding_id").distinct()
-    return df.join(listed, "finding_id", "left_anti")
+    finding = [tenant, "finding_id"] if tenant else ["finding_id"]
+    listed = excluder.where(F.col("aggregation_rule_id") == rule_id).select(*finding).distinct()
+    return df.join(listed, finding, "left_anti")
 
 
 def excluded_rules(excluder: DataFrame, rule_ids: list[int], tenant: str | None = None) -> DataFrame:

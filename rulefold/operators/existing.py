@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulefold.operators.groups import one_row_per_group
 from rulefold.operators.skew import COPY_NUMBER, copies_of
 
 # The states of a group in a change plan.
 NEW, MATCHED, VANISHED = "new", "matched", "vanished"
 
 
-def match_existing_groups(groups: DataFrame, existing: DataFrame) -> DataFrame:
+def match_existing_groups(
+    groups: DataFrame, existing: DataFrame, tenant: str | None = None
+) -> DataFrame:
     """Add ``group_id`` and ``main_finding_id`` of the unlocked group of the same identifier.
 
     Groups without one keep their row, with NULLs.
     """
+    key = _identity(tenant)
     unlocked = existing.where(~F.col("is_locked")).select(
-        "group_identifier", F.col("id").alias("group_id"), "main_finding_id"
+        *key, F.col("id").alias("group_id"), "main_finding_id"
     )
-    return groups.join(unlocked, "group_identifier", "left")
+    return groups.join(unlocked, key, "left")
 
 
 def ungrouped_findings(
@@ -60,7 +64,7 @@ def ungrouped_findings(
     return rows.groupBy(*group_by, "list_part").agg(ids.alias("finding_ids_without_group"))
 
 
-def change_plan(groups: DataFrame, existing: DataFrame) -> DataFrame:
+def change_plan(groups: DataFrame, existing: DataFrame, tenant: str | None = None) -> DataFrame:
     """What a run changes: each identifier as new, matched or vanished.
 
     ``groups`` holds computed groups (``group_identifier, findings_count``), ``existing``
@@ -68,14 +72,13 @@ def change_plan(groups: DataFrame, existing: DataFrame) -> DataFrame:
     run must not touch them. Computed groups that share an identifier count together, so
     an identifier occurs once per stored group it belongs to.
     """
-    computed = groups.groupBy("group_identifier").agg(
+    key = _identity(tenant)
+    computed = one_row_per_group(groups).groupBy(*key).agg(
         F.count(F.lit(1)).alias("computed_groups"), F.sum("findings_count").alias("findings_count")
     )
-    stored = existing.where(~F.col("is_locked")).select(
-        "group_identifier", F.col("id").alias("group_id")
-    )
-    return computed.join(stored, "group_identifier", "full").select(
-        "group_identifier",
+    stored = existing.where(~F.col("is_locked")).select(*key, F.col("id").alias("group_id"))
+    return computed.join(stored, key, "full").select(
+        *key,
         "group_id",
         "computed_groups",
         "findings_count",
@@ -83,6 +86,10 @@ def change_plan(groups: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
+def _identity(tenant: str | None) -> list[str]:
+    return ([tenant] if tenant else []) + ["group_identifier"]
+
+
 def _state() -> Column:
     return (
         F.when(F.col("group_id").isNull(), NEW)

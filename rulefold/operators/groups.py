@@ -153,6 +153,11 @@ def rollup(
     )
 
 
+def one_row_per_group(rollup: DataFrame) -> DataFrame:
+    """A rollup without the further list parts of its largest groups."""
+    return rollup.where(F.col("list_part") == 0) if "list_part" in rollup.columns else rollup
+
+
 def claimed_ids(assigned: DataFrame, tenant: str | None = None) -> DataFrame:
     """The findings some rule took."""
     return assigned.select(*([tenant] if tenant else []), "finding_id").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rulefold.operators.assign import GROUP_KEY, RULE_NUMBER
+from rulefold.operators.groups import one_row_per_group
 from rulefold.operators.skew import copies_of
 
 
@@ -21,17 +22,19 @@ def schema_differences(df: DataFrame, schema: T.StructType) -> dict[str, list[st
     }
 
 
-def count_mismatches(rollup: DataFrame, association: DataFrame) -> DataFrame:
+def count_mismatches(
+    rollup: DataFrame, association: DataFrame, tenant: str | None = None
+) -> DataFrame:
     """Groups whose ``findings_count`` is not their number of association rows.
 
-    Returns ``group_identifier, expected_count, actual_count``; no rows means agreement.
-    Both sides are counted before they meet, so hot groups join as one row.
+    Returns ``[tenant,] group_identifier, expected_count, actual_count``; no rows means
+    agreement. Both sides are counted before they meet, so hot groups join as one row.
     """
-    whole = rollup.where(F.col("list_part") == 0) if "list_part" in rollup.columns else rollup
-    expected = whole.select("group_identifier", F.col("findings_count").alias("expected_count"))
-    actual = association.groupBy("group_identifier").agg(F.count("finding_id").alias("actual_count"))
+    group = ([tenant] if tenant else []) + ["group_identifier"]
+    expected = one_row_per_group(rollup).select(*group, F.col("findings_count").alias("expected_count"))
+    actual = association.groupBy(*group).agg(F.count("finding_id").alias("actual_count"))
     return (
-        expected.join(actual, "group_identifier", "left")
+        expected.join(actual, group, "left")
         .withColumn("actual_count", F.coalesce("actual_count", F.lit(0)))
         .where(F.col("expected_count") != F.col("actual_count"))
     )
@@ -53,12 +56,13 @@ def association_difference(expected: DataFrame, actual: DataFrame, distinct: boo
     )
 
 
-def run_report(assigned: DataFrame) -> DataFrame:
+def run_report(assigned: DataFrame, tenant: str | None = None) -> DataFrame:
     """Groups, distinct findings and rows per rule, from one pass over the assignment."""
-    per_group = assigned.groupBy(RULE_NUMBER, GROUP_KEY).agg(
+    rule = ([tenant] if tenant else []) + [RULE_NUMBER]
+    per_group = assigned.groupBy(*rule, GROUP_KEY).agg(
         F.sum(copies_of(assigned)).alias("rows"), F.count_distinct("finding_id").alias("findings")
     )
-    return per_group.groupBy(RULE_NUMBER).agg(
+    return per_group.groupBy(*rule).agg(
         F.count(F.lit(1)).alias("groups"),
         F.sum("findings").alias("group_findings"),
         F.sum("rows").alias("findings_count"),
@@ -67,8 +71,7 @@ def run_report(assigned: DataFrame) -> DataFrame:
 
 def run_totals(rollup: DataFrame) -> DataFrame:
     """Number of groups, and of findings in them."""
-    whole = rollup.where(F.col("list_part") == 0) if "list_part" in rollup.columns else rollup
-    return whole.agg(
+    return one_row_per_group(rollup).agg(
         F.count(F.lit(1)).alias("total_groups"), F.sum("findings_count").alias("total_findings")
     )
 

@@ -80,21 +80,22 @@ def skew_join(
         return joined.drop("__right_key", *[f"__right_{c}" for c in shared])
 
     # at most MAX_HOT_KEYS rows by construction
-    hot = F.broadcast(hot_keys(hot_from if hot_from is not None else left, left_key))
+    found = hot_keys(hot_from if hot_from is not None else left, left_key)
+    hot = F.broadcast(found.withColumnRenamed("salts", "__salts"))
     spread = F.xxhash64(F.col(f"`{spread_by}`"))
     slices = F.when(F.col(left_key).isNull(), F.lit(NULL_KEY_SALTS)).otherwise(
-        F.coalesce(F.col("salts"), F.lit(1))
+        F.coalesce(F.col("__salts"), F.lit(1))
     )
     cut = (
         left.join(hot, left_key, "left")
         .withColumn("__salt", F.pmod(spread, slices).cast("int"))
-        .drop("salts")
+        .drop("__salts")
         .withColumnRenamed(left_key, "__left_key")
     )
     repeated = (
         right.join(hot.withColumnRenamed(left_key, "__right_key"), "__right_key", "left")
-        .withColumn("__right_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
-        .drop("salts")
+        .withColumn("__right_salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+        .drop("__salts")
     )
     joined = cut.join(
         repeated,

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def _laid_out(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Few files per partition; adaptive execution splits what is too large for one task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -18,7 +23,7 @@ def save_table(
     ``file_format="delta"`` works where the session has it. ``bucket_by`` is a number of
     buckets and a column: tables bucketed alike join on that column without a shuffle.
     """
-    writer = df.write.format(file_format).mode(mode)
+    writer = _laid_out(df, partition_by).write.format(file_format).mode(mode)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
@@ -37,7 +42,7 @@ def save_files(
     partition_by: list[str] | None = None,
 ) -> None:
     """Write files. Overwriting a partitioned path replaces only the partitions written."""
-    writer = df.write.format(file_format).mode(mode)
+    writer = _laid_out(df, partition_by).write.format(file_format).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)

@@ -45,6 +45,14 @@ def test_change_plan_tells_new_matched_and_vanished(groups, existing):
     ]
 
 
+def test_change_plan_counts_a_group_in_parts_once(spark, existing):
+    df = spark.range(50).selectExpr("id AS finding_id", "'p' AS package_name", "'a' AS cloud_account")
+    rollup = create_groups(df, ["package_name"], list_limit=10).rollup
+    assert rollup.count() == 5
+    new = change_plan(rollup, existing).where("change = 'new'")
+    assert rows_of(new, "computed_groups", "findings_count") == [(1, 50)]
+
+
 def test_null_in_an_exclusion_list_excludes_nothing(spark):
     df = spark.range(4).withColumnRenamed("id", "finding_id")
     barred = spark.createDataFrame([(1, 10), (2, 11), (None, 10)], "finding_id long, aggregation_rule_id int")
@@ -120,3 +128,25 @@ def test_schema_registry():
     assert schema_of("finding_group_rollup") is ROLLUP
     with pytest.raises(ValueError):
         schema_of("nowhere")
+
+
+def test_results_of_tenants_are_told_apart(spark):
+    df = spark.createDataFrame(
+        [("one", 1, "p", "a"), ("two", 1, "p", "a"), ("two", 2, "p", "a")],
+        "tenant string, finding_id long, package_name string, cloud_account string",
+    )
+    run = group_findings(df, [Rule(1, 1, ("package_name",))], tenant="tenant")
+    assert count_mismatches(run.rollup, run.association, "tenant").count() == 0
+    assert count_mismatches(run.rollup, run.association).count() == 2
+    assert rows_of(run_report(run.assigned, "tenant")) == [("one", 0, 1, 1, 1), ("two", 0, 1, 2, 2)]
+    identifier = run.rollup.first()["group_identifier"]
+    existing = spark.createDataFrame(
+        [("two", 7, 1, identifier, False), ("three", 8, 1, identifier, False)],
+        "tenant string, id long, main_finding_id long, group_identifier string, is_locked boolean",
+    )
+    matched = match_existing_groups(run.rollup, existing, "tenant")
+    assert rows_of(matched, "tenant", "group_id") == [("one", None), ("two", 7)]
+    plan = change_plan(run.rollup, existing, "tenant")
+    assert rows_of(plan, "tenant", "change") == [("one", "new"), ("three", "vanished"), ("two", "matched")]
+    barred = spark.createDataFrame([("two", 1, 1)], "tenant string, finding_id long, aggregation_rule_id int")
+    assert rows_of(exclude_findings(df, barred, 1, "tenant"), "tenant", "finding_id") == [("one", 1), ("two", 2)]
