@@ -53,7 +53,7 @@ def measure(spark: SparkSession, make) -> dict[str, float]:
 def main() -> None:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.1")
-    parser.add_argument("--loop-up-to", type=int, default=8)
+    parser.add_argument("--loop-up-to", type=int, default=4)
     parser.add_argument("rules", nargs="*", type=int, default=[2, 8, 32, 128])
     args = parser.parse_args()
     spark = session()
