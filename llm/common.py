@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,10 @@ _own_folders: dict[str, str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    environment = spark.sparkContext.environment  # of the workers, wherever the driver was started
+    here = str(Path(__file__).resolve().parent.parent)
+    if here not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, environment.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
