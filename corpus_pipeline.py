@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.common import read, stored
 from llm.language_id import keep_identified
+from llm.mixing import realised
+from llm.ngram_join import keep_one
 from llm.sentencepiece_codec import token_digests
+from llm.suffix_dedup import remove_repeats
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +17,22 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_identified(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates."""
+    return keep_one(docs)
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts byte strings of 400 and more that occur elsewhere out of the texts."""
+    return remove_repeats(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents of small sources so that no source is seen more than twice as often
+    as the largest; every document stays at least once."""
+    return realised(docs)
+
+
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes what is left and decodes it again: one row per document."""
     return token_digests(docs)
@@ -21,6 +40,9 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language_stage),
+    ("ngram_jaccard", near_duplicate_stage),
+    ("suffix_dedup", repeats_stage),
+    ("source_mixing", mixing_stage),
     ("sentencepiece", token_stage),
 ]
 

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import language_id, ngram_join, sentencepiece_codec, suffix_dedup
+from llm import language_id, mixing, ngram_join, sentencepiece_codec, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mixing": mixing.op1_source_mixing,
         "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
         "op5_language_id": language_id.op5_language_id,
         "op7_sentencepiece": sentencepiece_codec.op7_sentencepiece,
@@ -19,4 +20,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_source_mixing": mixing.OP1_SQL,
+    }

@@ -336,7 +336,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     at = docs.columns.index("text")
     numbered = plain.withColumnsRenamed({f"c{at}": "text", f"c{docs.columns.index('doc_id')}": "doc_id"})
-    joined = _with_spans(numbered, window, gram).drop("row_key").select(*numbered.columns, "spans")
+    names = numbered.columns
+    joined = _with_spans(numbered, window, gram).select(*names, "spans")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,8 +347,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
             for i, (known, spans) in enumerate(zip(batch.column("text").is_valid().to_pylist(), batch.column("spans").to_pylist(), strict=True)):
                 parts = _kept(view[starts[i] : starts[i + 1]], merged_spans(np.array(spans or [], np.int64)))
                 texts.append("".join(bytes(p).decode("utf-8", "ignore") for p in parts) if known else None)
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in numbered.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=numbered.columns)
+            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(strip, numbered.schema).toDF(*docs.columns)
 
