@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import fingerprints, language_id, mixing, ngram_join, sentencepiece_codec, suffix_dedup
+from llm import embedding_dedup, fingerprints, language_id, mixing, ngram_join, sentencepiece_codec, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
         "op5_language_id": language_id.op5_language_id,
         "op7_sentencepiece": sentencepiece_codec.op7_sentencepiece,
+        "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     }
@@ -23,4 +24,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mixing": mixing.OP1_SQL,
+        "op8_embedding_dedup": embedding_dedup.OP8_SQL,
     }
