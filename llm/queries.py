@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import embedding_dedup, fingerprints, language_id, mixing, ngram_join, sentencepiece_codec, suffix_dedup
+from llm import embedding_dedup, fingerprints, language_id, mixing, ngram_join, sentencepiece_codec, suffix_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": mixing.op1_source_mixing,
         "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
+        "op4_url_filter": url_filter.op4_url_filter,
         "op5_language_id": language_id.op5_language_id,
         "op7_sentencepiece": sentencepiece_codec.op7_sentencepiece,
         "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
@@ -24,5 +25,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mixing": mixing.OP1_SQL,
+        "op4_url_filter": url_filter.OP4_SQL,
         "op8_embedding_dedup": embedding_dedup.OP8_SQL,
     }
