@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import embedding_dedup, fingerprints, language_id, mixing, ngram_join, sentencepiece_codec, suffix_dedup, url_filter
+from llm import (
+    embedding_dedup,
+    fingerprints,
+    language_id,
+    mixing,
+    ngram_join,
+    sentencepiece_codec,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": mixing.op1_source_mixing,
         "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
+        "op3_warc": warc.op3_warc,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_language_id": language_id.op5_language_id,
         "op7_sentencepiece": sentencepiece_codec.op7_sentencepiece,
@@ -25,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mixing": mixing.OP1_SQL,
+        "op3_warc": warc.OP3_SQL,
         "op4_url_filter": url_filter.OP4_SQL,
         "op8_embedding_dedup": embedding_dedup.OP8_SQL,
     }
