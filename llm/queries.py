@@ -13,6 +13,7 @@ from llm import (
     mixing,
     ngram_join,
     sentencepiece_codec,
+    sharding,
     suffix_dedup,
     url_filter,
     warc,
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": warc.op3_warc,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_language_id": language_id.op5_language_id,
+        "op6_sharding": sharding.op6_sharding,
         "op7_sentencepiece": sentencepiece_codec.op7_sentencepiece,
         "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_fingerprints": fingerprints.op9_fingerprints,
