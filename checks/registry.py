@@ -151,10 +151,15 @@ def listed(rolled: DataFrame) -> DataFrame:
     )
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Findings and scopes with the number of rows of the view they stand for."""
+    return rows.groupBy("finding_id", "scope_id").agg(F.sum(COPIES).alias(COPIES))
+
+
 def predicate(config: Mapping, field_map: Mapping[str, str] | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = base(spark, sf_dir)
-        return rows.where(compile_filter(rows, config, field_map)).select("finding_id", "scope_id")
+        rows = base(spark, sf_dir, weighted=True)
+        return counted(rows.where(compile_filter(rows, config, field_map)))
 
     return query
 
@@ -223,7 +228,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = finding_tables(spark, sf_dir)
     tables["aggregation_groups"] = with_package_groups(tables["aggregation_groups"], tables["findings"])
     groups = candidate_groups(
-        tables, "findings.package_name", 1, rule_id=102, stamp="2025/08/07T13/50/14.541213Z"
+        tables, "findings.package_name", 1, rule_id=102, stamp="2031/02/03T04/05/06.789Z"
     ).drop("list_part")
     ids = F.array_sort(F.col("finding_ids_without_group").cast("array<string>"))
     return groups.withColumn("finding_ids_without_group", F.array_join(ids, ","))
@@ -276,13 +281,13 @@ def id_range_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pred_sql_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL form of a rule's filter, over table-qualified names."""
-    rows = with_table_structs(base(spark, sf_dir, summary=True))
+    rows = with_table_structs(base(spark, sf_dir, weighted=True, summary=True))
     text = (
         "findings.source = 'O' and findings.category = 'Cloud Security'"
         " and (not findings.rule_id like '%rule-1%') and findings_additional_data.cve[1] is not null"
         " and statuses.category = 'OPEN'"
     )
-    return rows.where(F.expr(text)).select("finding_id", "scope_id")
+    return counted(rows.where(F.expr(text)))
 
 
 def group_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,7 +403,7 @@ def ungrouped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_stamped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = group_key(["package_name"])
     number = F.lit(1)
-    stamped = run_identifier(number, key, ["findings.package_name"], "2025/08/07T13/50/14.541213Z")
+    stamped = run_identifier(number, key, ["findings.package_name"], "2031/02/03T04/05/06.789Z")
     rows = narrow_findings(spark, sf_dir).where("package_name IS NOT NULL").select("package_name").distinct()
     return rows.select(
         F.md5(F.concat_ws("-", number.cast("string"), "package_name")).alias("calculated_group_identifier"),
