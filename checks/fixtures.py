@@ -43,24 +43,30 @@ def finding_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "user_status": user_status(orders),
         "statuses": statuses(orders),
         "aggregation_groups": existing_groups(orders),
-        "finding_sla_rule_connections": lineitem.where("l_orderkey % 3 = 0 AND l_linenumber <= 2").selectExpr(
-            "l_orderkey AS finding_id"
+        "finding_sla_rule_connections": lineitem.selectExpr(
+            "CASE WHEN l_orderkey % 3 = 0 AND l_linenumber <= 2 THEN l_orderkey ELSE -1 - l_orderkey END AS finding_id"
         ),
         "findings_additional_data": additional_data(lineitem),
-        "findings_info": orders.where("o_orderkey % 2 = 0").selectExpr("o_orderkey AS id"),
+        "findings_info": orders.selectExpr(
+            "CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -1 - o_orderkey END AS id"
+        ),
         "scoring_rules": nation.selectExpr("n_nationkey % 20 AS id", "n_nationkey % 6 AS selection_rule_id"),
         "selection_rules": nation.selectExpr("n_nationkey % 23 AS id", "n_regionkey AS scope_group"),
         "aggregation_rules_findings_excluder": excluder(orders),
-        "resource_to_scopes": customer.where("c_custkey % 4 <> 0").selectExpr(
-            "c_custkey AS resource_id",
+        "resource_to_scopes": customer.selectExpr(
+            "CASE WHEN c_custkey % 4 <> 0 THEN c_custkey ELSE -1 - c_custkey END AS resource_id",
             "CASE WHEN c_custkey % 8 = 1 THEN array() ELSE array(c_nationkey, c_nationkey + 1) END AS scope_ids",
         ),
         "scope_groups": nation.selectExpr("n_nationkey AS id", "concat('scope ', n_name) AS name"),
-        "finding_ticket_associations": lineitem.where("l_returnflag = 'R'").selectExpr(
-            "l_orderkey * 10 + l_linenumber AS id", "l_orderkey AS finding_id", "l_partkey AS ticket_id"
+        "finding_ticket_associations": lineitem.selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id",
+            "CASE WHEN l_returnflag = 'R' THEN l_orderkey ELSE -1 - l_orderkey END AS finding_id",
+            "l_partkey AS ticket_id",
         ),
         "tickets": part.selectExpr("p_partkey - p_partkey % 2 AS id"),
-        "user_sla": orders.where("o_orderkey % 10 = 0").selectExpr("o_orderkey AS id"),
+        "user_sla": orders.selectExpr(
+            "CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey ELSE -1 - o_orderkey END AS id"
+        ),
     }
 
 
@@ -150,10 +156,11 @@ def statuses(orders: DataFrame) -> DataFrame:
 
 
 def existing_groups(orders: DataFrame) -> DataFrame:
-    """One per customer with grouped orders, but for one customer in five: those dangle."""
+    """One per customer with grouped orders, but for one customer in five: those dangle. All
+    other orders make groups, under negative ids, that no finding names."""
+    named = F.expr("CASE WHEN o_orderkey % 7 = 0 AND o_custkey % 5 <> 4 THEN o_custkey ELSE -1000000000 - o_custkey END")
     return (
-        orders.where("o_orderkey % 7 = 0 AND o_custkey % 5 <> 4")
-        .groupBy(F.col("o_custkey").alias("id"))
+        orders.groupBy(named.alias("id"))
         .agg(F.min("o_orderkey").alias("main_finding_id"))
         .selectExpr(
             "id",
@@ -188,8 +195,9 @@ def additional_data(lineitem: DataFrame) -> DataFrame:
 
 
 def excluder(orders: DataFrame) -> DataFrame:
-    return orders.where("o_orderkey % 11 = 0").selectExpr(
-        "o_orderkey AS finding_id", "CAST(101 + o_orderkey % 3 AS int) AS aggregation_rule_id"
+    return orders.selectExpr(
+        "CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey ELSE -1 - o_orderkey END AS finding_id",
+        "CAST(101 + o_orderkey % 3 AS int) AS aggregation_rule_id",
     )
 
 
@@ -207,11 +215,10 @@ def published_groups(placed: DataFrame) -> DataFrame:
     return (
         placed.groupBy("o_orderstatus", "n_name")
         .agg(F.min("o_orderkey").alias("id"))
-        .where("id % 4 <> 0")
         .selectExpr(
             "id",
             "id AS main_finding_id",
-            "md5(concat_ws('-', CASE WHEN id % 5 = 1 THEN 'gone' ELSE '0' END, o_orderstatus, n_name))"
+            "md5(concat_ws('-', CASE WHEN id % 5 = 1 OR id % 4 = 0 THEN 'gone' ELSE '0' END, o_orderstatus, n_name))"
             " AS group_identifier",
             "id % 3 = 0 AS is_locked",
         )

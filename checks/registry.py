@@ -8,6 +8,7 @@ compare as values.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ from rulefold.operators.base_view import (
 )
 from rulefold.operators.exclusions import exclude_findings
 from rulefold.operators.existing import change_plan, match_existing_groups, ungrouped_findings
-from rulefold.operators.groups import claimed_ids, create_groups, group_findings, rollup, unclaimed
+from rulefold.operators.groups import claimed_ids, create_groups, group_findings, rollup, unclaimed, united_rollups
 from rulefold.operators.quality import (
     association_difference,
     count_mismatches,
@@ -43,8 +44,9 @@ from rulefold.operators.quality import (
 )
 from rulefold.operators.skew import COPIES, skew_join
 from rulefold.operators.summaries import FIRST_OPEN_OR_MODE, summarize
-from rulefold.plans.runs import candidate_groups
-from rulefold.sources.ingest import id_ranges
+from rulefold.plans.runs import candidate_groups, publish_files
+from rulefold.schemas import ROLLUP_TABLE
+from rulefold.sources.ingest import TableImport, id_ranges, import_findings
 from rulefold.sources.rules import Rule, parse_rules
 from rulefold.sources.tables import FrameSource
 
@@ -180,7 +182,7 @@ def grouped(rules: list[Rule], fanout: str = "rows") -> Query:
     """The rollup of a rule run, over the narrow findings or the base view."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return listed(_run(spark, sf_dir, rules, fanout).rollup)
+        return listed(_run(spark, sf_dir, rules, fanout, lists=True).rollup)
 
     return query
 
@@ -229,7 +231,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables["aggregation_groups"] = with_package_groups(tables["aggregation_groups"], tables["findings"])
     groups = candidate_groups(
         tables, "findings.package_name", 1, rule_id=102, stamp="2031/02/03T04/05/06.789Z"
-    ).drop("list_part")
+    )
     ids = F.array_sort(F.col("finding_ids_without_group").cast("array<string>"))
     return groups.withColumn("finding_ids_without_group", F.array_join(ids, ","))
 
@@ -292,22 +294,22 @@ def pred_sql_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = narrow_findings(spark, sf_dir).where("package_name IS NOT NULL")
-    return listed(create_groups(rows, ["findings.package_name"], unique_ids=True).rollup)
+    return listed(create_groups(rows, ["findings.package_name"], unique_ids=True, lists=True).rollup)
 
 
 def group_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = narrow_findings(spark, sf_dir).where("source = 'O'")
-    return listed(create_groups(rows, ["package_name", "cloud_account"], 1, unique_ids=True).rollup)
+    rows = narrow_findings(spark, sf_dir)
+    return listed(create_groups(rows, ["package_name", "cloud_account"], 1, unique_ids=True, lists=True).rollup)
 
 
 def group_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = narrow_findings(spark, sf_dir)
-    groups = create_groups(rows, ["cloud_account"], unique_ids=True, lists=False, reuse=False)
+    groups = create_groups(rows, ["cloud_account"], unique_ids=True, reuse=False)
     return groups.rollup.select(*IDS, "findings_count")
 
 
 def association(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = narrow_findings(spark, sf_dir).where("source = 'O'")
+    rows = narrow_findings(spark, sf_dir)
     groups = create_groups(rows, ["package_name", "cloud_account"], 1, unique_ids=True, reuse=False)
     return groups.association
 
@@ -323,22 +325,56 @@ def rule_without_group_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rollup_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rollups of rules with different group columns, united by name."""
-    rows = narrow_findings(spark, sf_dir)
+    rules = [
+        Rule(1, 1, ("package_name",), {"source": ["F"]}),
+        Rule(2, 2, ("cloud_account",), {"filtersjson": leaf("source", "not_equals", "F")}),
+    ]
+    assigned = assign_rules(narrow_findings(spark, sf_dir), rules, unique_ids=True)
+    return united_rollups(
+        {("package_name",): assigned.where("rule_number = 0"), ("cloud_account",): assigned.where("rule_number = 1")}
+    )
+
+
+RULE_SUMMARIES = ["sub_category", "package_name", "max_score", "created_time", "open_user_status_key", "original_status"]
 
-    def one(source_name: str, column: str, number: int) -> DataFrame:
-        groups = create_groups(
-            rows.where(F.col("source") == source_name), [column], number,
-            unique_ids=True, lists=False, reuse=False,
-        )
-        key = F.col(GROUP_KEY)[0].alias(column)
-        assigned = groups.assigned.select(GROUP_KEY, "rule_number").distinct().select(
-            key, "rule_number", F.array_join(GROUP_KEY, "_", "null").alias(IDS[1])
+
+def rollup_rule_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of the groups that rules form."""
+    rows = base(spark, sf_dir, weighted=True, summary=True)
+    run = group_findings(rows, FANOUT_RULES, summaries=RULE_SUMMARIES)
+    return run.rollup.select(*IDS, "findings_count", "rule_number", *RULE_SUMMARIES)
+
+
+def tenant_rule_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenants with rules of their own: two of them share one list, one has none."""
+    rules = {0: RULES, 1: RULES, 2: [Rule(7, 1, ("source",))], 3: [Rule(8, 1, ("package_name",), {"source": ["O"]})]}
+    assigned = assign_rules(narrow_findings(spark, sf_dir), rules, tenant="tenant")
+    counts = rollup(assigned, tenant="tenant")
+    return counts.drop("finding_ids", "cloud_accounts")
+
+
+def import_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables imported into the catalog, in ranges and whole, and read back: rows and ids."""
+    tables = {n: df for n, df in finding_tables(spark, sf_dir).items() if n in ("findings", "findings_info", "statuses")}
+    prefix = f"imported_{uuid.uuid4().hex}_"
+    plan = [TableImport("findings", 4, 3_000), TableImport("findings_info", 4, None, 8), TableImport("statuses")]
+    import_findings(spark, FrameSource(tables), prefix, plan)
+    parts = [
+        spark.table(prefix + name).select(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("table_rows"), F.sum(key).alias("ids")
         )
-        return groups.rollup.join(assigned, [IDS[1], "rule_number"])
+        for name, key in (("findings", "id"), ("findings_info", "id"), ("statuses", "key"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
-    return one("F", "package_name", 0).unionByName(
-        one("O", "cloud_account", 1), allowMissingColumns=True
-    )
+
+def publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over tenants, published as files and read back."""
+    run = group_findings(narrow_findings(spark, sf_dir), RULES, tenant="tenant")
+    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/published-{uuid.uuid4().hex}"
+    publish_files(run, folder, tenant="tenant")
+    back = spark.read.parquet(f"{folder}/{ROLLUP_TABLE}")
+    return back.select("tenant", *IDS, "findings_count", "rule_number")
 
 
 def claimed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,7 +414,7 @@ def rules_with_excluder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _computed_and_published(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     groups = create_groups(
-        narrow_findings(spark, sf_dir), ["source", "cloud_account"], unique_ids=True, lists=False, reuse=False
+        narrow_findings(spark, sf_dir), ["source", "cloud_account"], unique_ids=True, reuse=False
     )
     return groups.rollup, published_groups(placed_orders(spark, sf_dir))
 
@@ -417,7 +453,7 @@ def consistency_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = count_mismatches(run.rollup, run.association).select(
         "group_identifier", "expected_count", F.lit(1).alias("wrong")
     )
-    checked = run.rollup.where("list_part = 0").join(
+    checked = run.rollup.join(
         wrong.distinct(),
         (run.rollup["group_identifier"] == wrong["group_identifier"])
         & (F.col("findings_count") == F.col("expected_count")),
@@ -433,20 +469,20 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_totals(rollup(_fanout_assigned(spark, sf_dir), lists=False))
+    return run_totals(rollup(_fanout_assigned(spark, sf_dir)))
 
 
 def tenant_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = group_findings(
-        narrow_findings(spark, sf_dir), RULES, tenant="tenant", lists=False, reuse=False
+        narrow_findings(spark, sf_dir), RULES, tenant="tenant", reuse=False
     )
-    return groups.rollup
+    return groups.rollup.drop("finding_ids", "cloud_accounts")
 
 
 def exact_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = create_groups(
         narrow_findings(spark, sf_dir), ["package_name", "cloud_account"],
-        unique_ids=True, lists=False, reuse=False, id_style="exact",
+        unique_ids=True, reuse=False, id_style="exact",
     )
     return groups.rollup.select("group_identifier", "findings_count")
 
@@ -459,7 +495,7 @@ def empty_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three largest groups."""
     rows = narrow_findings(spark, sf_dir).where("package_name IS NOT NULL")
-    groups = create_groups(rows, ["package_name"], unique_ids=True, lists=False, reuse=False)
+    groups = create_groups(rows, ["package_name"], unique_ids=True, reuse=False)
     ranked = groups.rollup.orderBy(F.desc("findings_count"), IDS[1]).limit(3)
     return ranked.select(*IDS, "findings_count")
 
@@ -564,6 +600,10 @@ def queries() -> dict[str, Query]:
         "rule_without_group_by": rule_without_group_by,
         "exclusive_association": exclusive_association,
         "rollup_union": rollup_union,
+        "rollup_rule_summaries": rollup_rule_summaries,
+        "tenant_rule_sets": tenant_rule_sets,
+        "import_round_trip": import_round_trip,
+        "publish_round_trip": publish_round_trip,
         "claimed_ids": claimed,
         "unclaimed_findings": unclaimed_findings,
         "association_diff": association_diff,

@@ -67,37 +67,27 @@ _OLDER_NAMES = {
     "existing_main_finding_id": "main_finding_id",
     "existing_group_identifier": "group_identifier",
 }
+_FULL = [
+    "finding_id", "package_name", "main_resource_id", "aggregation_group_id", "source",
+    "rule_family", "rule_id", "sla_connection_id", "resource_id", "cloud_account",
+    "root_cloud_account_friendly_name", "tags_values", "tags_key_values", "score_finding_id",
+    "severity", "resource_type", "cloud_provider", "user_status_id", "actual_status_key",
+    "additional_data_id", "status_key", "existing_group_id", "is_locked", "findings_info_id",
+    "finding_type", "fix_subtype", "category", "fix_id", "cve", "fix_type",
+]
+_COMPACT = [
+    "finding_id", "package_name", "main_resource_id", "aggregation_group_id", "sla_connection_id",
+    "resource_id", "root_cloud_account_friendly_name", "score_finding_id", "user_status_id",
+    "actual_status_key", "additional_data_id", "status_key", "existing_group_id", "is_locked",
+    "findings_info_id", "source", "severity", "rule_id", "rule_family",
+]
 OLDER_VIEWS: dict[str, dict[str, str]] = {
-    "full": {
-        **{
-            c: c
-            for c in (
-                "finding_id package_name main_resource_id aggregation_group_id source rule_family"
-                " rule_id sla_connection_id resource_id cloud_account"
-                " root_cloud_account_friendly_name tags_values tags_key_values score_finding_id"
-                " severity resource_type cloud_provider user_status_id actual_status_key"
-                " additional_data_id status_key existing_group_id is_locked findings_info_id"
-                " finding_type fix_subtype category fix_id cve fix_type"
-            ).split()
-        },
-        **_OLDER_NAMES,
-        "scope_group": "rule_scope_group",
-    },
+    "full": {**{c: c for c in _FULL}, **_OLDER_NAMES, "scope_group": "rule_scope_group"},
     "compact": {
-        **{
-            c: c
-            for c in (
-                "finding_id package_name main_resource_id aggregation_group_id sla_connection_id"
-                " resource_id root_cloud_account_friendly_name score_finding_id user_status_id"
-                " actual_status_key additional_data_id status_key existing_group_id is_locked"
-                " findings_info_id source severity rule_id rule_family"
-            ).split()
-        },
-        **_OLDER_NAMES,
-        "root_cloud_account": "cloud_account",
-        "category": "finding_category",
+        **{c: c for c in _COMPACT}, **_OLDER_NAMES,
+        "root_cloud_account": "cloud_account", "category": "finding_category",
     },
-}
+}
 _NOT_IN_OLDER_VIEWS = (
     "finding_ticket_associations", "tickets", "user_sla", "resource_to_scopes", "scope_groups",
 )
@@ -151,13 +141,11 @@ def base_findings(
     shared = [tenant] if tenant else []
     findings = _findings(tables["findings"], shared)
     rows = skew_join(
-        findings, _resources(tables, shared), "main_resource_id", _KEY, "inner", "finding_id",
-        findings, shared,
-    )
+        findings, _resources(tables, shared), "main_resource_id", _KEY, "inner", "finding_id", shared
+    )
     rows = skew_join(
-        rows, _groups(tables, findings, shared), "aggregation_group_id", _KEY, "left", "finding_id",
-        findings, shared,
-    )
+        rows, _groups(tables, findings, shared), "aggregation_group_id", _KEY, "left", "finding_id", shared
+    )
     if not main_findings:
         rows = rows.where(
             existing_group_filter(
@@ -184,7 +172,7 @@ def base_findings(
         rows = _join_on_key(rows, side, "finding_id", how, shared)
     copies = [F.coalesce(F.col(f), F.lit(1)) for f in factors]
     rows = rows.withColumn(COPIES, reduce(lambda a, b: a * b, copies, F.lit(1).cast("long")))
-    rows = _with_scopes(rows, tables, shared)
+    rows = rows.withColumn("__scope", F.explode_outer("__scopes")).select("*", "__scope.*").drop("__scopes", "__scope")
 
     names = view_columns(summary)
     if summary:
@@ -196,7 +184,7 @@ def base_findings(
     weighted_rows = rows.select(*shared, *names, COPIES)
     if weighted:
         return weighted_rows
-    return expand_copies(weighted_rows, "finding_id").select(*shared, *names)
+    return expand_copies(weighted_rows).select(*shared, *names)
 
 
 def older_view(tables: Mapping[str, DataFrame], form: str = "full") -> DataFrame:
@@ -254,15 +242,44 @@ def _resources(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFr
         "id AS __resource",
         *_renamed(df, "plain_resources", VIEW_COLUMNS["plain_resources"]),
     )
-    scopes = tables.get("resource_to_scopes")
+    scopes = _scopes(tables, shared)
     if scopes is None:
-        with_scopes = resources.withColumn("scope_ids", F.lit(None).cast("array<long>"))
+        none = F.array(_scope(*(F.lit(None).cast(t) for t in ("array<long>", "long", "long", "string"))))
+        with_scopes = resources.withColumn("__scopes", none)
     else:
-        side = scopes.selectExpr(*_in(scopes, shared), f"resource_id AS {_KEY}", "scope_ids")
-        with_scopes = _join_on_key(resources, side, "__resource", "left", _in(df, shared))
+        with_scopes = _join_on_key(resources, scopes, "__resource", "left", _in(df, shared))
     return with_scopes.withColumnRenamed("__resource", _KEY)
 
 
+def _scope(ids: Column, scope_id: Column, group: Column, name: Column) -> Column:
+    return F.struct(
+        ids.alias("scope_ids"), scope_id.alias("scope_id"), group.alias("scope_group"), name.alias("scope_group_name")
+    )
+
+
+def _scopes(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame | None:
+    """Per resource, its scopes with their names as ``__scopes``.
+
+    Scopes are named here, among resources, so that neither their list nor their names are
+    joined to findings: those explode the list when all joins are done.
+    """
+    scopes, groups = tables.get("resource_to_scopes"), tables.get("scope_groups")
+    if scopes is None:
+        return None
+    lead = _in(scopes, shared)
+    single = scopes.select(*lead, "resource_id", "scope_ids", F.explode_outer("scope_ids").alias("scope_id"))
+    if groups is None:
+        named = single.withColumns({"scope_group": F.lit(None).cast("long"), "scope_group_name": F.lit(None).cast("string")})
+    else:
+        names = groups.selectExpr(
+            *_in(groups, shared), f"id AS {_KEY}", "id AS scope_group", "name AS scope_group_name"
+        )
+        named = skew_join(single, names, "scope_id", _KEY, "left", "resource_id", lead)
+    scope = _scope(*(F.col(c) for c in ("scope_ids", "scope_id", "scope_group", "scope_group_name")))
+    listed = named.groupBy(*lead, F.col("resource_id").alias(_KEY)).agg(F.collect_list(scope).alias("__scopes"))
+    return listed.where(F.col(_KEY).isNotNull())
+
+
 def _groups(
     tables: Mapping[str, DataFrame], findings: DataFrame, shared: Sequence[str]
 ) -> DataFrame:
@@ -379,19 +396,3 @@ def _user_sla_copies(tables: Mapping[str, DataFrame], shared: Sequence[str]) ->
 def _repeated_only(copies: DataFrame) -> DataFrame:
     """Keys met once leave rows as they are; where no key repeats, nothing is left to join."""
     return copies.where(F.col(COPIES) > 1)
-
-
-def _with_scopes(
-    rows: DataFrame, tables: Mapping[str, DataFrame], shared: Sequence[str]
-) -> DataFrame:
-    rows = rows.withColumn("scope_id", F.explode_outer("scope_ids"))
-    groups = tables.get("scope_groups")
-    if groups is None:
-        return rows
-    named = groups.selectExpr(
-        *_in(groups, shared),
-        f"id AS {_KEY}",
-        "id AS scope_group",
-        "name AS scope_group_name",
-    )
-    return skew_join(rows, named, "scope_id", _KEY, "left", "finding_id", shared=shared)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulefold.operators.groups import one_row_per_group
-from rulefold.operators.skew import COPY_NUMBER, copies_of
 
 # The states of a group in a change plan.
 NEW, MATCHED, VANISHED = "new", "matched", "vanished"
@@ -27,41 +25,18 @@ def match_existing_groups(
 
 
 def ungrouped_findings(
-    df: DataFrame,
-    group_by: list[str],
-    group_id: str = "aggregation_group_id",
-    part_size: int = 1_000_000,
+    df: DataFrame, group_by: list[str], group_id: str = "aggregation_group_id", lists: bool = True
 ) -> DataFrame:
-    """Per group, the ids of its findings that are in no existing group yet.
+    """Per group, its findings that are in no existing group yet, from one reading of ``df``.
 
-    Returns ``*group_by, list_part, finding_ids_without_group``. Every group has a row,
-    with an empty list where all its findings are grouped. Ids are collected in slices
-    of about ``part_size`` or of 1/100000 of all rows, whichever is more, so a hot group
-    yields several parts.
+    With ``lists``, one row per group with ``finding_ids_without_group``, empty where all its
+    findings are grouped; the largest group's ids must fit in one value. Without, one row per
+    such finding: the same pairs, whatever the size of a group.
     """
-    counts = df.groupBy(*group_by).agg(F.sum(copies_of(df)).alias("__rows"))
-    limit = counts.agg(
-        F.greatest(F.lit(part_size), F.ceil(F.sum("__rows") / 100_000)).alias("limit")
-    ).scalar()
-    # fewer than 100000 groups can exceed that limit
-    cut = (
-        counts.withColumn("__limit", limit)
-        .where(F.col("__rows") > F.col("__limit"))
-        .select(
-            *[F.col(c).alias(f"__cut_{c}") for c in group_by],
-            F.ceil(F.col("__rows") / F.col("__limit")).alias("__parts"),
-        )
-    )
-    same = F.lit(True)
-    for c in group_by:
-        same = same & F.col(c).eqNullSafe(F.col(f"__cut_{c}"))
-    slice_keys = ["finding_id"] + ([COPY_NUMBER] if COPY_NUMBER in df.columns else [])
-    rows = df.join(F.broadcast(cut), same, "left").withColumn(
-        "list_part",
-        F.pmod(F.xxhash64(*slice_keys), F.coalesce(F.col("__parts"), F.lit(1))).cast("int"),
-    )
+    if not lists:
+        return df.where(F.col(group_id).isNull()).select(*group_by, "finding_id")
     ids = F.collect_list(F.when(F.col(group_id).isNull(), F.col("finding_id")))
-    return rows.groupBy(*group_by, "list_part").agg(ids.alias("finding_ids_without_group"))
+    return df.groupBy(*group_by).agg(ids.alias("finding_ids_without_group"))
 
 
 def change_plan(groups: DataFrame, existing: DataFrame, tenant: str | None = None) -> DataFrame:
@@ -73,7 +48,7 @@ def change_plan(groups: DataFrame, existing: DataFrame, tenant: str | None = Non
     an identifier occurs once per stored group it belongs to.
     """
     key = _identity(tenant)
-    computed = one_row_per_group(groups).groupBy(*key).agg(
+    computed = groups.groupBy(*key).agg(
         F.count(F.lit(1)).alias("computed_groups"), F.sum("findings_count").alias("findings_count")
     )
     stored = existing.where(~F.col("is_locked")).select(*key, F.col("id").alias("group_id"))

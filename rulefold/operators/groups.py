@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -11,18 +11,15 @@ from pyspark.sql import functions as F
 
 from rulefold.functions.identity import group_identifier, readable_identifier
 from rulefold.operators.assign import GROUP_KEY, RULE_NUMBER, Rules, assign_rules
-from rulefold.operators.skew import COPY_NUMBER, copies_of, expand_copies, materialize
+from rulefold.operators.skew import copies_of, expand_copies, materialize
+from rulefold.operators.summaries import summarize, summary_inputs
 from rulefold.sources.rules import Rule
 
-LIST_LIMIT = 1_000_000
-MAX_CUT_GROUPS = 100_000
-
 
 @dataclass(frozen=True)
 class Grouping:
-    """``association``: group identifiers and finding id. ``rollup``: one row per group,
-    or several list parts for groups above the list limit. ``assigned``: what both are
-    derived from, rows of ``assign_rules``."""
+    """``association``: group identifiers and finding id. ``rollup``: one row per group.
+    ``assigned``: what both are derived from, rows of ``assign_rules``."""
 
     association: DataFrame
     rollup: DataFrame
@@ -34,8 +31,8 @@ def group_findings(
     rules: Rules,
     *,
     id_style: str = "compat",
-    lists: bool = True,
-    list_limit: int = LIST_LIMIT,
+    lists: bool = False,
+    summaries: Sequence[str] = (),
     reuse: bool = True,
     tenant: str | None = None,
     **options: Any,
@@ -43,15 +40,20 @@ def group_findings(
     """Run the rules over a findings view.
 
     ``reuse`` computes the assignment once for both outputs (see
-    ``skew.materialize``); ``options`` are those of ``assign_rules``. Where no finding is
-    taken, both outputs are empty and keep their schemas.
+    ``skew.materialize``); ``options`` are those of ``assign_rules``. ``summaries`` names
+    group summaries (see ``operators.summaries``) to add to the rollup; ``df`` must have the
+    columns they read. Where no finding is taken, both outputs are empty and keep their
+    schemas.
     """
+    if summaries:
+        taken = {*options.get("payload", ("cloud_account",)), "finding_id", *([tenant] if tenant else [])}
+        options["payload"] = [*options.get("payload", ("cloud_account",)), *(c for c in summary_inputs(df, summaries) if c not in taken)]
     assigned = assign_rules(df, rules, tenant=tenant, **options)
     if reuse:
         assigned = materialize(assigned)
     return Grouping(
-        association(assigned, id_style, tenant, stored=reuse),
-        rollup(assigned, id_style, lists, list_limit, tenant, stored=reuse),
+        association(assigned, id_style, tenant),
+        rollup(assigned, id_style, lists, tenant, summaries),
         assigned,
     )
 
@@ -77,15 +79,12 @@ def _group(tenant: str | None) -> list[str]:
     return ([tenant] if tenant else []) + [RULE_NUMBER, GROUP_KEY]
 
 
-def association(
-    assigned: DataFrame, id_style: str = "compat", tenant: str | None = None, stored: bool = False
-) -> DataFrame:
+def association(assigned: DataFrame, id_style: str = "compat", tenant: str | None = None) -> DataFrame:
     """One row per group and finding, as often as the finding occurs in the group.
 
     A projection of the assigned rows: no list is collected to be taken apart again.
-    ``stored`` says that ``assigned`` is cheap to read twice.
     """
-    rows = expand_copies(assigned, "finding_id", stored)
+    rows = expand_copies(assigned)
     return rows.select(*([tenant] if tenant else []), *_identifiers(id_style), "finding_id")
 
 
@@ -98,64 +97,62 @@ def group_counts(assigned: DataFrame, tenant: str | None = None) -> DataFrame:
 def rollup(
     assigned: DataFrame,
     id_style: str = "compat",
-    lists: bool = True,
-    list_limit: int = LIST_LIMIT,
+    lists: bool = False,
     tenant: str | None = None,
-    stored: bool = False,
+    summaries: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per group: identifiers, finding ids, cloud accounts, count, rule number.
+    """One row per group: identifiers, finding ids, cloud accounts, count, rule number, and
+    then the summaries asked for.
 
-    ``findings_count`` is always the whole group's. Groups above ``list_limit`` rows get
-    their lists in several rows, numbered by ``list_part``, which together hold every
-    entry once, so that no task has to hold a hot group; for all others ``list_part`` is
-    0. ``lists=False`` leaves the lists out.
+    The two lists hold a whole group in one value, so they are only filled where the caller
+    asks for ``lists``, knowing that the largest group fits; they are NULL otherwise. The same
+    pairs of group and finding, however many, are the rows of the association.
     """
     group = _group(tenant)
     lead = [tenant] if tenant else []
-    counts = group_counts(assigned, tenant)
-    if not lists:
-        return counts.select(*lead, *_identifiers(id_style), "findings_count", RULE_NUMBER)
-
-    # With at least rows/MAX_CUT_GROUPS entries per part, fewer than MAX_CUT_GROUPS
-    # groups can be above the limit: the broadcast below cannot grow with the data.
-    limit = counts.agg(
-        F.greatest(F.lit(list_limit), F.ceil(F.sum("findings_count") / MAX_CUT_GROUPS)).alias("limit")
-    ).scalar()
-    cut = (
-        counts.withColumn("__limit", limit)
-        .where(F.col("findings_count") > F.col("__limit"))
-        .withColumn("__parts", F.ceil(F.col("findings_count") / F.col("__limit")))
-        .drop("__limit")
-        .withColumnRenamed("findings_count", "__whole")
-    )
-    spread = F.xxhash64("finding_id", COPY_NUMBER)
-    entries = (
-        expand_copies(assigned, "finding_id", stored)
-        .join(F.broadcast(cut), group, "left")
-        .withColumn("list_part", F.pmod(spread, F.coalesce(F.col("__parts"), F.lit(1))).cast("int"))
-    )
-    return (
-        entries.groupBy(*group, "list_part")
-        .agg(
+    if lists:
+        groups = expand_copies(assigned).groupBy(*group).agg(
             F.collect_list("finding_id").alias("finding_ids"),
             F.collect_list("cloud_account").alias("cloud_accounts"),
-            F.coalesce(F.max("__whole"), F.count("finding_id")).alias("findings_count"),
+            F.count("finding_id").alias("findings_count"),
         )
-        .select(
-            *lead,
-            *_identifiers(id_style),
-            "finding_ids",
-            "cloud_accounts",
-            "findings_count",
-            RULE_NUMBER,
-            "list_part",
+    else:
+        groups = group_counts(assigned, tenant).withColumns(
+            {
+                "finding_ids": F.lit(None).cast("array<long>"),
+                "cloud_accounts": F.lit(None).cast("array<string>"),
+            }
         )
+    columns = []
+    if summaries:
+        summed = summarize(assigned, group, only=list(summaries))
+        columns = list(summaries)
+        named = {g: g if g not in columns else f"group_{g}" for g in group}
+        summed = summed.select(*[F.col(n).alias(f"__{g}") for g, n in named.items()], *columns)
+        same = F.lit(True)
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
+        groups = groups.join(summed, same)
+    return groups.select(
+        *lead, *_identifiers(id_style), "finding_ids", "cloud_accounts", "findings_count", RULE_NUMBER, *columns
     )
 
 
-def one_row_per_group(rollup: DataFrame) -> DataFrame:
-    """A rollup without the further list parts of its largest groups."""
-    return rollup.where(F.col("list_part") == 0) if "list_part" in rollup.columns else rollup
+def united_rollups(rollups: Mapping[Sequence[str], DataFrame]) -> DataFrame:
+    """Rollups with different group columns as one: each group's key in columns of their
+    names, NULL where a rollup does not group by them.
+
+    ``rollups`` maps group columns to assigned rows (of ``assign_rules``) grouped by them.
+    """
+    parts = []
+    for columns, assigned in rollups.items():
+        counts = group_counts(assigned)
+        keys = [F.col(GROUP_KEY)[i].alias(c) for i, c in enumerate(columns)]
+        parts.append(counts.select(*_identifiers("compat"), "findings_count", RULE_NUMBER, *keys))
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part, allowMissingColumns=True)
+    return united
 
 
 def claimed_ids(assigned: DataFrame, tenant: str | None = None) -> DataFrame:

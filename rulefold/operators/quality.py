@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rulefold.operators.assign import GROUP_KEY, RULE_NUMBER
-from rulefold.operators.groups import one_row_per_group
 from rulefold.operators.skew import copies_of
 
 
@@ -31,7 +30,7 @@ def count_mismatches(
     agreement. Both sides are counted before they meet, so hot groups join as one row.
     """
     group = ([tenant] if tenant else []) + ["group_identifier"]
-    expected = one_row_per_group(rollup).select(*group, F.col("findings_count").alias("expected_count"))
+    expected = rollup.select(*group, F.col("findings_count").alias("expected_count"))
     actual = association.groupBy(*group).agg(F.count("finding_id").alias("actual_count"))
     return (
         expected.join(actual, group, "left")
@@ -71,7 +70,7 @@ def run_report(assigned: DataFrame, tenant: str | None = None) -> DataFrame:
 
 def run_totals(rollup: DataFrame) -> DataFrame:
     """Number of groups, and of findings in them."""
-    return one_row_per_group(rollup).agg(
+    return rollup.agg(
         F.count(F.lit(1)).alias("total_groups"), F.sum("findings_count").alias("total_findings")
     )
 

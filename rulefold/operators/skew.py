@@ -1,53 +1,18 @@
-"""Joins and expansions that stay even when one key holds a large share of the rows."""
+"""Joins, expansions and stored tables for inputs where one key may hold a large share of the rows."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-_TRACKED_ITEMS = 2048
-NULL_KEY_SALTS = 256
 COPIES = "row_copies"
 COPY_NUMBER = "copy_number"
 COPIES_PER_PIECE = 100_000
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's own size estimate lets ``df`` be broadcast in this session."""
-    session = df.sparkSession._jsparkSession
-    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit
-
-
-def hot_keys(df: DataFrame, key: str, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``(key, salts)`` of the keys that hold at least 1/``max_keys`` of the rows.
-
-    One scan of one column into a mergeable frequent-items sketch, no shuffle of keys;
-    never more than ``max_keys`` rows, whatever the input. ``salts`` says into how many
-    slices of about rows/``max_keys`` the key should be cut. The sketch only steers the
-    cutting: results do not depend on it.
-    """
-    name = f"`{key}`"
-    sketched = df.where(F.col(name).isNotNull()).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k({name}, {max_keys}, {_TRACKED_ITEMS})").alias("top"),
-    )
-    return (
-        sketched.select("total", F.explode("top").alias("hot"))
-        .where(F.col("hot.count") * max_keys >= F.col("total"))
-        .where(F.col("hot.count") > 1)
-        .select(
-            F.col("hot.item").alias(key),
-            F.ceil(F.col("hot.count") * max_keys / F.col("total")).cast("int").alias("salts"),
-        )
-    )
-
-
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -55,56 +20,33 @@ def skew_join(
     right_key: str,
     how: str,
     spread_by: str,
-    hot_from: DataFrame | None = None,
     shared: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join (inner or left) whose left side may be skewed on ``left_key``.
 
-    A right side that fits a broadcast is joined as it is. Otherwise left rows of a hot
-    key are cut into slices by the hash of ``spread_by``, and the right rows of just
-    those keys are repeated once per slice; left rows without a key, which can match
-    nothing, are spread as well. ``hot_from`` is a cheaper frame to look for hot keys
-    in, e.g. the bare table ``left`` starts from. ``shared`` columns, where the right side
-    has them, must be equal too. The right side's keys are dropped.
+    Which side is broadcast, and into how many slices a hot key is cut, adaptive execution
+    decides from the sizes it measures. Two things it cannot do are done here. Left rows
+    without a key match nothing and would all meet in one task: a second key, the hash of
+    ``spread_by``, deals them to all tasks. And it can only cut a side that was shuffled for
+    this very join: the second key, which no earlier partitioning has, makes sure of that.
+    ``shared`` columns, where the right side has them, must be equal too. The right side's
+    keys are dropped.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how!r}")
     shared = [c for c in shared if c in right.columns]
     columns = [*left.columns, *[c for c in right.columns if c not in (right_key, *shared)]]
     right = right.withColumnsRenamed({right_key: "__right_key", **{c: f"__right_{c}" for c in shared}})
-    same = F.lit(True)
+    same = F.col(left_key) == F.col("__right_key")
     for c in shared:
         same = same & (F.col(c) == F.col(f"__right_{c}"))
-    if fits_broadcast(right):
-        joined = left.join(right, (F.col(left_key) == F.col("__right_key")) & same, how)
-        return joined.drop("__right_key", *[f"__right_{c}" for c in shared])
-
-    # at most MAX_HOT_KEYS rows by construction
-    found = hot_keys(hot_from if hot_from is not None else left, left_key)
-    hot = F.broadcast(found.withColumnRenamed("salts", "__salts"))
-    spread = F.xxhash64(F.col(f"`{spread_by}`"))
-    slices = F.when(F.col(left_key).isNull(), F.lit(NULL_KEY_SALTS)).otherwise(
-        F.coalesce(F.col("__salts"), F.lit(1))
-    )
-    cut = (
-        left.join(hot, left_key, "left")
-        .withColumn("__salt", F.pmod(spread, slices).cast("int"))
-        .drop("__salts")
-        .withColumnRenamed(left_key, "__left_key")
-    )
-    repeated = (
-        right.join(hot.withColumnRenamed(left_key, "__right_key"), "__right_key", "left")
-        .withColumn("__right_salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
-        .drop("__salts")
-    )
-    joined = cut.join(
-        repeated,
-        (F.col("__left_key") == F.col("__right_key"))
-        & (F.col("__salt") == F.col("__right_salt"))
-        & same,
-        how,
+    # always 0 where there is a key, on both sides; written so that it is not folded away
+    nothing = F.pmod(F.xxhash64("__right_key"), F.lit(1))
+    spread = F.when(F.col(left_key).isNull(), F.xxhash64(spread_by)).otherwise(F.pmod(F.xxhash64(left_key), F.lit(1)))
+    joined = left.withColumn("__salt", spread).join(
+        right.withColumn("__right_salt", nothing), same & (F.col("__salt") == F.col("__right_salt")), how
     )
-    return joined.withColumnRenamed("__left_key", left_key).select(*columns)
+    return joined.select(*columns)
 
 
 def copies_by_key(
@@ -127,51 +69,37 @@ def copies_of(df: DataFrame) -> Column:
     return F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("long")
 
 
-def expand_copies(
-    df: DataFrame, spread_by: str, stored: bool = False, per_piece: int = COPIES_PER_PIECE
-) -> DataFrame:
-    """One row per copy; replaces ``row_copies`` by ``copy_number`` (from 0).
+def expand_copies(df: DataFrame, per_piece: int = COPIES_PER_PIECE) -> DataFrame:
+    """One row per copy, in place; replaces ``row_copies`` by ``copy_number`` (from 0).
 
-    Rows are cut into pieces of at most ``per_piece`` copies and the pieces shuffled, so
-    no task writes out all copies of a hot row and no array of them exists. A ``stored``
-    input, which is cheap to read twice, is shuffled only where rows exceed one piece.
+    Rows are cut into pieces of at most ``per_piece`` copies, so no array of all copies of a
+    hot row exists, and nothing is shuffled.
     """
     if COPIES not in df.columns:
         return df.withColumn(COPY_NUMBER, F.lit(0).cast("long"))
     copies, piece = F.col(COPIES), F.col("__piece")
     others = [c for c in df.columns if c != COPIES]
-
-    def numbered(first: Column, size: Column) -> Column:
-        return F.explode(F.sequence(first, first + size - 1)).alias(COPY_NUMBER)
-
-    def spread(rows: DataFrame) -> DataFrame:
-        last = ((copies - 1) / per_piece).cast("long")
-        pieces = rows.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        size = F.least(F.lit(per_piece).cast("long"), copies - piece * per_piece)
-        shuffled = pieces.repartition(F.col(spread_by), piece)
-        return shuffled.select(*others, numbered(piece * per_piece, size))
-
-    if not stored:
-        return spread(df)
-    whole = df.where(copies <= per_piece).select(*others, numbered(F.lit(0).cast("long"), copies))
-    return whole.unionByName(spread(df.where(copies > per_piece)))
+    last = ((copies - 1) / per_piece).cast("long")
+    pieces = df.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    first = piece * per_piece
+    size = F.least(F.lit(per_piece).cast("long"), copies - first)
+    return pieces.select(*others, F.explode(F.sequence(first, first + size - 1)).alias(COPY_NUMBER))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, for several readers, in the cluster's checkpoint folder.
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` computed once, for several readers: written as parquet and read back.
 
-    The folder is the one the session already names (``spark.checkpoint.dir``); a local
-    master without one gets a temporary folder, and a cluster without one recomputes.
+    The folder is the caller's, or the one the session names for such files
+    (``spark.checkpoint.dir``). A local master without one uses a folder in its warehouse; a
+    cluster without one raises, since executors would not find each other's files.
     """
-    return df.checkpoint() if _checkpoint_dir_ready(df.sparkSession) else df
-
-
-def _checkpoint_dir_ready(spark: SparkSession) -> bool:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return True
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and not context.master.startswith("local"):
-        return False
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="rulefold-"))
-    return True
+    spark = df.sparkSession
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("name a folder, or set spark.checkpoint.dir to one that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored"
+    path = f"{folder.rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -145,6 +145,15 @@ def all_summaries(df: DataFrame) -> list[Summary]:
     return out
 
 
+def summary_inputs(df: DataFrame, only: Sequence[str]) -> list[str]:
+    """The columns of ``df`` that the summaries named ``only`` read."""
+    by_name = {s.name: s for s in all_summaries(df)}
+    read = [FINDING, STATUS]
+    for name in only:
+        read += [*by_name[name].reads, *([by_name[name].mode_of] if by_name[name].mode_of else [])]
+    return list(dict.fromkeys(read))
+
+
 def summarize(
     df: DataFrame,
     group_by: Sequence[str],

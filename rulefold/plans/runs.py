@@ -55,8 +55,7 @@ def candidate_groups(
     """Groups by one column of all findings with a package, next to the stored groups.
 
     Returns ``calculated_group_identifier``, ``calculated_finding_id`` (where a run ``stamp``
-    is given), ``finding_ids_without_group`` with its ``list_part``, and ``group_id`` and
-    ``main_finding_id`` of the unlocked stored group of that identifier. Findings excluded
+    is given), ``finding_ids_without_group``, and ``group_id`` and ``main_finding_id`` of the unlocked stored group of that identifier. Findings excluded
     from ``rule_id`` are left out.
     """
     column = group_by.rsplit(".", 1)[-1]
@@ -69,7 +68,7 @@ def candidate_groups(
     number, key = F.lit(rule_number), group_key([column])
     stamped = [run_identifier(number, key, [group_by], stamp).alias("calculated_finding_id")] if stamp else []
     groups = lists.select(
-        group_identifier(number, key).alias("group_identifier"), *stamped, "finding_ids_without_group", "list_part"
+        group_identifier(number, key).alias("group_identifier"), *stamped, "finding_ids_without_group"
     )
     matched = match_existing_groups(groups, tables["aggregation_groups"])
     return matched.withColumnRenamed("group_identifier", "calculated_group_identifier")

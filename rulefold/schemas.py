@@ -138,11 +138,10 @@ TABLES: dict[str, T.StructType] = {
 
 ASSOCIATION = _table("group_identifier group_identifier_readable finding_id:long")
 
-# ``list_part`` is 0 for every group whose lists fit in one row (see operators.groups).
 ROLLUP = _table(
     """
     group_identifier group_identifier_readable finding_ids:longs cloud_accounts:strings
-    findings_count:long rule_number:int list_part:int
+    findings_count:long rule_number:int
     """
 )
 

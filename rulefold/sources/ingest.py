@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from rulefold.schemas import id_column
 from rulefold.sources.sinks import save_table
@@ -22,6 +23,13 @@ SMALL_TABLES = [
     "resource_to_scopes", "scope_groups", "finding_ticket_associations", "tickets",
     "user_sla",
 ]
+# Of the small tables, those that grow with the findings, and the column to range over:
+# one connection would read the whole of each in one task.
+GROWING_TABLES = {
+    "finding_ticket_associations": "id", "tickets": "id", "aggregation_groups": "id",
+    "aggregation_rules_findings_excluder": "finding_id", "resource_to_scopes": "resource_id",
+    "user_sla": "id",
+}
 IDS_PER_BATCH = 3_200_000
 CONNECTIONS_PER_BATCH = 32
 MEDIUM_CONNECTIONS = 4
@@ -49,13 +57,15 @@ def id_ranges(bounds: tuple[int, int] | None, size: int, max_id: int | None = No
 class TableImport:
     """How one table is read: in ranges of ``batch_size`` ids, or whole where that is None.
 
-    ``buckets`` stores the table bucketed by its id column.
+    ``buckets`` stores the table bucketed by its id column. ``key`` is the column to range
+    over where that is not the id column of the schema.
     """
 
     table: str
     connections: int = 1
     batch_size: int | None = None
     buckets: int | None = None
+    key: str | None = None
 
     def run(self, spark: SparkSession, source, prefix: str = "", max_id: int | None = None,
             file_format: str = "parquet") -> int:
@@ -69,8 +79,12 @@ class TableImport:
         if self.connections == 1:
             save_table(source.read(spark, self.table), target, file_format=file_format)
             return 1
-        key = id_column(self.table)
+        key = self.key or id_column(self.table)
         layout = {"file_format": file_format, "bucket_by": (self.buckets, key) if self.buckets else None}
+        if not source.reads_by_range:
+            whole = source.read(spark, self.table)
+            save_table(whole if max_id is None else whole.where(F.col(key) <= max_id), target, **layout)
+            return 1
         bounds = source.id_bounds(spark, self.table, key)
         size = self.batch_size or (bounds[1] - bounds[0] + 1 if bounds else 1)
         ranges = id_ranges(bounds, size, max_id)
@@ -88,12 +102,13 @@ def import_plan(
     connections: int = CONNECTIONS_PER_BATCH,
     buckets: int | None = None,
 ) -> list[TableImport]:
-    """All tables. With ``buckets`` (the session's number of shuffle partitions), the large
+    """All tables; those that grow are read in ranges. With ``buckets`` (the session's number of shuffle partitions), the large
     and medium ones are stored bucketed by id, so the base view does not shuffle them."""
     return [
         *[TableImport(t, connections, ids_per_batch, buckets) for t in LARGE_TABLES],
         *[TableImport(t, MEDIUM_CONNECTIONS, None, buckets) for t in MEDIUM_TABLES],
-        *[TableImport(t) for t in SMALL_TABLES],
+        *[TableImport(t, connections, ids_per_batch, key=k) for t, k in GROWING_TABLES.items()],
+        *[TableImport(t) for t in SMALL_TABLES if t not in GROWING_TABLES],
     ]
 
 

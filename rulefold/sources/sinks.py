@@ -21,8 +21,11 @@ def save_table(
     """Write a managed table. Overwriting replaces the schema too.
 
     ``file_format="delta"`` works where the session has it. ``bucket_by`` is a number of
-    buckets and a column: tables bucketed alike join on that column without a shuffle.
+    buckets and a column: tables bucketed alike join on that column without a shuffle. Rows
+    are dealt by bucket before they are written, so that a batch makes one file per bucket.
     """
+    if bucket_by:
+        df = df.repartition(*bucket_by)
     writer = _laid_out(df, partition_by).write.format(file_format).mode(mode)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")

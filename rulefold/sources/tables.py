@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,7 @@ class JdbcSource:
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
+    reads_by_range: ClassVar[bool] = True
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """One connection."""
@@ -105,6 +107,8 @@ class FrameSource:
     """DataFrames that stand in for a database, e.g. an export of its tables."""
 
     tables: Mapping[str, DataFrame]
+    #: a range would scan the frame again: frames are written at once
+    reads_by_range: ClassVar[bool] = False
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return self.tables[table]
