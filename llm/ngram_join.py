@@ -13,10 +13,11 @@ Sets that share at least 75 of 100 n-grams of their union are linked.
    global order; each set walks the trie once, carries the overlap of the shared part along,
    and leaves a subtree when what remains on either side cannot reach the threshold, or when
    all sets below already are in its component. Only links that join components are emitted.
-4. *Twice.* First each set visits only the largest of its groups, cut into blocks: this joins
-   most of each family. Then all groups that still hold two components are searched whole;
-   groups with the same members are searched once, and groups above ``GROUP_BYTES`` as
-   pairs of blocks. No pair within the threshold is missed, whatever the first walk found.
+4. *Twice.* First each set visits only the group of its commonest prefix n-gram, cut into
+   blocks: this joins most of each family. Then sets that share a prefix n-gram with a set of
+   another component are searched whole, as families or by n-gram, whichever weighs less;
+   what exceeds ``GROUP_BYTES`` as pairs of blocks. No pair within the threshold is missed,
+   whatever the first walk found.
 
 Null and empty texts have no n-grams and are linked with nothing. Texts with fewer than five
 words have one n-gram, the whole sequence. Repeated rows are copies of each other. An empty
@@ -211,8 +212,9 @@ def _candidates(rows: pd.DataFrame) -> pd.DataFrame:
             prefix = prefix_length(n) - (n - (b - a))  # n-grams of this set alone come first
             if prefix > 0:
                 own = keys[a:b]
-                found.append((table[24 * number : 24 * number + 16], n, own.tobytes(), own[:prefix].view(np.int64).tolist()))
-    return pd.DataFrame(found, columns=["set", "n", "ngrams", "prefix"])
+                tokens = own[:prefix].view(np.int64).tolist()
+                found.append((table[24 * number : 24 * number + 16], n, own.tobytes(), own.nbytes, tokens, tokens[-1]))
+    return pd.DataFrame(found, columns=["set", "n", "ngrams", "size", "prefix", "commonest"])
 
 
 class Trie:
@@ -311,7 +313,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             for row in batch.slice(at, 256).to_pylist():
-                key = (row["token"], row["one"], row["other"])
+                key = (row["key"], row["one"], row["other"])
                 if key != group:
                     yield from links(rows)
                     group, rows = key, []
@@ -319,34 +321,53 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from links(rows)
 
 
-def _blocked(members: DataFrame, sets: DataFrame, labels: DataFrame | None, whole: bool) -> DataFrame:
-    """Links found among ``members`` (token, set); groups above ``GROUP_BYTES`` in blocks,
-    compared in pairs if ``whole``."""
-    sized = members.join(sets.select("set", F.length("ngrams").alias("_size")), "set")
-    blocks = sized.groupBy("token").agg(F.ceil(F.sum("_size") / GROUP_BYTES).cast("int").alias("_blocks"))
-    rows = members.join(blocks, "token").withColumn("side", F.pmod(F.xxhash64("set"), F.col("_blocks")).cast("int"))
-    if whole:
-        rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    else:
-        rows = rows.withColumn("_other", F.col("side"))
-    rows = rows.select(
-        "token", F.least("side", "_other").alias("one"), F.greatest("side", "_other").alias("other"), "side", "set"
-    )
-    rows = rows.join(sets.select("set", "n", "ngrams"), "set")
-    if labels is not None:
-        rows = rows.join(labels, "set", "left")
-    else:
-        rows = rows.withColumn("label", F.lit(None).cast("binary"))
-    rows = rows.withColumn("label", F.coalesce("label", "set"))
-    keys = ["token", "one", "other"]
+def _searched(rows: DataFrame, sizes: DataFrame, whole: bool) -> DataFrame:
+    """Links found among ``rows`` (key, set, n, ngrams, label) with equal keys; groups above
+    ``GROUP_BYTES`` in blocks, compared in pairs if ``whole``. ``sizes`` has key and size."""
+    blocks = sizes.groupBy("key").agg(F.ceil(F.sum("size") / GROUP_BYTES).cast("int").alias("_blocks"))
+    blocks = stored(blocks.where("_blocks > 1"), "large-groups")  # few or none, and Spark knows their size
+    several = F.coalesce("_blocks", F.lit(1))
+    rows = rows.join(blocks, "key", "left").withColumn("side", F.pmod(F.xxhash64("set"), several).cast("int"))
+    others = F.sequence(F.lit(0), several - 1) if whole else F.array("side")
+    rows = rows.withColumn("_other", F.explode(others))
+    keys = ["key", "one", "other"]
     return (
-        rows.select(*keys, "side", "set", "n", "ngrams", "label")
+        rows.withColumns({"one": F.least("side", "_other"), "other": F.greatest("side", "_other")})
+        .select(*keys, "side", "set", "n", "ngrams", "label")
         .repartition(*keys)
         .sortWithinPartitions(*keys, "set")
         .mapInArrow(_search, "a binary, b binary")
     )
 
 
+def _families(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, set``: groups in which all pairs still to be compared meet.
+
+    Sets that share a prefix n-gram across components are joined to families, each searched
+    as a whole: its sets travel once. A family above ``GROUP_BYTES`` whose pairs of blocks
+    would weigh more than its n-grams' groups is searched by those groups instead.
+    """
+    labelled = prefixes.join(labels, "set", "left").withColumn("label", F.coalesce("label", "set"))
+    mixed = labelled.groupBy("token").agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high"), F.min("set").alias("_root")
+    )
+    mixed = stored(mixed.where("_low <> _high").select("token", "_root"), "mixed-tokens")
+    members = stored(prefixes.join(mixed, "token"), "mixed-members")
+    joined = connected_components(members.select(F.col("set").alias("a"), F.col("_root").alias("b")))
+    families = joined.select(F.col("node").alias("set"), F.col("component").alias("key"))
+    families = families.unionByName(joined.select(F.col("component").alias("set"), F.col("component").alias("key")).distinct())
+    families = stored(families, "families")
+    sized = families.join(sets.select("set", "size"), "set")
+    bytes_ = sized.groupBy("key").agg(F.sum("size").alias("_bytes"))
+    large = bytes_.where(F.col("_bytes") > GROUP_BYTES)
+    per_token = members.join(sized, "set").join(large, "key").groupBy("key", "_bytes").agg(F.sum("size").alias("_per_token"))
+    in_pairs = F.col("_bytes") * F.ceil(F.col("_bytes") / GROUP_BYTES)
+    by_token = stored(per_token.where(F.col("_per_token") < in_pairs).select("key"), "families-by-token")
+    whole = families.join(by_token, "key", "left_anti")
+    tokens = members.join(families, "set").join(by_token, "key", "left_semi")
+    return whole.select("key", "set").unionByName(tokens.select(F.col("token").cast("string").cast("binary").alias("key"), "set"))
+
+
 def set_links(docs: DataFrame) -> DataFrame:
     """``a, b``: links between digests of different sets that span all components."""
     spark = docs.sparkSession
@@ -358,26 +379,18 @@ def set_links(docs: DataFrame) -> DataFrame:
         .applyInPandas(_count, "block long, kind int, payload binary")
     )
     candidates = counted.groupBy("block").applyInPandas(
-        _candidates, "set binary, n int, ngrams binary, prefix array<long>"
+        _candidates, "set binary, n int, ngrams binary, size long, prefix array<long>, commonest long"
     )
     sets = stored(candidates.dropDuplicates(["set"]), "candidate-sets")
-    prefixes = sets.select("set", F.explode("prefix").alias("token"))
-    signature = [
-        F.count(F.lit(1)).alias("_n"),
-        F.bit_xor(F.xxhash64("set")).alias("_x"),
-        F.bit_xor(F.xxhash64("set", F.lit(1))).alias("_y"),
-    ]
-    groups = prefixes.groupBy("token").agg(*signature).where("_n >= 2")
-    groups = groups.groupBy("_n", "_x", "_y").agg(F.min("token").alias("token"))
-    members = stored(prefixes.join(groups.select("token", "_n"), "token"), "prefix-groups")
-    largest = members.groupBy("set").agg(F.max(F.struct("_n", "token")).alias("_best"))
-    first = _blocked(largest.select("set", "_best.token"), sets, None, False)
+    own = sets.withColumn("key", F.col("commonest").cast("string").cast("binary"))
+    first = _searched(own.select("key", "set", "n", "ngrams", F.col("set").alias("label")), own.select("key", "size"), False)
     first = stored(first, "first-links")
     labels = connected_components(first).select(F.col("node").alias("set"), F.col("component").alias("label"))
     labels = stored(labels, "first-labels")
-    labelled = members.join(labels, "set", "left").select("token", "set", F.coalesce("label", "set").alias("label"))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
-    rest = _blocked(members.join(mixed, "token", "left_semi").select("token", "set"), sets, labels, True)
+    families = stored(_families(sets.select("set", F.explode("prefix").alias("token")), labels, sets), "search-groups")
+    rows = families.join(sets.select("set", "n", "ngrams"), "set").join(labels, "set", "left")
+    rows = rows.withColumn("label", F.coalesce("label", "set"))
+    rest = _searched(rows, families.join(sets.select("set", "size"), "set").select("key", "size"), True)
     return first.unionByName(rest)
 
 
