@@ -41,7 +41,8 @@ from llm.components import connected_components
 
 WORDS = 5
 SLICE_BYTES = 512 << 10
-BLOCK_NGRAMS = 2 << 20
+BLOCK_NGRAMS = 1 << 20
+RANGES_PER_TASK = 4
 GROUP_BYTES = 4 << 20
 MOST_COUNTED = 4095
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -371,7 +372,7 @@ def _families(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
 def set_links(docs: DataFrame) -> DataFrame:
     """``a, b``: links between digests of different sets that span all components."""
     spark = docs.sparkSession
-    buckets = task_count(spark)
+    buckets = RANGES_PER_TASK * task_count(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
     counted = (
         texts.mapInArrow(_postings(buckets), _POSTINGS)
