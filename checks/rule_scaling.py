@@ -64,7 +64,7 @@ def main() -> None:
         one_pass = {
             reuse: measure(
                 spark,
-                lambda: group_findings(registry.base(spark, args.sf, weighted=True), rules, reuse=reuse).rollup,
+                lambda: group_findings(registry.base(spark, args.sf, weighted=True), rules, lists=True, reuse=reuse).rollup,
             )
             for reuse in (True, False)
         }

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from checks.rule_loop import loop_rollup
 from rulefold import Rule, assign_rules, create_groups, group_findings
 from rulefold.functions.identity import group_identifier
+from rulefold.operators.existing import change_plan
+from rulefold.operators.quality import count_mismatches, run_totals
 from tests.helpers import rows_of
 
 SCHEMA = "finding_id long, package_name string, cloud_account string, source string, severity int"
@@ -56,7 +58,7 @@ def comparable(rollup):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_the_loop(spark, seed):
     df = spark.createDataFrame(random_rows(seed), SCHEMA)
-    run = group_findings(df, RULES)
+    run = group_findings(df, RULES, lists=True)
     assert comparable(run.rollup) == comparable(loop_rollup(df, RULES))
     exploded = loop_rollup(df, RULES).select(
         "group_identifier", "group_identifier_readable", F.explode("finding_ids")
@@ -67,12 +69,12 @@ def test_equals_the_loop(spark, seed):
 def test_weighted_rows_equal_repeated_rows(spark):
     df = spark.createDataFrame(random_rows(3), SCHEMA)
     weighted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("row_copies"))
-    assert comparable(group_findings(weighted, RULES).rollup) == comparable(group_findings(df, RULES).rollup)
+    assert comparable(group_findings(weighted, RULES, lists=True).rollup) == comparable(group_findings(df, RULES, lists=True).rollup)
 
 
 def test_distinct_takes_each_finding_once_per_group(spark):
     df = spark.createDataFrame(random_rows(4), SCHEMA)
-    plain, distinct = (group_findings(df, RULES, fanout=f) for f in ("rows", "distinct"))
+    plain, distinct = (group_findings(df, RULES, fanout=f, lists=True) for f in ("rows", "distinct"))
     kept = ("finding_id", "rule_number", "group_key")
     assert rows_of(distinct.assigned, *kept) == rows_of(plain.assigned.select(*kept).distinct())
     pairs = distinct.rollup.select("findings_count", F.size("finding_ids")).collect()
@@ -111,7 +113,7 @@ def test_findings_id_means_the_finding(spark):
 def test_unique_ids_skips_the_comparison_but_not_the_order(spark):
     rows = [r for n, r in enumerate(random_rows(5)) if r[0] not in {q[0] for q in random_rows(5)[:n]}]
     df = spark.createDataFrame(rows, SCHEMA)
-    a, b = (group_findings(df, RULES, unique_ids=u) for u in (True, False))
+    a, b = (group_findings(df, RULES, unique_ids=u, lists=True) for u in (True, False))
     assert comparable(a.rollup) == comparable(b.rollup)
     plan = assign_rules(df, RULES, unique_ids=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
@@ -161,9 +163,9 @@ def test_sql_filters_apply_only_on_request(spark):
 def test_group_identifier_matches_a_known_hash(spark):
     import hashlib
 
-    df = spark.createDataFrame([(1, "pkg1", "koko_account", "x", 1), (2, None, "a", "x", 1)], SCHEMA)
+    df = spark.createDataFrame([(1, "lib1", "prod_account", "x", 1), (2, None, "a", "x", 1)], SCHEMA)
     got = rows_of(create_groups(df, ["package_name", "cloud_account"], 1).association)
-    spelled = {"pkg1_koko_account": "1-pkg1-koko_account", "null_a": "1-null-a"}
+    spelled = {"lib1_prod_account": "1-lib1-prod_account", "null_a": "1-null-a"}
     want = [(hashlib.md5(s.encode()).hexdigest(), r) for r, s in spelled.items()]
     assert sorted((i, r) for i, r, _ in got) == sorted(want)
 
@@ -182,28 +184,44 @@ def test_keys_that_share_a_compat_hash_stay_separate_groups(spark):
         group_identifier(F.lit(1), F.array(F.lit("a")), "other")
 
 
-def test_groups_above_the_limit_are_cut_into_parts_that_hold_every_entry_once(spark):
+@pytest.mark.parametrize("lists", [False, True])
+def test_every_group_is_one_row_whatever_its_size(spark, lists):
+    """Forty groups of two, and one that holds most rows."""
     df = spark.range(5000).selectExpr(
-        "id AS finding_id", "CASE WHEN id < 4000 THEN 'hot' ELSE concat('p', id % 10) END AS package_name",
+        "id AS finding_id", "CASE WHEN id >= 80 THEN 'hot' ELSE concat('p', id % 40) END AS package_name",
         "CASE WHEN id % 2 = 0 THEN 'acc' END AS cloud_account",
     )
-    whole = create_groups(df, ["package_name"]).rollup
-    cut = create_groups(df, ["package_name"], list_limit=500).rollup
-    assert whole.where("list_part > 0").count() == 0
-    parts = cut.where("group_identifier_readable = 'hot'").collect()
-    assert len(parts) == 8 and {p["findings_count"] for p in parts} == {4000}
-    assert max(len(p["finding_ids"]) for p in parts) < 1000
-    assert sorted(i for p in parts for i in p["finding_ids"]) == list(range(4000))
-    assert sum(len(p["cloud_accounts"]) for p in parts) == 2000
-    others = "group_identifier_readable <> 'hot'"
-    assert comparable(cut.where(others)) == comparable(whole.where(others))
-
-
-def test_a_finding_with_very_many_copies_is_cut_as_well(spark):
+    run = create_groups(df, ["package_name"], lists=lists)
+    assert run.rollup.columns == [
+        "group_identifier", "group_identifier_readable", "finding_ids", "cloud_accounts", "findings_count", "rule_number",
+    ]
+    assert rows_of(run_totals(run.rollup)) == [(41, 5000)]
+    assert count_mismatches(run.rollup, run.association).count() == 0
+    existing = run.rollup.selectExpr("monotonically_increasing_id() AS id", "group_identifier", "false AS is_locked")
+    assert rows_of(change_plan(run.rollup, existing).select("change").distinct()) == [("matched",)]
+    hot = run.rollup.where("group_identifier_readable = 'hot'").first()
+    if lists:
+        assert sorted(hot["finding_ids"]) == list(range(80, 5000)) and len(hot["cloud_accounts"]) == 2460
+    else:
+        assert hot["finding_ids"] is None and hot["cloud_accounts"] is None
+
+
+def test_a_finding_with_very_many_copies_is_written_in_full(spark):
     df = spark.createDataFrame([(1, "p", "a", "x", 1, 250_001), (2, "p", None, "x", 1, 2)], SCHEMA + ", row_copies long")
-    run = create_groups(df, ["package_name"], list_limit=50_000)
+    run = create_groups(df, ["package_name"], lists=True)
     assert run.association.count() == 250_003
-    parts = run.rollup.collect()
-    assert len(parts) == 6
-    assert sum(len(p["finding_ids"]) for p in parts) == 250_003
-    assert sum(len(p["cloud_accounts"]) for p in parts) == 250_001
+    group = run.rollup.first()
+    assert len(group["finding_ids"]) == 250_003 and len(group["cloud_accounts"]) == 250_001
+
+
+def test_five_hundred_tenants_with_few_rule_lists(spark):
+    df = spark.range(2000).selectExpr(
+        "id AS finding_id", "concat('t', id % 500) AS tenant", "concat('p', id % 3) AS package_name", "'a' AS cloud_account"
+    )
+    by_package, none = [Rule(1, 1, ("package_name",))], [Rule(2, 1, ("package_name",), {"package_name": ["none"]})]
+    rules = {f"t{n}": by_package if n % 2 else none for n in range(499)}
+    assigned = assign_rules(df, rules, tenant="tenant")
+    plan = assigned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("none") < 10
+    got = rows_of(assigned, "tenant", "finding_id")
+    assert got == sorted(((f"t{i % 500}", i) for i in range(2000) if i % 2 and i % 500 != 499), key=repr)

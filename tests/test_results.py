@@ -45,10 +45,9 @@ def test_change_plan_tells_new_matched_and_vanished(groups, existing):
     ]
 
 
-def test_change_plan_counts_a_group_in_parts_once(spark, existing):
+def test_change_plan_counts_a_group_once(spark, existing):
     df = spark.range(50).selectExpr("id AS finding_id", "'p' AS package_name", "'a' AS cloud_account")
-    rollup = create_groups(df, ["package_name"], list_limit=10).rollup
-    assert rollup.count() == 5
+    rollup = create_groups(df, ["package_name"]).rollup
     new = change_plan(rollup, existing).where("change = 'new'")
     assert rows_of(new, "computed_groups", "findings_count") == [(1, 50)]
 
@@ -59,16 +58,15 @@ def test_null_in_an_exclusion_list_excludes_nothing(spark):
     assert rows_of(exclude_findings(df, barred, 10)) == [(0,), (2,), (3,)]
 
 
-def test_ungrouped_lists_are_empty_not_absent_and_cut_when_large(spark):
+def test_ungrouped_lists_are_empty_not_absent(spark):
     df = spark.range(100).selectExpr(
         "id AS finding_id", "CASE WHEN id < 90 THEN 'big' WHEN id < 95 THEN 'done' END AS g",
         "CASE WHEN id >= 90 OR id % 2 = 0 THEN 1 END AS aggregation_group_id",
     )
     got = {r["g"]: r["finding_ids_without_group"] for r in ungrouped_findings(df, ["g"]).collect()}
     assert sorted(got["big"]) == list(range(1, 90, 2)) and got["done"] == [] and got[None] == []
-    cut = ungrouped_findings(df, ["g"], part_size=30).collect()
-    big = [r["finding_ids_without_group"] for r in cut if r["g"] == "big"]
-    assert len(big) == 3 and sorted(sum(big, [])) == list(range(1, 90, 2))
+    rows = ungrouped_findings(df, ["g"], lists=False)
+    assert rows_of(rows) == sorted((("big", n) for n in range(1, 90, 2)), key=repr)
 
 
 def test_outputs_have_the_published_schemas(spark):
@@ -77,8 +75,8 @@ def test_outputs_have_the_published_schemas(spark):
     nothing = {"missing": [], "unexpected": [], "retyped": []}
     assert schema_differences(run.association, ASSOCIATION) == nothing
     assert schema_differences(run.rollup, ROLLUP) == nothing
-    assert schema_differences(run.rollup.drop("list_part").withColumn("rule_number", F.lit("x")), ROLLUP) == {
-        "missing": ["list_part"], "unexpected": [], "retyped": ["rule_number"],
+    assert schema_differences(run.rollup.drop("finding_ids").withColumn("rule_number", F.lit("x")), ROLLUP) == {
+        "missing": ["finding_ids"], "unexpected": [], "retyped": ["rule_number"],
     }
 
 
@@ -87,7 +85,7 @@ def test_counts_agree_unless_rows_go_missing_or_hashes_collide(spark):
         [(1, "a-b", "c"), (2, "a", "b-c"), (3, "x", "y"), (3, "x", "y")],
         "finding_id long, package_name string, cloud_account string",
     )
-    exact = create_groups(df, ["package_name", "cloud_account"], id_style="exact", list_limit=1)
+    exact = create_groups(df, ["package_name", "cloud_account"], id_style="exact")
     assert count_mismatches(exact.rollup, exact.association).count() == 0
     damaged = exact.association.where("finding_id <> 2")
     assert rows_of(count_mismatches(exact.rollup, damaged), "expected_count", "actual_count") == [(1, 0)]

@@ -58,17 +58,34 @@ def test_the_import_plan_has_18_tables_by_size():
     assert len(plan) == 18
     assert [s.table for s in plan if s.batch_size] == [
         "findings", "findings_scores", "user_status", "findings_info", "findings_additional_data", "plain_resources",
+        "finding_ticket_associations", "tickets", "aggregation_groups", "aggregation_rules_findings_excluder",
+        "resource_to_scopes", "user_sla",
     ]
     assert {(s.connections, s.batch_size) for s in plan} == {(32, 3_200_000), (4, None), (1, None)}
 
 
+class RangedSource(FrameSource):
+    """Frames read range by range, as a database is."""
+
+    reads_by_range = True
+
+
+def test_frames_are_written_at_once(spark):
+    tables = small_tables(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS at_once")
+    plan = [TableImport("findings", 4, 3), TableImport("user_sla", 4, 3), TableImport("resource_to_scopes", 4, 3, key="resource_id")]
+    batches = import_findings(spark, FrameSource(tables), "at_once.", plan, max_id=6)
+    assert batches == {"findings": 1, "user_sla": 1, "resource_to_scopes": 1}
+    assert rows_of(spark.table("at_once.findings"), "id") == [(n,) for n in range(1, 7)]
+
+
 def test_import_keeps_every_batch(spark):
     tables = small_tables(spark)
     tables["findings_info"] = table(spark, "findings_info", [{"id": 0}])
     spark.sql("CREATE DATABASE IF NOT EXISTS imported")
     plan = [TableImport("findings", 4, 3), TableImport("findings_info", 4, 3), TableImport("user_sla", 4, 3),
             TableImport("finding_sla_rule_connections", 4), TableImport("statuses")]
-    batches = import_findings(spark, FrameSource(tables), "imported.", plan)
+    batches = import_findings(spark, RangedSource(tables), "imported.", plan)
     assert batches == {"findings": 4, "findings_info": 1, "user_sla": 0, "finding_sla_rule_connections": 0, "statuses": 1}
     stored = catalog_tables(spark, "imported.")
     assert set(stored) == set(batches)
@@ -76,7 +93,7 @@ def test_import_keeps_every_batch(spark):
     assert stored["findings_info"].count() == 1
     assert stored["user_sla"].columns == tables["user_sla"].columns and stored["user_sla"].count() == 0
     # again, with a cap: nothing of the first import stays
-    import_findings(spark, FrameSource(tables), "imported.", plan[:1], max_id=5)
+    import_findings(spark, RangedSource(tables), "imported.", plan[:1], max_id=5)
     assert rows_of(spark.table("imported.findings"), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
@@ -84,7 +101,7 @@ def test_bucketed_imports_join_by_id_without_shuffling_the_tables(spark, no_broa
     tables = small_tables(spark)
     spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
     plan = [s for s in import_plan(4, 4, buckets=4) if s.table in ("findings_scores", "user_status")]
-    assert import_findings(spark, FrameSource(tables), "bucketed.", plan) == {"findings_scores": 3, "user_status": 3}
+    assert import_findings(spark, RangedSource(tables), "bucketed.", plan) == {"findings_scores": 3, "user_status": 3}
     scores, status = spark.table("bucketed.findings_scores"), spark.table("bucketed.user_status")
     joined = scores.join(status, scores["finding_id"] == status["id"])
     assert joined.count() == 10
@@ -103,7 +120,7 @@ def test_parquet_folders_are_read_with_the_declared_schemas(spark, tmp_path):
     tables = small_tables(spark)
     tables["findings"].select("id", "package_name").write.parquet(str(tmp_path / "findings"))
     got = parquet_tables(spark, str(tmp_path), ["findings"])["findings"]
-    assert len(got.columns) == 32 and got.where("package_name = 'pkg3'").count() == 4
+    assert len(got.columns) == 32 and got.where("package_name = 'lib-c'").count() == 4
     spark.range(2).write.parquet(str(tmp_path / "other.parquet"))
     assert list(parquet_source(spark, str(tmp_path)).tables) == ["other"]
 
