@@ -147,7 +147,9 @@ def mixed(docs: DataFrame, entropy: float | None = None, repetitions: float | No
 
 def realised(docs: DataFrame, **how) -> DataFrame:
     """The columns of ``docs`` alone, rows as often as the mixture takes them."""
-    return mixed(docs, **how).select(*docs.columns)
+    read_by_name = {docs.columns.index(c): c for c in ("doc_id", "source", "text")}
+    plain = docs.toDF(*(read_by_name.get(i, f"c{i}") for i in range(len(docs.columns))))
+    return mixed(plain, **how).select(*plain.columns).toDF(*docs.columns)
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
