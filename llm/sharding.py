@@ -83,17 +83,20 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack
         current = stored(
             asked.withColumn("shard", F.when(moves, F.col("_wish")).otherwise(F.col("shard"))).drop("_wish", "_all", "_asks"), "labels"
         )
-    return current
+    large = linked.where(F.col("_all") > F.lit(mean / 8)).select("group", F.lit(True).alias("large"))
+    # fewer than 8 * shards groups can hold an eighth of a shard
+    return current.join(F.broadcast(large), "group", "left").withColumn("large", F.coalesce("large", F.lit(False)))
 
 
 def settled(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``rows`` with ``shard`` changed where needed to bring every shard to the mean size."""
+    """``rows`` (also with ``large``) with ``shard`` changed where needed to bring every shard
+    to the mean size. Small groups stay in a row, so that a cut divides few of them."""
     buckets = max(64, 4 * task_count(rows.sparkSession))
     spread = F.pmod(F.xxhash64(F.coalesce("group", F.lit("")), F.when(F.col("group").isNull(), F.col("id"))), F.lit(buckets))
-    salted = F.pmod(F.xxhash64("id"), F.lit(8))
-    # linked rows first; copies of one text stay together unless one of eight parts by id
+    salted = F.when(F.col("large") | F.col("group").isNull(), F.pmod(F.xxhash64("id"), F.lit(8))).otherwise(0)
+    # linked rows first; large groups in eight parts, as no task should hold one
     bucket = F.when(F.col("group").isNull(), buckets * 8).otherwise(0) + spread * 8 + salted
-    placed = preceding(rows.withColumn("_bucket", bucket), "shard", "_bucket", ["id", "size"], F.col("size"), "_before")
+    placed = preceding(rows.withColumn("_bucket", bucket), "shard", "_bucket", ["group", "id", "size"], F.col("size"), "_before")
     placed = stored(placed, "placed")
     load = _sums(placed, "shard", F.col("size"))
     mean = sum(load.values()) / shards
@@ -109,7 +112,7 @@ def settled(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
         upto.append(room)
     at = F.col("_before") + F.col("size") / 2 + _by_shard(over, shards)
     found = F.size(F.filter(F.array(*(F.lit(x) for x in upto[:-1])), lambda x: x <= at)) if shards > 1 else F.lit(0)
-    return placed.withColumn("shard", F.when(stays, F.col("shard")).otherwise(found.cast("int"))).drop("_before", "_bucket")
+    return placed.withColumn("shard", F.when(stays, F.col("shard")).otherwise(found.cast("int"))).drop("_before", "_bucket", "large")
 
 
 def numbered(rows: DataFrame, name: str = "slot") -> DataFrame:

@@ -150,6 +150,7 @@ def judged(
         "verdict",
     )
     lengths = [r.length for r in rules.select("length").distinct().collect()]  # path lengths of rules
+    pages = pages.drop("host", "path", "rule", "verdict", "_keys")
     named = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     named = named.withColumn("_keys", keys_of(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"))
     universe = stored(named.select(F.explode("_keys").alias("key")).distinct(), "url-keys")
