@@ -54,7 +54,9 @@ def preceding(df: DataFrame, part: str, bucket: str, order: list[str], value: Co
 
 def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
     """``rows`` (id, size, group; null groups are unlinked) with ``shard`` after label
-    propagation under quotas of ``1 + slack`` mean sizes."""
+    propagation: a shard's linked rows get ``1 + slack`` mean sizes, half of what asks to
+    leave counting as free. Unlinked rows do not count; they make room when sizes are settled.
+    Adds ``large`` for groups of more than an eighth of a shard."""
     current = stored(rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).cast("int")), "labels")
     mean = sum(_sums(current, "shard", F.col("size")).values()) / shards
     linked = stored(
@@ -75,7 +77,7 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack
         if not demand:
             break
         leaving = _sums(asked.where("_asks"), "shard", F.col("size"))
-        free = {s: (1 - slack) * mean - load.get(s, 0.0) + leaving.get(s, 0.0) / 2 for s in demand}
+        free = {s: (1 + slack) * mean - load.get(s, 0.0) + leaving.get(s, 0.0) / 2 for s in demand}
         share = {s: min(1.0, max(0.0, free[s]) / d) for s, d in demand.items() if d}
         small = F.col("_all") <= F.lit(mean / 8)
         drawn = F.pmod(F.when(small, F.xxhash64("group", F.lit(number))).otherwise(F.xxhash64("id", F.lit(number))), F.lit(1 << 20))
