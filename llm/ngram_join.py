@@ -358,19 +358,21 @@ def _families(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
     families = joined.select(F.col("node").alias("set"), F.col("component").alias("key"))
     families = families.unionByName(joined.select(F.col("component").alias("set"), F.col("component").alias("key")).distinct())
     families = stored(families, "families")
-    sized = families.join(sets.select("set", "size"), "set")
-    bytes_ = sized.groupBy("key").agg(F.sum("size").alias("_bytes"))
-    large = bytes_.where(F.col("_bytes") > GROUP_BYTES)
-    per_token = members.join(sized, "set").join(large, "key").groupBy("key", "_bytes").agg(F.sum("size").alias("_per_token"))
+    tokens_of = members.groupBy("set").agg(F.count(F.lit(1)).alias("_tokens"))
+    weighed = families.join(sets.select("set", "size"), "set").join(tokens_of, "set")
+    weighed = weighed.groupBy("key").agg(
+        F.sum("size").alias("_bytes"), F.sum(F.col("size") * F.col("_tokens")).alias("_per_token")
+    )
     in_pairs = F.col("_bytes") * F.ceil(F.col("_bytes") / GROUP_BYTES)
-    by_token = stored(per_token.where(F.col("_per_token") < in_pairs).select("key"), "families-by-token")
+    by_token = stored(weighed.where(F.col("_per_token") < in_pairs).select("key"), "families-by-token")
     whole = families.join(by_token, "key", "left_anti")
-    tokens = members.join(families, "set").join(by_token, "key", "left_semi")
+    tokens = members.join(families.join(by_token, "key", "left_semi").select("set"), "set")
     return whole.select("key", "set").unionByName(tokens.select(F.col("token").cast("string").cast("binary").alias("key"), "set"))
 
 
-def set_links(docs: DataFrame) -> DataFrame:
-    """``a, b``: links between digests of different sets that span all components."""
+def set_components(docs: DataFrame) -> DataFrame:
+    """``set, component`` of the digests of sets that are not the smallest of their
+    component."""
     spark = docs.sparkSession
     buckets = RANGES_PER_TASK * task_count(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -392,14 +394,22 @@ def set_links(docs: DataFrame) -> DataFrame:
     rows = families.join(sets.select("set", "n", "ngrams"), "set").join(labels, "set", "left")
     rows = rows.withColumn("label", F.coalesce("label", "set"))
     rest = _searched(rows, families.join(sets.select("set", "size"), "set").select("key", "size"), True)
-    return first.unionByName(rest)
+    # what the first walk joined counts as one: the rest links few labels
+    roots = rest.select("a", "b")
+    for end in ("a", "b"):
+        label = labels.select(F.col("set").alias("_set"), F.col("label").alias("_label"))
+        roots = roots.join(label, F.col(end) == F.col("_set"), "left").withColumn(end, F.coalesce("_label", end)).drop("_set", "_label")
+    later = stored(connected_components(roots), "later-labels").select(F.col("node").alias("_node"), "component")
+    every = labels.join(later, F.col("label") == F.col("_node"), "left").select(
+        "set", F.coalesce("component", "label").alias("component")
+    )
+    return every.unionByName(later.select(F.col("_node").alias("set"), "component"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs`` (doc_id, text)."""
     named = stored(document_sets(docs), "document-sets")
-    labels = connected_components(set_links(docs))
-    labelled = named.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn(
+    labelled = named.join(set_components(docs), "set", "left").withColumn(
         "_label", F.coalesce("component", "set")
     )
     labelled = labelled.where("n_shingles > 0")
