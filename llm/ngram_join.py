@@ -421,7 +421,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id. Rows
-    without n-grams all stay."""
+    without n-grams all stay. Ids name documents: rows with one id go or stay together."""
     found = stored(near_duplicates(docs.select("doc_id", "text")), "components")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -4,7 +4,8 @@ The text is cut before every run of word marks, which no piece crosses, so each
 chunk is encoded once per task. In a chunk, every prefix has one last token: the longest
 automaton match at its end whose predecessor (the last token of the prefix before the match)
 stays apart from it when the two are merged alone. The ids follow backwards from the end.
-Which pairs stay apart is a property of the vocabulary; answers are kept per task.
+Which pairs stay apart is a property of the vocabulary; a worker keeps its first answers, and
+those of its first chunks (frequent ones come early), up to fixed numbers.
 
 Nulls encode as empty texts; empty texts have no ids. Repeated rows are encoded again and
 give the same ids. An empty table gives an empty result. Extra columns are not read, and
@@ -28,8 +29,8 @@ from llm.common import by_bytes, read
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-KEPT_CHUNKS = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_CHUNKS = 120_000
+KEPT_PAIRS = 300_000
 LONG_CHUNK = 64
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -114,9 +115,9 @@ class PrefixTable:
     def stays_apart(self, left: int, right: int) -> bool:
         """Whether merging the characters of two pieces gives just these two."""
         first, second = self.piece_of[left], self.piece_of[right]
-        if len(self.apart) > KEPT_PAIRS:
-            self.apart.clear()
-        known = self.apart[left << 32 | right] = self.merged(list(first + second)) == [first, second]
+        known = self.merged(list(first + second)) == [first, second]
+        if len(self.apart) < KEPT_PAIRS:
+            self.apart[left << 32 | right] = known
         return known
 
     def pieces(self, chunk: str) -> list[str]:
@@ -210,14 +211,11 @@ class PrefixTable:
         names = list(map(self.chunk_ids.get, chunks))
         surfaces = list(map(self.chunk_text.get, chunks))
         if None in names:
-            if len(self.chunk_ids) > KEPT_CHUNKS:
-                self.chunk_ids.clear()
-                self.chunk_text.clear()
             for i, name in enumerate(names):
                 if name is None:
                     chunk = chunks[i]
                     names[i], surfaces[i] = self.of_chunk(chunk)
-                    if len(chunk) <= LONG_CHUNK:
+                    if len(chunk) <= LONG_CHUNK and len(self.chunk_ids) < KEPT_CHUNKS:
                         self.chunk_ids[chunk], self.chunk_text[chunk] = names[i], surfaces[i]
         ids, decoded = ",".join(names), "".join(surfaces)
         if self.dummy_prefix and decoded[:1] == " ":
@@ -255,7 +253,7 @@ def token_digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = prefix_table(model)
-        for batch in by_bytes(batches, "text", 4 << 20):
+        for batch in by_bytes(batches, "text", 1 << 20):
             rows = [table.digest(text or "") for text in batch.column("text").to_pylist()]
             counts, ids, decoded = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
