@@ -13,10 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_folders: dict[str, str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     environment = spark.sparkContext.environment  # of the workers, wherever the driver was started
     here = str(Path(__file__).resolve().parent.parent)
     if here not in environment.get("PYTHONPATH", "").split(os.pathsep):
@@ -24,6 +27,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches of this session hold at most ``BATCH_ROWS`` rows: rows here are whole
+    texts, and a batch is held by the executor and by its Python worker at once."""
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a folder of our own on a local master only."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from llm.common import by_bytes, mix64, read
+from llm.common import bounded_batches, by_bytes, mix64, read
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -170,6 +170,7 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str],
 
     ``labelled`` has doc_id, text and lang; rows without a label or a letter are passed over.
     """
+    bounded_batches(labelled.sparkSession)
     usable = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     rows, frequency = document_frequencies(usable)
     sample = sample_features(usable, train_rows)
@@ -188,6 +189,7 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str],
 
 def predict(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (which replace columns so named)."""
+    bounded_batches(docs.sparkSession)
     schema = docs.drop("lang_pred", "score")
     fields = StructType(list(schema.schema.fields)).add("lang_pred", "string").add("score", "double")
 

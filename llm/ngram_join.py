@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import RollingHash, by_bytes, mix64, read, stored, task_count, text_buffer
+from llm.common import RollingHash, bounded_batches, by_bytes, mix64, read, stored, task_count, text_buffer
 from llm.components import connected_components
 
 WORDS = 5
@@ -408,6 +408,7 @@ def set_components(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs`` (doc_id, text)."""
+    bounded_batches(docs.sparkSession)
     named = stored(document_sets(docs), "document-sets")
     labelled = named.join(set_components(docs), "set", "left").withColumn(
         "_label", F.coalesce("component", "set")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import by_bytes, read
+from llm.common import bounded_batches, by_bytes, read
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -249,6 +249,7 @@ def token_digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
 
     ``model_path`` is read on the driver (half a megabyte); tasks get its bytes.
     """
+    bounded_batches(docs.sparkSession)
     model = model_bytes(model_path or default_model())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

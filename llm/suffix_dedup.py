@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import RollingHash, by_bytes, read, row_key, stored, text_buffer
+from llm.common import RollingHash, bounded_batches, by_bytes, read, row_key, stored, text_buffer
 
 WINDOW = 400
 GRAM = 128
@@ -295,6 +295,7 @@ def _kept(raw: memoryview, spans: list[tuple[int, int]]) -> list[memoryview]:
 
 
 def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     keyed = docs.withColumn("row_key", row_key())
     return keyed.join(repeated_spans(keyed.select("row_key", "text"), window, gram), "row_key", "left")
 
