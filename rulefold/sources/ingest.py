@@ -73,9 +73,13 @@ class TableImport:
 
         The first batch replaces the table and the others append to it. A batch is
         committed as a whole or not at all, so an import that stopped is run again
-        from its start and leaves no row twice.
+        from its start and leaves no row twice. ``max_id`` holds for large and medium
+        tables; small ones are imported whole, also where they are read in ranges. Where no
+        cap holds, rows without a key are a batch of their own.
         """
         target = prefix + self.table
+        if self.table in SMALL_TABLES:
+            max_id = None
         if self.connections == 1:
             save_table(source.read(spark, self.table), target, file_format=file_format)
             return 1
@@ -87,14 +91,18 @@ class TableImport:
             return 1
         bounds = source.id_bounds(spark, self.table, key)
         size = self.batch_size or (bounds[1] - bounds[0] + 1 if bounds else 1)
-        ranges = id_ranges(bounds, size, max_id)
-        if not ranges:
+        batches = [
+            source.read_ids(spark, self.table, key, ids.low, ids.high, self.connections)
+            for ids in id_ranges(bounds, size, max_id)
+        ]
+        if max_id is None and source.has_null_ids(spark, self.table, key):
+            batches.append(source.read_null_ids(spark, self.table, key))
+        if not batches:
             save_table(source.read_empty(spark, self.table), target, **layout)
-        for number, ids in enumerate(ranges):
-            batch = source.read_ids(spark, self.table, key, ids.low, ids.high, self.connections)
+        for number, batch in enumerate(batches):
             mode = "overwrite" if number == 0 else "append"
             save_table(batch, target, mode=mode, **layout)
-        return len(ranges)
+        return len(batches)
 
 
 def import_plan(
@@ -120,7 +128,10 @@ def import_findings(
     max_id: int | None = None,
     file_format: str = "parquet",
 ) -> dict[str, int]:
-    """Import every table of the plan; returns the batches written by table."""
+    """Import every table of the plan; returns the batches written by table.
+
+    ``max_id`` caps the ids of large and medium tables only.
+    """
     steps = plan if plan is not None else import_plan()
     return {step.table: step.run(spark, source, prefix, max_id, file_format) for step in steps}
 

@@ -98,6 +98,14 @@ class JdbcSource:
         query = f"(SELECT * FROM {table} WHERE {id_column} BETWEEN {low} AND {high}) AS batch"
         return self.read_partitioned(spark, query, id_column, low, high, connections)
 
+    def has_null_ids(self, spark: SparkSession, table: str, id_column: str) -> bool:
+        query = f"(SELECT count(*) AS missing FROM {table} WHERE {id_column} IS NULL) AS nulls"
+        return self.read(spark, query).first()["missing"] > 0
+
+    def read_null_ids(self, spark: SparkSession, table: str, id_column: str) -> DataFrame:
+        """The rows no range holds, over one connection."""
+        return self.read(spark, f"(SELECT * FROM {table} WHERE {id_column} IS NULL) AS batch")
+
     def read_empty(self, spark: SparkSession, table: str) -> DataFrame:
         return self.read(spark, f"(SELECT * FROM {table} WHERE 1 = 0) AS empty_{table}")
 
@@ -122,6 +130,12 @@ class FrameSource:
     ) -> DataFrame:
         return self.tables[table].where(F.col(id_column).between(low, high))
 
+    def has_null_ids(self, spark: SparkSession, table: str, id_column: str) -> bool:
+        return not self.read_null_ids(spark, table, id_column).isEmpty()
+
+    def read_null_ids(self, spark: SparkSession, table: str, id_column: str) -> DataFrame:
+        return self.tables[table].where(F.col(id_column).isNull())
+
     def read_empty(self, spark: SparkSession, table: str) -> DataFrame:
         return self.tables[table].limit(0)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rulefold import Rule, group_findings, load_rules, parse_rules, publish_files, publish_tables, read_rules_file
 from rulefold.plans.runs import export_updates
-from rulefold.sources.ingest import IdRange, TableImport, id_ranges, import_findings, import_plan
+from rulefold.sources.ingest import GROWING_TABLES, IdRange, TableImport, id_ranges, import_findings, import_plan
 from rulefold.sources.rules import load_rules_by_tenant
 from rulefold.sources.sinks import save_table
 from rulefold.sources.tables import FrameSource, JdbcSource, catalog_tables, conform, empty_table, parquet_source, parquet_tables
@@ -97,6 +97,28 @@ def test_import_keeps_every_batch(spark):
     assert rows_of(spark.table("imported.findings"), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
+@pytest.mark.parametrize("ranged", [True, False])
+def test_a_capped_import_keeps_every_row_of_the_growing_tables(spark, ranged):
+    keys = (2, 7, 30, None)
+    tables = {
+        t: spark.createDataFrame([(k, f"row {n}") for n, k in enumerate(keys)], f"{key} long, extra string")
+        for t, key in GROWING_TABLES.items()
+    } | {"findings": spark.createDataFrame([(k,) for k in keys], "id long")}
+    tables["tickets"] = tables["tickets"].where("id > 5 OR id IS NULL")
+    tables["user_sla"] = tables["user_sla"].where("id IS NULL")
+    database = f"capped_{ranged}".lower()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    plan = [s for s in import_plan(10, 4) if s.table in tables]
+    source = (RangedSource if ranged else FrameSource)(tables)
+    import_findings(spark, source, f"{database}.", plan, max_id=5)
+    for name, df in tables.items():
+        kept = df if name in GROWING_TABLES else df.where("id <= 5")
+        assert rows_of(spark.table(f"{database}.{name}")) == rows_of(kept)
+    # without a cap, no table loses rows
+    import_findings(spark, source, f"{database}.", plan)
+    assert rows_of(spark.table(f"{database}.findings")) == rows_of(tables["findings"])
+
+
 def test_bucketed_imports_join_by_id_without_shuffling_the_tables(spark, no_broadcast):
     tables = small_tables(spark)
     spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
