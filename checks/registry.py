@@ -230,7 +230,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = finding_tables(spark, sf_dir)
     tables["aggregation_groups"] = with_package_groups(tables["aggregation_groups"], tables["findings"])
     groups = candidate_groups(
-        tables, "findings.package_name", 1, rule_id=102, stamp="2031/02/03T04/05/06.789Z"
+        tables, "findings.package_name", 1, rule_id=102, stamp="2031/02/03T04/05/06.789Z", lists=True
     )
     ids = F.array_sort(F.col("finding_ids_without_group").cast("array<string>"))
     return groups.withColumn("finding_ids_without_group", F.array_join(ids, ","))

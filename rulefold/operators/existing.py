@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulefold.operators.skew import COPIES, expand_copies
 
 # The states of a group in a change plan.
 NEW, MATCHED, VANISHED = "new", "matched", "vanished"
@@ -25,17 +26,28 @@ def match_existing_groups(
 
 
 def ungrouped_findings(
-    df: DataFrame, group_by: list[str], group_id: str = "aggregation_group_id", lists: bool = True
-) -> DataFrame:
+    df: DataFrame, group_by: list[str], group_id: str = "aggregation_group_id", lists: bool = True,
+    every_group: bool = False,
+) -> DataFrame:
     """Per group, its findings that are in no existing group yet, from one reading of ``df``.
 
     With ``lists``, one row per group with ``finding_ids_without_group``, empty where all its
     findings are grouped; the largest group's ids must fit in one value. Without, one row per
-    such finding: the same pairs, whatever the size of a group.
+    such finding: the same pairs, whatever the size of a group. With ``every_group``, a group
+    whose findings are all grouped keeps one row there, with a NULL ``finding_id``.
     """
-    if not lists:
+    ungrouped = F.when(F.col(group_id).isNull(), F.col("finding_id"))
+    if not lists and not every_group:
         return df.where(F.col(group_id).isNull()).select(*group_by, "finding_id")
-    ids = F.collect_list(F.when(F.col(group_id).isNull(), F.col("finding_id")))
+    if not lists:
+        # grouped findings combine map-side to one row of their group
+        counted = df.groupBy(*group_by, ungrouped.alias("finding_id")).agg(F.count(F.lit(1)).alias(COPIES))
+        some = F.sum(F.when(F.col("finding_id").isNotNull(), F.col(COPIES)))
+        without = counted.groupBy(*group_by).agg(some.alias(COPIES)).where(F.col(COPIES).isNull())
+        rows = expand_copies(counted.where(F.col("finding_id").isNotNull())).select(*group_by, "finding_id")
+        none = F.lit(None).cast(df.schema["finding_id"].dataType).alias("finding_id")
+        return rows.unionByName(without.select(*group_by, none))
+    ids = F.collect_list(ungrouped)
     return df.groupBy(*group_by).agg(ids.alias("finding_ids_without_group"))
 
 

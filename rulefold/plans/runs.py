@@ -51,11 +51,15 @@ def candidate_groups(
     rule_number: int,
     rule_id: int | None = None,
     stamp: str | None = None,
+    lists: bool = False,
 ) -> DataFrame:
     """Groups by one column of all findings with a package, next to the stored groups.
 
     Returns ``calculated_group_identifier``, ``calculated_finding_id`` (where a run ``stamp``
-    is given), ``finding_ids_without_group``, and ``group_id`` and ``main_finding_id`` of the unlocked stored group of that identifier. Findings excluded
+    is given), ``finding_id``, and ``group_id`` and ``main_finding_id`` of the unlocked stored
+    group of that identifier: one row per group and finding that is in no group yet, and one
+    with a NULL ``finding_id`` for a group without such findings. With ``lists``, one row per
+    group, whose ``finding_ids_without_group`` holds them all in one value. Findings excluded
     from ``rule_id`` are left out.
     """
     column = group_by.rsplit(".", 1)[-1]
@@ -64,12 +68,13 @@ def candidate_groups(
     excluder = tables.get("aggregation_rules_findings_excluder")
     if rule_id is not None and excluder is not None:
         rows = exclude_findings(rows, excluder, rule_id)
-    lists = ungrouped_findings(rows, [column], "existing_group_id")
+    found = ungrouped_findings(rows, [column], "existing_group_id", lists, every_group=True)
     number, key = F.lit(rule_number), group_key([column])
     stamped = [run_identifier(number, key, [group_by], stamp).alias("calculated_finding_id")] if stamp else []
-    groups = lists.select(
-        group_identifier(number, key).alias("group_identifier"), *stamped, "finding_ids_without_group"
-    )
+    groups = found.select(
+        group_identifier(number, key).alias("group_identifier"), *stamped,
+        "finding_ids_without_group" if lists else "finding_id",
+    )
     matched = match_existing_groups(groups, tables["aggregation_groups"])
     return matched.withColumnRenamed("group_identifier", "calculated_group_identifier")
 

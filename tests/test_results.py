@@ -14,8 +14,9 @@ from rulefold.operators.quality import (
     run_totals,
     schema_differences,
 )
+from rulefold.plans.runs import candidate_groups
 from rulefold.schemas import ASSOCIATION, ROLLUP, TABLES, id_column, schema_of, view_name_of
-from tests.helpers import rows_of
+from tests.helpers import rows_of, small_tables, table
 
 
 @pytest.fixture(scope="module")
@@ -69,6 +70,23 @@ def test_ungrouped_lists_are_empty_not_absent(spark):
     assert rows_of(rows) == sorted((("big", n) for n in range(1, 90, 2)), key=repr)
 
 
+def test_candidate_groups_without_lists_are_rows_of_the_same_pairs(spark):
+    tables = small_tables(spark)
+    tables["findings"] = tables["findings"].withColumn(
+        "aggregation_group_id", F.expr("CASE WHEN package_name = 'lib-b' OR id = 4 THEN 8 END")
+    )
+    tables["findings_scores"] = tables["findings_scores"].unionByName(tables["findings_scores"].where("finding_id = 1"))
+    tables["aggregation_groups"] = table(spark, "aggregation_groups", [{"id": 8, "group_identifier": "x", "is_locked": False}])
+    listed = candidate_groups(tables, "findings.package_name", 1, lists=True)
+    rows = candidate_groups(tables, "findings.package_name", 1)
+    want = listed.select(
+        "calculated_group_identifier", F.explode_outer("finding_ids_without_group").alias("finding_id"), "group_id", "main_finding_id"
+    )
+    assert rows_of(rows) == rows_of(want) and rows.count() == 11
+    assert rows.where("finding_id IS NULL").count() == 1 and rows.where("finding_id = 1").count() == 2
+    assert "collect_list" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_outputs_have_the_published_schemas(spark):
     df = spark.createDataFrame([(1, "p", "a")], "finding_id long, package_name string, cloud_account string")
     run = create_groups(df, ["package_name"])
