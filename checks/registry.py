@@ -10,8 +10,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import (
@@ -353,19 +354,57 @@ def tenant_rule_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.drop("finding_ids", "cloud_accounts")
 
 
+class RangedSource(FrameSource):
+    """Frames read range by range, as a database is."""
+
+    reads_by_range = True
+
+
+def _imported(
+    spark: SparkSession, tables: Mapping[str, DataFrame], plan: list[TableImport], keys: Mapping[str, str],
+    max_id: int | None = None, kept: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Rows and ids by table, read back after an import; ids are NULL where any column differs.
+
+    All columns are compared by a sum of row hashes with the source, or with those of its rows
+    that ``kept`` names a condition for.
+    """
+    prefix = f"imported_{uuid.uuid4().hex}_"
+    import_findings(spark, RangedSource(tables), prefix, plan, max_id)
+
+    def totals(df: DataFrame, columns: list[str], *also: Column) -> DataFrame:
+        hashes = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+        return df.select(F.count(F.lit(1)).alias("table_rows"), F.coalesce(hashes, F.lit(0)).alias("hashes"), *also)
+
+    parts = []
+    for name, key in keys.items():
+        source_rows = tables[name].where((kept or {}).get(name, "true"))
+        back = totals(spark.table(prefix + name), source_rows.columns, F.sum(key).alias("ids"))
+        want = totals(source_rows, source_rows.columns)
+        same = (back["hashes"] == want["hashes"]) & (back["table_rows"] == want["table_rows"])
+        ids = F.when(same, F.col("ids")).alias("ids")
+        parts.append(back.crossJoin(want).select(F.lit(name).alias("table_name"), back["table_rows"], ids))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def import_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables imported into the catalog, in ranges and whole, and read back: rows and ids."""
     tables = {n: df for n, df in finding_tables(spark, sf_dir).items() if n in ("findings", "findings_info", "statuses")}
-    prefix = f"imported_{uuid.uuid4().hex}_"
     plan = [TableImport("findings", 4, 3_000), TableImport("findings_info", 4, None, 8), TableImport("statuses")]
-    import_findings(spark, FrameSource(tables), prefix, plan)
-    parts = [
-        spark.table(prefix + name).select(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("table_rows"), F.sum(key).alias("ids")
-        )
-        for name, key in (("findings", "id"), ("findings_info", "id"), ("statuses", "key"))
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _imported(spark, tables, plan, {"findings": "id", "findings_info": "id", "statuses": "key"})
+
+
+def import_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An import capped at id 999: a large table, two that grow, with NULL keys in one, and an empty one."""
+    tables = finding_tables(spark, sf_dir)
+    tables["tickets"] = tables["tickets"].selectExpr("CASE WHEN id % 10 <> 4 THEN id END AS id", "id AS number")
+    tables["user_status"] = tables["user_status"].where("id IS NULL")
+    keys = {"findings": "id", "resource_to_scopes": "resource_id", "tickets": "number", "user_status": "id"}
+    plan = [
+        TableImport("findings", 4, 300), TableImport("resource_to_scopes", 4, 20_000, key="resource_id"),
+        TableImport("tickets", 4, 10_000), TableImport("user_status", 4, 300, 8),
+    ]
+    return _imported(spark, {n: tables[n] for n in keys}, plan, keys, 999, {"findings": "id <= 999"})
 
 
 def publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -603,6 +642,7 @@ def queries() -> dict[str, Query]:
         "rollup_rule_summaries": rollup_rule_summaries,
         "tenant_rule_sets": tenant_rule_sets,
         "import_round_trip": import_round_trip,
+        "import_capped": import_capped,
         "publish_round_trip": publish_round_trip,
         "claimed_ids": claimed,
         "unclaimed_findings": unclaimed_findings,

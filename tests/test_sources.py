@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from rulefold import Rule, group_findings, load_rules, parse_rules, publish_files, publish_tables, read_rules_file
 from rulefold.plans.runs import export_updates
 from rulefold.sources.ingest import GROWING_TABLES, IdRange, TableImport, id_ranges, import_findings, import_plan
@@ -213,3 +214,17 @@ def test_change_plans_are_exported_by_kind(spark, tmp_path, file_format):
     plan = spark.createDataFrame([("a", "new"), ("b", "vanished")], "group_identifier string, change string")
     export_updates(plan, str(tmp_path), file_format)
     assert {p.name for p in tmp_path.iterdir() if p.is_dir()} == {"change=new", "change=vanished"}
+
+
+def test_the_import_query_reads_ranges_and_compares_all_columns(spark, monkeypatch):
+    read_ids, calls = FrameSource.read_ids, []
+
+    def damaged(self, session, name, key, low, high, connections):
+        calls.append(name)
+        batch = read_ids(self, session, name, key, low, high, connections)
+        return batch.withColumn("source", F.lit("?")) if name == "findings" else batch
+
+    monkeypatch.setattr(FrameSource, "read_ids", damaged)
+    ids = {r.table_name: r.ids for r in registry.import_round_trip(spark, "/root/testdata/sf0.01").collect()}
+    assert calls.count("findings") == 5 and calls.count("findings_info") == 1
+    assert ids["findings"] is None and ids["findings_info"] is not None
