@@ -3,8 +3,10 @@
 Texts are lower-cased and cut into all their 1- to 3-grams of code points, hashed into a
 fixed number of buckets. Document frequencies come from all training rows. The weights are
 trained with follow-the-regularised-leader under L1 and L2 penalties on at most
-``train_rows`` training rows (those with the smallest hash of the id; a documented bound),
-a fifth of which is kept back to fit the temperature of the softmax. Prediction reads whole
+``train_rows`` training rows (those with the smallest hash of the id; a documented bound). A
+language with fewer than ``LEAST_ROWS`` of them takes part with its own ``LEAST_ROWS`` rows of
+smallest hash, so that every labelled language is learned however rare it is. A fifth of
+each other language is kept back to fit the temperature of the softmax. Prediction reads whole
 texts: the weight of an n-gram already holds its IDF, and frequencies are relative, so a
 score is the mean of a table's rows over the n-grams of the text.
 
@@ -16,11 +18,12 @@ neither label, source nor id enters a prediction.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,7 +31,7 @@ from llm.common import bounded_batches, by_bytes, mix64, read
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-TRAIN_ROWS = 4096
+TRAIN_ROWS, LEAST_ROWS = 4096, 64
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.02, 0.02, 3
 SCALE = 100.0
 SLICE_BYTES = 256 << 10
@@ -89,12 +92,8 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return int(found["n"][~inside].sum()), frequency
 
 
-def sample_features(docs: DataFrame, train_rows: int) -> list:
-    """Labelled n-gram counts of the rows with the smallest id hashes: the bounded sample."""
-    chosen = docs.select("doc_id", F.xxhash64("doc_id").alias("_h")).orderBy("_h", "doc_id").limit(train_rows)
-    last = chosen.agg(F.max("_h")).first()[0]
-    if last is None:
-        return []
+def _features(rows: DataFrame) -> DataFrame:
+    """Labelled n-gram counts of rows ``h, lang, text``."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", SLICE_BYTES):
@@ -111,17 +110,38 @@ def sample_features(docs: DataFrame, train_rows: int) -> list:
                 names=["h", "lang", "buckets", "counts"],
             )
 
-    rows = (
-        docs.where(F.xxhash64("doc_id") <= last)
-        .select(F.xxhash64("doc_id").alias("h"), "lang", "text")
-        .mapInArrow(features, "h long, lang string, buckets binary, counts binary")
-        .orderBy("h", "lang", "buckets", "counts")
-        .limit(train_rows)
-        .collect()
-    )
+    return rows.mapInArrow(features, "h long, lang string, buckets binary, counts binary").orderBy("h", "lang", "buckets", "counts")
+
+
+def _decoded(rows: list) -> list:
     return [(r.lang, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.counts, np.int32)) for r in rows]
 
 
+def sample_features(docs: DataFrame, train_rows: int) -> tuple[list, set[str]]:
+    """Labelled n-gram counts of the rows with the smallest id hashes, the bounded sample, and
+    the languages too rare for it, which hold their own rows of smallest hash instead."""
+    hashed = docs.select("doc_id", F.xxhash64("doc_id").alias("h"), "lang", "text")
+    last = hashed.select("doc_id", "h").orderBy("h", "doc_id").limit(train_rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return [], set()
+    sample = _decoded(_features(hashed.where(F.col("h") <= last).select("h", "lang", "text")).limit(train_rows).collect())
+    taken = Counter(lang for lang, _, _ in sample)
+    totals = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rare = {lang for lang, n in totals.items() if taken[lang] < min(n, LEAST_ROWS)}
+    if not rare:
+        return sample, rare
+    # Spark limits each partition to LEAST_ROWS rows a language before it shuffles them
+    first = Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text"))
+    own = hashed.where(F.col("lang").isin(*rare)).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= LEAST_ROWS)
+    added = _decoded(_features(own.select("h", "lang", "text")).collect())
+    common = [row for row in sample if row[0] not in rare]
+    # spread among the others, so that no language comes last in every epoch
+    places = [*range(len(common)), *((i + 0.5) * len(common) / len(added) for i in range(len(added)))]
+    order = sorted(range(len(places)), key=places.__getitem__)
+    both = common + added
+    return [both[i] for i in order], rare
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -173,13 +193,15 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str],
     bounded_batches(labelled.sparkSession)
     usable = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     rows, frequency = document_frequencies(usable)
-    sample = sample_features(usable, train_rows)
+    sample, rare = sample_features(usable, train_rows)
     langs = sorted({lang for lang, _, _ in sample})
     if not langs:
         return [], np.zeros((BUCKETS, 0), np.float32)
     idf = np.log((1.0 + rows) / (1.0 + frequency)) + 0.1
-    kept_back = sample[:: 5]
-    learned = [row for i, row in enumerate(sample) if i % 5] or sample
+    seen, kept_back, learned = Counter(), [], []
+    for row in sample:
+        seen[row[0]] += 1
+        (kept_back if row[0] not in rare and seen[row[0]] % 5 == 0 else learned).append(row)
     w = follow_the_leader(learned, idf, langs)
     table = SCALE * idf[:, None] * w
     logits = np.array([counts @ table[at] / counts.sum() for _, at, counts in kept_back])

@@ -51,3 +51,16 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert keep_identified(no_documents).count() == 0
     langs, table = train(odd_documents.where("lang IS NULL").select("doc_id", "text", "lang"))
     assert langs == [] and predict(odd_documents, langs, table).where("lang_pred <> 'und'").count() == 0
+
+
+def test_a_language_rarer_than_the_sample_is_learned(spark):
+    common = [(n, f"the cat and the dog number {n} went over there", "en") for n in range(900)]
+    common += [(n, f"le chat et le chien numero {n} sont dans la maison", "fr") for n in range(900, 1800)]
+    rare = [(n, f"kissa ja koira yksi {n} menivat yhdessa kotiin", "fi") for n in range(5000, 5003)]
+    docs = spark.createDataFrame([*common, *rare], "doc_id long, text string, lang string")
+    smallest = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(64)
+    assert smallest.where("lang = 'fi'").count() == 0
+    langs, table = train(docs, 64)
+    assert langs == ["en", "fi", "fr"]
+    got = predict(docs, langs, table).groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).collect()
+    assert dict(got)["fi"] == 1 and min(dict(got).values()) > 0.95
