@@ -93,6 +93,9 @@ _NOT_IN_OLDER_VIEWS = (
 )
 
 _KEY = "__key"
+_SCOPE_COPIES = "__scope_copies"
+# Fixed value: entries of a list of scopes that travel in one row.
+SCOPES_PER_ROW = 64
 
 
 def view_columns(summary: bool = False) -> list[str]:
@@ -153,7 +156,7 @@ def base_findings(
             )
         )
 
-    factors = []
+    factors = [_SCOPE_COPIES]
     per_finding = [
         (_scores(tables, shared, rule_scope), "inner"),
         (_status(tables, shared), "inner"),
@@ -244,22 +247,23 @@ def _resources(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFr
     )
     scopes = _scopes(tables, shared)
     if scopes is None:
-        none = F.array(_scope(*(F.lit(None).cast(t) for t in ("array<long>", "long", "long", "string"))))
-        with_scopes = resources.withColumn("__scopes", none)
+        none = F.array(_scope(*(F.lit(None).cast(t) for t in ("long", "long", "string"))))
+        ids = F.lit(None).cast("array<long>")
+        with_scopes = resources.withColumns({"scope_ids": ids, "__scopes": none, _SCOPE_COPIES: F.lit(1).cast("long")})
     else:
         with_scopes = _join_on_key(resources, scopes, "__resource", "left", _in(df, shared))
     return with_scopes.withColumnRenamed("__resource", _KEY)
 
 
-def _scope(ids: Column, scope_id: Column, group: Column, name: Column) -> Column:
-    return F.struct(
-        ids.alias("scope_ids"), scope_id.alias("scope_id"), group.alias("scope_group"), name.alias("scope_group_name")
-    )
+def _scope(scope_id: Column, group: Column, name: Column) -> Column:
+    return F.struct(scope_id.alias("scope_id"), group.alias("scope_group"), name.alias("scope_group_name"))
 
 
 def _scopes(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame | None:
-    """Per resource, its scopes with their names as ``__scopes``.
+    """Per resource, its lists of scopes: ``scope_ids`` and, with their names, ``__scopes``.
 
+    A list takes one row per ``SCOPES_PER_ROW`` entries, and equal lists of a resource are
+    counted, so no value grows with a resource beyond its own ``scope_ids``.
     Scopes are named here, among resources, so that neither their list nor their names are
     joined to findings: those explode the list when all joins are done.
     """
@@ -267,7 +271,9 @@ def _scopes(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame
     if scopes is None:
         return None
     lead = _in(scopes, shared)
-    single = scopes.select(*lead, "resource_id", "scope_ids", F.explode_outer("scope_ids").alias("scope_id"))
+    lists = scopes.groupBy(*lead, "resource_id", "scope_ids").agg(F.count(F.lit(1)).alias(_SCOPE_COPIES))
+    single = lists.select("*", F.posexplode_outer("scope_ids").alias("__at", "scope_id"))
+    single = single.withColumn("__at", F.floor(F.col("__at") / SCOPES_PER_ROW))
     if groups is None:
         named = single.withColumns({"scope_group": F.lit(None).cast("long"), "scope_group_name": F.lit(None).cast("string")})
     else:
@@ -275,9 +281,11 @@ def _scopes(tables: Mapping[str, DataFrame], shared: Sequence[str]) -> DataFrame
             *_in(groups, shared), f"id AS {_KEY}", "id AS scope_group", "name AS scope_group_name"
         )
         named = skew_join(single, names, "scope_id", _KEY, "left", "resource_id", lead)
-    scope = _scope(*(F.col(c) for c in ("scope_ids", "scope_id", "scope_group", "scope_group_name")))
-    listed = named.groupBy(*lead, F.col("resource_id").alias(_KEY)).agg(F.collect_list(scope).alias("__scopes"))
-    return listed.where(F.col(_KEY).isNotNull())
+    scope = _scope(*(F.col(c) for c in ("scope_id", "scope_group", "scope_group_name")))
+    listed = named.groupBy(*lead, F.col("resource_id").alias(_KEY), "scope_ids", _SCOPE_COPIES, "__at").agg(
+        F.collect_list(scope).alias("__scopes")
+    )
+    return listed.where(F.col(_KEY).isNotNull()).drop("__at")
 
 
 def _groups(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import finding_tables
 from rulefold import Rule, aggregate_findings, base_findings, register_base_view
-from rulefold.operators.base_view import view_columns
+from rulefold.operators.base_view import SCOPES_PER_ROW, _scopes, view_columns
 from rulefold.operators.quality import unmatched_findings
 from tests.helpers import rows_of, small_tables, table
 
@@ -177,3 +177,19 @@ def test_tables_come_from_a_catalog_by_prefix(spark, prefix):
         df.createOrReplaceTempView(prefix + name)
     run = aggregate_catalog(spark, prefix, [Rule(1, 1, ("package_name",))])
     assert run.association.count() == 10
+
+
+def test_scopes_of_a_resource_travel_in_rows_of_fixed_length(spark):
+    tables = small_tables(spark)
+    many = list(range(150))
+    tables["resource_to_scopes"] = table(
+        spark, "resource_to_scopes",
+        [{"resource_id": 4, "scope_ids": s} for s in (many, many, [1], [])] + [{"resource_id": None, "scope_ids": [1]}],
+    )
+    sides = _scopes(tables, [])
+    assert sides.agg(F.max(F.size("__scopes"))).first()[0] == SCOPES_PER_ROW == 64
+    assert "scope_ids" not in sides.schema["__scopes"].dataType.elementType.names
+    seven = base_findings(tables).where("finding_id = 1")
+    want = [(n, 150) for n in many * 2] + [(1, 1), (None, 0)]
+    assert rows_of(seven.select("scope_id", F.size("scope_ids"))) == sorted(want, key=repr)
+    assert seven.where("scope_group_name = 'Production'").count() == 3
