@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm import (
     embedding_dedup,
+    exact_dedup,
     fingerprints,
     language_id,
     mixing,
     ngram_join,
+    period_runs,
     sentencepiece_codec,
     sharding,
     suffix_dedup,
@@ -32,6 +34,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+        "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+        "op12_period_runs": period_runs.op12_period_runs,
     }
 
 
@@ -41,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": warc.OP3_SQL,
         "op4_url_filter": url_filter.OP4_SQL,
         "op8_embedding_dedup": embedding_dedup.OP8_SQL,
+        "op11_exact_dedup": exact_dedup.OP11_SQL,
     }
