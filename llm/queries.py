@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import (
+    collocations,
     embedding_dedup,
     exact_dedup,
     fingerprints,
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
         "op11_exact_dedup": exact_dedup.op11_exact_dedup,
         "op12_period_runs": period_runs.op12_period_runs,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
@@ -46,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_filter": url_filter.OP4_SQL,
         "op8_embedding_dedup": embedding_dedup.OP8_SQL,
         "op11_exact_dedup": exact_dedup.OP11_SQL,
+        "op13_collocations": collocations.OP13_SQL,
     }
