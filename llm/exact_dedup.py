@@ -37,7 +37,11 @@ from llm.common import shared_folder, stored
 
 SPACES = r"[\x20\x09-\x0D]+"
 STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: RocksDB keeps the state; without files of fixed size, of which many small partitions have many
+ON_DISK = {
+    STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 BATCHES = 4
 DIGEST_BYTES = 32
 BROADCAST_KEYS = 500_000  # of 8 bytes
@@ -71,13 +75,18 @@ def _digests(rows: DataFrame, digest_bytes: int, *more: Column) -> DataFrame:
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """RocksDB keeps the state of the streams started here; the session's own choice returns."""
-    before = spark.conf.get(STORE)
-    spark.conf.set(STORE, ROCKSDB)
+    """Settings of the streams started here; the session's own return."""
+    before = {key: spark.conf.get(key, None) for key in ON_DISK}
+    for key, value in ON_DISK.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(STORE, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _any_of(path: str) -> str:
