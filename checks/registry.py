@@ -143,6 +143,33 @@ FANOUT_RULES = [
 ]
 
 
+_GROUPINGS = [("package_name",), ("package_name", "cloud_account"), ("rule_id",), ("cloud_provider", "source")]
+
+
+def many_rules(count: int = 200) -> list[Rule]:
+    """Rules of four kinds over the base view, most of which ask for a value; every fortieth
+    asks for none, so that no index finds it."""
+    rules = []
+    for n in range(count):
+        severity = [n % 5, (n + 2) % 5]
+        if n % 40 == 39:
+            filters = {"filtersjson": both(leaf("cve", "contains", f"-{n % 50}"), leaf("fix_type", "exists", "false"))}
+        elif n % 4 == 0:
+            family = ["Malware", "Exposure", "Misconfiguration"][n % 3]
+            filters = {"scope_group": 2 + n % 24, "filtersjson": both(leaf("severity", "in", severity), leaf("rule_family", "equals", family))}
+        elif n % 4 == 1:
+            one = either(leaf("rule_id", "equals", f"rule-{n % 17}"), leaf("fix_id", "in", [f"KB{n % 29}", f"KB{n % 7}"]))
+            filters = {"filtersjson": json.dumps(both(one, leaf("severity", "equals", str(n % 5)), leaf("cve", "exists", "True")))}
+        elif n % 4 == 2:
+            region = ["asia", "EUROPE", "Africa"][n % 3]
+            tagged = leaf("tags_key_values", "overlapilikelist", [f"region:{region}", "segment:none"])
+            filters = {"scopesjson": tagged, "filtersjson": both(leaf("fix_id", "in", [f"KB{n % 29}"]), leaf("rule_id", "not_in", ["rule-3"]))}
+        else:
+            filters = {"severity": severity, "fix_id": f"KB{n % 29}", "filtersjson": leaf("tags_values", "overlap", ["BUILDING", "ASIA"])}
+        rules.append(Rule(n, n, _GROUPINGS[n % 4], filters))
+    return rules
+
+
 def listed(rolled: DataFrame) -> DataFrame:
     """A rollup with its lists as sorted text."""
     return rolled.select(
@@ -319,6 +346,12 @@ def exclusive_association(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, FANOUT_RULES).association
 
 
+def indexed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two hundred rules over the base view, each row tested against those its values lead to."""
+    run = group_findings(base(spark, sf_dir, weighted=True), many_rules(), index=True)
+    return run.rollup.select(*IDS, "findings_count", "rule_number")
+
+
 def rule_without_group_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = assign_rules(narrow_findings(spark, sf_dir), RULES, unique_ids=True)
     return assigned.groupBy("rule_number").agg(F.count(F.lit(1)).alias("findings"))
@@ -636,6 +669,7 @@ def queries() -> dict[str, Query]:
         "exclusive_rules": grouped(RULES),
         "exclusive_rules_fanout": grouped(FANOUT_RULES),
         "exclusive_rules_distinct": grouped(FANOUT_RULES, "distinct"),
+        "indexed_rules": indexed_rules,
         "rule_without_group_by": rule_without_group_by,
         "exclusive_association": exclusive_association,
         "rollup_union": rollup_union,

@@ -162,13 +162,13 @@ class FilterCompiler:
         """The predicate, or None where the configuration filters nothing."""
         if not config:
             return None
-        if _is_tree(config):
+        if is_tree(config):
             return self._tree(config)
         parts = [self._entry(key, value) for key, value in config.items()]
         return _combine("and", parts)
 
     def _entry(self, key: str, value: Any) -> Column | None:
-        if key in DESCRIPTIVE_KEYS or key in ("operator", "operands") or _not_set(value):
+        if key in DESCRIPTIVE_KEYS or key in ("operator", "operands") or is_not_set(value):
             return None
         if key == ALL_FINDINGS_SCOPE[0] and value == ALL_FINDINGS_SCOPE[1]:
             return None
@@ -187,7 +187,7 @@ class FilterCompiler:
                 return self._drop(f"not valid JSON: {node!r}")
         if not isinstance(node, Mapping):
             return self._drop(f"not a filter: {node!r}")
-        if _is_tree(node):
+        if is_tree(node):
             operator = str(node["operator"]).lower()
             if operator not in _OPERATORS:
                 raise FilterError(f"unknown operator {node['operator']!r}")
@@ -216,11 +216,18 @@ class FilterCompiler:
         warnings.warn(f"filter part left out: {reason}", stacklevel=2)
 
 
-def _is_tree(node: Mapping[str, Any]) -> bool:
+def is_known_condition(condition: Any, value: Any) -> bool:
+    """Whether a leaf with this condition and value says anything."""
+    if condition in _LIST_CONDITIONS:
+        return isinstance(value, list) and bool(value)
+    return condition in _VALUE_CONDITIONS
+
+
+def is_tree(node: Mapping[str, Any]) -> bool:
     return "operator" in node and "operands" in node
 
 
-def _not_set(value: Any) -> bool:
+def is_not_set(value: Any) -> bool:
     return value is None or value == NOT_SET_TEXT or (
         isinstance(value, (str, list, dict)) and not value
     )
