@@ -1,11 +1,14 @@
 """SentencePiece BPE encoding by a table of prefixes, and decoding.
 
-The text is cut before every run of word marks, which no piece crosses, so each distinct
-chunk is encoded once per task. In a chunk, every prefix has one last token: the longest
+The text is cut where no piece of the vocabulary crosses: before every run of word marks, and
+between characters that pieces join to letters and all others. Each distinct chunk is encoded
+once and kept for as long as it comes again. In a chunk, every prefix has one last token: the longest
 automaton match at its end whose predecessor (the last token of the prefix before the match)
 stays apart from it when the two are merged alone. The ids follow backwards from the end.
-Which pairs stay apart is a property of the vocabulary; a worker keeps its first answers, and
-those of its first chunks (frequent ones come early), up to fixed numbers.
+Which pairs stay apart is a property of the vocabulary; a worker keeps its first answers up to
+a fixed number. Chunks are kept in two generations of at most ``KEPT_CHUNKS``: what was not
+asked for while a whole generation passed is forgotten. Each new chunk is decoded once; a
+text whose chunks all decode to themselves does so too, others are decoded as a whole.
 
 Nulls encode as empty texts; empty texts have no ids. Repeated rows are encoded again and
 give the same ids. An empty table gives an empty result. Extra columns are not read, and
@@ -29,10 +32,9 @@ from llm.common import bounded_batches, by_bytes, read
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-KEPT_CHUNKS = 120_000
+KEPT_CHUNKS = 150_000
 KEPT_PAIRS = 300_000
 LONG_CHUNK = 64
-_CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 class PrefixTable:
@@ -72,7 +74,29 @@ class PrefixTable:
         self.whole: dict[int, bool] = {}
         self.apart: dict[int, bool] = {}
         self.chunk_ids: dict[str, str] = {}
-        self.chunk_text: dict[str, str] = {}
+        self.earlier_ids: dict[str, str] = {}
+        self.odd: set[str] = set()  # chunks that do not decode to themselves
+        self.cut = self._cuts()
+
+    def _cuts(self) -> re.Pattern:
+        """Chunks of a marked text: letters and whatever pieces join to them, or none of these,
+        each with the marks before them."""
+        joined: dict[str, set[str]] = {}
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:], strict=False):
+                if a != MARK:
+                    joined.setdefault(a, set()).add(b)
+                    joined.setdefault(b, set()).add(a)
+        inside = {c for c in joined if c.isalpha()}
+        todo = list(inside)
+        while todo:
+            new = joined[todo.pop()] - inside
+            inside |= new
+            todo += new
+        if not inside:
+            return re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        letters = re.escape("".join(sorted(inside)))
+        return re.compile(f"{MARK}*(?:[{letters}]+|[^{letters}{MARK}]+)|{MARK}+")
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merges adjacent symbols, best score first and leftmost among equals: the
@@ -146,8 +170,8 @@ class PrefixTable:
             at -= len(piece)
         return out[::-1]
 
-    def of_chunk(self, chunk: str) -> tuple[str, str]:
-        """Ids as text, and what they decode to."""
+    def of_chunk(self, chunk: str) -> str:
+        """Ids as text."""
         numbers: list[int] = []
         words = chunk.lstrip(MARK)
         marks = len(chunk) - len(words)
@@ -160,7 +184,7 @@ class PrefixTable:
         for piece in parts:
             number = self.ids.get(piece)
             numbers += [number] if number is not None else [self.byte_ids[b] for b in piece.encode()]
-        return ",".join(map(str, numbers)), self.decode(numbers, False)
+        return ",".join(map(str, numbers))
 
     def joins_mark(self, words: str) -> bool:
         """Whether the word takes the mark before it: runs of marks merge after all else."""
@@ -207,24 +231,37 @@ class PrefixTable:
         """Number of ids, SHA-256 of the ids, SHA-256 of the decoded text."""
         if not text:
             return 0, hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"").hexdigest()
-        chunks = _CHUNK.findall((MARK if self.dummy_prefix else "") + text.replace(" ", MARK))
+        marked = (MARK if self.dummy_prefix else "") + text.replace(" ", MARK)
+        chunks = self.cut.findall(marked)
         names = list(map(self.chunk_ids.get, chunks))
-        surfaces = list(map(self.chunk_text.get, chunks))
         if None in names:
             for i, name in enumerate(names):
                 if name is None:
-                    chunk = chunks[i]
-                    names[i], surfaces[i] = self.of_chunk(chunk)
-                    if len(chunk) <= LONG_CHUNK and len(self.chunk_ids) < KEPT_CHUNKS:
-                        self.chunk_ids[chunk], self.chunk_text[chunk] = names[i], surfaces[i]
-        ids, decoded = ",".join(names), "".join(surfaces)
-        if self.dummy_prefix and decoded[:1] == " ":
-            decoded = decoded[1:]
+                    names[i] = self.kept(chunks[i])
+        ids = ",".join(names)
+        if self.odd and not self.odd.isdisjoint(chunks):
+            decoded = self.decode(list(map(int, ids.split(","))))
+        else:
+            decoded = marked.replace(MARK, " ")
+            decoded = decoded[1:] if self.dummy_prefix and decoded[:1] == " " else decoded
         return ids.count(",") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
+    def kept(self, chunk: str) -> str:
+        """Ids of a chunk, from the earlier generation or computed."""
+        name = self.chunk_ids.get(chunk) or self.earlier_ids.get(chunk)
+        if name is None:
+            name = self.of_chunk(chunk)
+            if self.decode(list(map(int, name.split(","))), False) != chunk.replace(MARK, " "):
+                self.odd.add(chunk)
+        if len(chunk) <= LONG_CHUNK:
+            if len(self.chunk_ids) >= KEPT_CHUNKS:
+                self.earlier_ids, self.chunk_ids = self.chunk_ids, {}
+            self.chunk_ids[chunk] = name
+        return name
+
     def encode(self, text: str) -> list[int]:
         marked = (MARK if self.dummy_prefix else "") + text.replace(" ", MARK) if text else ""
-        return [int(x) for chunk in _CHUNK.findall(marked) for x in self.of_chunk(chunk)[0].split(",")]
+        return [int(x) for chunk in self.cut.findall(marked) for x in self.of_chunk(chunk).split(",")]
 
 
 def model_bytes(path: str) -> bytes:
