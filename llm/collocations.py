@@ -44,6 +44,7 @@ BLOCK = 1 << 21
 HASH_BITS = 40
 RANGES_PER_TASK = 4
 FILTER_BITS, BITS_PER_KEY, PROBES = 1 << 27, 24, 4
+FILTER_BLOCK = 1 << 13  # words
 SHARD_PHRASES = 1 << 20
 TRIES_AT_ONCE = 2
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -104,20 +105,34 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str
 def word_counts(docs: DataFrame) -> DataFrame:
     """``symbol, lang, word, n`` of all words of ``docs`` (text, lang)."""
 
+    def emit(symbols: np.ndarray, names: list[bytes], langs: list[str], parts: list) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(symbols), np.int64)
+        order = np.argsort(symbols)
+        for own, times in parts:
+            n[order[np.searchsorted(symbols, own, sorter=order)]] += times
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(symbols.view(np.int64)), pa.array(langs, pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(n)],
+            names=["symbol", "lang", "word", "n"],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, names, langs_of, parts = [np.zeros(0, np.uint64)], [], [], []
+        ordered = seen[0]
         for words, langs in _slices(batches):
             symbols, at, n = np.unique(words.symbols, return_index=True, return_counts=True)
-            view = memoryview(words.raw)
-            names = [bytes(view[a:b]) for a, b in zip(words.opens[at].tolist(), words.closes[at].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(symbols.view(np.int64)),
-                    pa.array([langs[i] for i in words.owner[at].tolist()], pa.string()),
-                    pa.array(names, pa.binary()).cast(pa.string()),
-                    pa.array(n.astype(np.int64)),
-                ],
-                names=["symbol", "lang", "word", "n"],
-            )
+            parts.append((symbols, n))
+            new = ~np.isin(symbols, ordered, assume_unique=True)
+            view, at = memoryview(words.raw), at[new]
+            names += [bytes(view[a:b]) for a, b in zip(words.opens[at].tolist(), words.closes[at].tolist(), strict=True)]
+            langs_of += [langs[i] for i in words.owner[at].tolist()]
+            seen.append(symbols[new])
+            ordered = np.union1d(ordered, symbols[new])
+            if len(ordered) >= BLOCK // 4:
+                yield from emit(np.concatenate(seen), names, langs_of, parts)
+                seen, names, langs_of, parts = [np.zeros(0, np.uint64)], [], [], []
+                ordered = seen[0]
+        if parts:
+            yield from emit(np.concatenate(seen), names, langs_of, parts)
 
     found = docs.mapInArrow(count, "symbol long, lang string, word string, n long")
     return found.groupBy("symbol", "lang", "word").agg(F.sum("n").alias("n"))
@@ -149,18 +164,30 @@ def bloom(values: DataFrame) -> Bloom:
     while bits < min(keys * BITS_PER_KEY, FILTER_BITS):
         bits <<= 1
 
+    block = min(bits // 64, FILTER_BLOCK)
+
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(bits // 64, np.uint64)
         for batch in batches:
             for word, bit in _probes(batch.column(0).to_numpy().view(np.uint64), bits):
                 np.bitwise_or.at(own, word, np.uint64(1) << bit)
-        at = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own[at].view(np.int64))], names=["word", "bits"])
+        for at in np.flatnonzero(own.reshape(-1, block).any(axis=1)).tolist():
+            part = own[at * block : (at + 1) * block].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part], pa.binary())], names=["block", "words"])
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own[at] = own.get(at, np.uint64(0)) | np.frombuffer(words, np.uint64)
+        for at, words in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([words.tobytes()], pa.binary())], names=["block", "words"])
 
-    found = values.mapInArrow(set_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    words = np.zeros(bits // 64, np.uint64)
-    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return Bloom(words)
+    parts = values.mapInArrow(set_bits, "block int, words binary").repartition("block")
+    words = np.zeros((bits // 64 // block, block), np.uint64)
+    for row in parts.mapInArrow(united, "block int, words binary").collect():
+        words[row.block] = np.frombuffer(row.words, np.uint64)
+    return Bloom(words.ravel())
 
 
 def _hashed(values: np.ndarray) -> np.ndarray:
@@ -266,79 +293,118 @@ def likely(docs: DataFrame, frequent: Bloom, pairs: Bloom | None = None) -> Data
 
 
 def named(docs: DataFrame, frequent: Bloom, pairs: Bloom, triples: Bloom) -> DataFrame:
-    """``s1, s2, s3`` of the phrases that may be frequent; ``s3`` is null for pairs."""
+    """``s1, s2, s3`` of the phrases that may be frequent; ``s3`` is null for pairs. Tasks pack
+    theirs by ranges of hashes, as they do for ``likely``, and each range drops repetitions."""
     known = docs.sparkSession.sparkContext.broadcast((frequent.words, pairs.words, triples.words))
+    buckets = RANGES_PER_TASK * task_count(docs.sparkSession)
+
+    def emit(hashes: np.ndarray, phrases: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
+        order = np.lexsort((sizes, bucket))
+        bucket, phrases, sizes = bucket[order], phrases[order], sizes[order]
+        opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        rows = []
+        for a, b in zip(opens.tolist(), [*opens[1:].tolist(), len(bucket)], strict=True):
+            two = a + int(np.searchsorted(sizes[a:b], 3))
+            rows.append((int(bucket[a]), phrases[a:two, :2].tobytes(), phrases[two:b].tobytes()))
+        names, twos, threes = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.int32()), pa.array(twos, pa.binary()), pa.array(threes, pa.binary())], names=["bucket", "twos", "threes"]
+        )
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two, three = (Bloom(w) for w in known.value)
-        seen = np.zeros(0, np.uint64)
+        seen, held = np.zeros(0, np.uint64), []
         for words, _ in _slices(batches):
             of_pairs, of_triples, level = _may_be(words, one, two)
             at2, at3 = np.flatnonzero(level >= 2), np.flatnonzero(level >= 3)
             at3 = at3[three.holds(_hashed(of_triples[at3]))]
             hashes, first = np.unique(np.concatenate([of_pairs[at2], of_triples[at3]]), return_index=True)
             new = ~np.isin(hashes, seen, assume_unique=True)
-            first = first[new]
-            seen = np.union1d(seen, hashes) if len(seen) < BLOCK else hashes  # Spark drops what comes twice
-            at = np.concatenate([at2, at3])[first]
-            s = words.symbols.view(np.int64)
-            long = first >= len(at2)
-            third = s[np.minimum(at + 2, len(s) - 1)] if len(s) else s
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s[at]), pa.array(s[at + 1]), pa.array(third, mask=~long)], names=["s1", "s2", "s3"]
-            )
+            hashes, first = hashes[new], first[new]
+            at, sizes = np.concatenate([at2, at3])[first], np.where(first >= len(at2), 3, 2).astype(np.int8)
+            s = np.append(words.symbols, np.zeros(2, np.uint64))
+            held.append((hashes, np.stack([s[at], s[at + 1], s[at + 2]], axis=1), sizes))
+            seen = np.union1d(seen, hashes)
+            if len(seen) >= BLOCK:
+                yield from emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                seen, held = np.zeros(0, np.uint64), []
+        if len(seen):
+            yield from emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def different(rows: list[bytes], size: int) -> Iterator[pa.RecordBatch]:
+            s = np.frombuffer(b"".join(rows), np.int64).reshape(-1, size)
+            if len(s):
+                order = np.lexsort(s.T)
+                s = s[order]
+                s = s[np.append(True, (s[1:] != s[:-1]).any(axis=1))]
+                third = pa.array(s[:, 2].copy()) if size == 3 else pa.nulls(len(s), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), third], names=["s1", "s2", "s3"])
+
+        bucket, twos, threes = None, [], []
+        for batch in batches:
+            for at, two, three in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if at != bucket:
+                    yield from different(twos, 2)
+                    yield from different(threes, 3)
+                    bucket, twos, threes = at, [], []
+                twos.append(two)
+                threes.append(three)
+        yield from different(twos, 2)
+        yield from different(threes, 3)
 
-    return docs.mapInArrow(name, "s1 long, s2 long, s3 long").distinct()
+    found = docs.mapInArrow(name, "bucket int, twos binary, threes binary").repartition("bucket").sortWithinPartitions("bucket")
+    return found.mapInArrow(once, "s1 long, s2 long, s3 long")
 
 
 def double_array(phrases: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(alphabet, base, check, accept)`` of phrases of 2 or 3 symbols, one a row.
 
-    State 0 is the root. From state s, the symbol number c leads to t = base[s] + c if
-    check[t] == s. ``accept`` has a phrase's row number at its state, else -1."""
+    A symbol is its number in the alphabet, spelled by two digits, so that no state has more
+    than about the root of the alphabet's size below it. State 0 is the root. From state s,
+    digit c leads to t = base[s] + c if check[t] == s. ``accept`` has a phrase's row number at
+    its state, else -1."""
     alphabet = np.unique(np.concatenate([phrases[:, :2].ravel(), phrases[sizes == 3, 2]]))
+    bits = _digit_bits(alphabet)
     labels = np.searchsorted(alphabet, phrases)
-    width = max(len(alphabet), 1)
-    #: nodes of a level as (node of the level above, label), by number
-    one, node1 = np.unique(labels[:, 0], return_inverse=True)
-    two, node2 = np.unique(node1 * width + labels[:, 1], return_inverse=True)
-    deep = np.flatnonzero(sizes == 3)
-    three, node3 = np.unique(node2[deep] * width + labels[deep, 2], return_inverse=True)
-    room = 1 + width + 2 * (len(two) + len(three)) + 2 * width
+    digits = np.stack([labels >> bits, labels & ((1 << bits) - 1)], axis=2).reshape(len(phrases), -1)
+    room = 4 * (digits.size + (1 << bits)) + 64
     base, check, accept = (np.full(room, x, np.int64) for x in (0, -1, -1))
-    base[0], check[0] = 1, -2
-    state1 = 1 + one
-    check[state1] = 0
-    free_from = 1 + width
+    check[0] = -2
 
     def place(parents: np.ndarray, children: np.ndarray, owners: np.ndarray) -> np.ndarray:
-        """States of children (labels) of ``owners`` (numbers of parents), sorted by owner."""
-        nonlocal base, check, accept, free_from
+        """States of children (digits) of ``owners`` (numbers of parents), sorted by owner.
+
+        Nodes with most children come first. Each class of nodes looks on from where the last
+        one of its class fitted: places without room for one have none for the next."""
+        nonlocal base, check, accept
         states = np.empty(len(children), np.int64)
-        opens = np.flatnonzero(np.append(True, owners[1:] != owners[:-1])) if len(owners) else np.zeros(0, np.int64)
+        opens = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
         counts = np.diff(np.append(opens, len(owners)))
+        starts: dict[int, int] = {}
         for i in np.argsort(-counts, kind="stable").tolist():
-            if counts[i] == 1:
+            size = int(counts[i])
+            if size == 1:
                 break
-            own = children[opens[i] : opens[i] + counts[i]]
-            start, step = free_from - own[0], max(1, min(256, (1 << 20) // len(own)))
+            own = children[opens[i] : opens[i] + size]
+            kind, step = size.bit_length(), 64
+            start = starts.get(kind, 1)
             while True:
-                tried = start + np.arange(step)
-                spots = tried[:, None] + own[None, :]
-                while int(spots.max()) >= len(check):
+                spots = (start + np.arange(step))[:, None] + own[None, :]
+                while int(spots[-1, -1]) >= len(check):
                     base, check, accept = (np.append(x, np.full(len(x), y, np.int64)) for x, y in ((base, 0), (check, -1), (accept, -1)))
                 good = np.flatnonzero((check[spots] == -1).all(axis=1))
                 if len(good):
                     break
                 start += step
-            states[opens[i] : opens[i] + counts[i]] = spots[good[0]]
+            starts[kind] = start
+            states[opens[i] : opens[i] + size] = spots[good[0]]
             check[spots[good[0]]] = parents[owners[opens[i]]]
-            base[parents[owners[opens[i]]]] = tried[good[0]]
-            while free_from < len(check) and check[free_from] != -1:
-                free_from += 1
+            base[parents[owners[opens[i]]]] = start + good[0]
         alone = opens[counts == 1]
         free = np.flatnonzero(check == -1)
-        free = free[free > width]
+        free = free[free > children[alone].max(initial=0)]  # bases stay positive
         if len(free) < len(alone):
             more = len(alone)
             free = np.append(free, len(check) + np.arange(more))
@@ -348,36 +414,44 @@ def double_array(phrases: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
         base[parents[owners[alone]]] = states[alone] - children[alone]
         return states
 
-    state2 = place(state1, two % width, two // width)
-    state3 = place(state2, three % width, three // width)
-    pairs = np.flatnonzero(sizes == 2)
-    accept[state2[node2[pairs]]] = pairs
-    accept[state3[node3]] = deep
+    node, states = np.zeros(len(phrases), np.int64), np.zeros(1, np.int64)
+    rows = np.arange(len(phrases))
+    for level in range(6):
+        rows = rows[2 * sizes[rows] > level]
+        if not len(rows):
+            break
+        keys, node_of = np.unique(node[rows] << bits | digits[rows, level], return_inverse=True)
+        states = place(states, keys & ((1 << bits) - 1), keys >> bits)
+        node[rows] = node_of
+        done = rows[2 * sizes[rows] == level + 1]
+        accept[states[node[done]]] = done
     used = int(np.flatnonzero(check != -1).max()) + 1
     return alphabet, base[:used].astype(np.int32), check[:used].astype(np.int32), accept[:used].astype(np.int32)
 
 
+def _digit_bits(alphabet: np.ndarray) -> int:
+    return max(1, -(-max(len(alphabet) - 1, 1).bit_length() // 2))
+
+
 def accepted(trie: tuple[np.ndarray, ...], words: Words) -> np.ndarray:
     """The accepting states' phrase numbers at all positions, all lengths together."""
     alphabet, base, check, accept = trie
+    bits = _digit_bits(alphabet)
     label = np.minimum(np.searchsorted(alphabet, words.symbols), len(alphabet) - 1)
     known = alphabet[label] == words.symbols
     at = np.flatnonzero(known)
-    state = base[0] + label[at]
-    out = []
-    for level in (1, 2):
-        good = check[state] >= 0 if level > 1 else check[state] == 0
-        at, state = at[good], state[good]
-        on = at[words.follows[at + level - 1]] + level
-        state = state[words.follows[at + level - 1]]
-        on, state = on[known[on]], state[known[on]]
-        reached = base[state].astype(np.int64) + label[on]
-        good = (reached > 0) & (reached < len(check))
-        on, state, reached = on[good], state[good], reached[good]
-        good = check[reached] == state
-        at, state = on[good] - level, reached[good]
-        found = accept[state]
-        out.append(found[found >= 0])
+    state, out = np.zeros(len(at), np.int64), []
+    for size in (1, 2, 3):
+        for shift in (bits, 0):
+            reached = base[state] + (label[at + size - 1] >> shift & ((1 << bits) - 1))
+            good = reached < len(check)
+            good[good] = check[reached[good]] == state[good]
+            at, state = at[good], reached[good]
+        out.append(accept[state[accept[state] >= 0]])
+        further = words.follows[at + size - 1]
+        at, state = at[further], state[further]
+        further = known[at + size]
+        at, state = at[further], state[further]
     return np.concatenate(out)
 
 
