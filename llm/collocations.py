@@ -45,8 +45,9 @@ HASH_BITS = 40
 RANGES_PER_TASK = 4
 FILTER_BITS, BITS_PER_KEY, PROBES = 1 << 27, 24, 4
 FILTER_BLOCK = 1 << 13  # words
-SHARD_PHRASES = 1 << 20
-TRIES_AT_ONCE = 2
+SHARD_PHRASES = 1 << 18
+TRIES_AT_ONCE = 8
+COUNT_BLOCK = 1 << 12
 _K = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -105,34 +106,34 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str
 def word_counts(docs: DataFrame) -> DataFrame:
     """``symbol, lang, word, n`` of all words of ``docs`` (text, lang)."""
 
-    def emit(symbols: np.ndarray, names: list[bytes], langs: list[str], parts: list) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(symbols), np.int64)
-        order = np.argsort(symbols)
-        for own, times in parts:
-            n[order[np.searchsorted(symbols, own, sorter=order)]] += times
+    def emit(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        symbols, first, of = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+        n = np.bincount(of, np.concatenate([p[1] for p in parts])).astype(np.int64)
+        names = [name for p in parts for name in p[2]]
+        langs = [lang for p in parts for lang in p[3]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(symbols.view(np.int64)), pa.array(langs, pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(n)],
+            [
+                pa.array(symbols.view(np.int64)),
+                pa.array([langs[i] for i in first.tolist()], pa.string()),
+                pa.array([names[i] for i in first.tolist()], pa.binary()).cast(pa.string()),
+                pa.array(n),
+            ],
             names=["symbol", "lang", "word", "n"],
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, names, langs_of, parts = [np.zeros(0, np.uint64)], [], [], []
-        ordered = seen[0]
+        parts, held = [], 0
         for words, langs in _slices(batches):
             symbols, at, n = np.unique(words.symbols, return_index=True, return_counts=True)
-            parts.append((symbols, n))
-            new = ~np.isin(symbols, ordered, assume_unique=True)
-            view, at = memoryview(words.raw), at[new]
-            names += [bytes(view[a:b]) for a, b in zip(words.opens[at].tolist(), words.closes[at].tolist(), strict=True)]
-            langs_of += [langs[i] for i in words.owner[at].tolist()]
-            seen.append(symbols[new])
-            ordered = np.union1d(ordered, symbols[new])
-            if len(ordered) >= BLOCK // 4:
-                yield from emit(np.concatenate(seen), names, langs_of, parts)
-                seen, names, langs_of, parts = [np.zeros(0, np.uint64)], [], [], []
-                ordered = seen[0]
-        if parts:
-            yield from emit(np.concatenate(seen), names, langs_of, parts)
+            view = memoryview(words.raw)
+            names = [bytes(view[a:b]) for a, b in zip(words.opens[at].tolist(), words.closes[at].tolist(), strict=True)]
+            parts.append((symbols, n, names, [langs[i] for i in words.owner[at].tolist()]))
+            held += len(symbols)
+            if held >= BLOCK // 4:
+                yield from emit(parts)
+                parts, held = [], 0
+        if held:
+            yield from emit(parts)
 
     found = docs.mapInArrow(count, "symbol long, lang string, word string, n long")
     return found.groupBy("symbol", "lang", "word").agg(F.sum("n").alias("n"))
@@ -145,16 +146,22 @@ class Bloom:
         self.words = words
 
     def holds(self, values: np.ndarray) -> np.ndarray:
-        out = np.ones(len(values), bool)
-        for word, bit in _probes(values, len(self.words) * 64):
-            out &= (self.words[word] >> bit) & np.uint64(1) == 1
+        at = np.arange(len(values))
+        for j in range(1, PROBES + 1):  # most of what is not there leaves at once
+            word, bit = _probe(values[at], len(self.words) * 64, j)
+            at = at[(self.words[word] >> bit) & np.uint64(1) == 1]
+        out = np.zeros(len(values), bool)
+        out[at] = True
         return out
 
 
+def _probe(values: np.ndarray, bits: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    at = mix64(values * _K + np.uint64(j)) & np.uint64(bits - 1)
+    return (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
+
+
 def _probes(values: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for j in range(1, PROBES + 1):
-        at = mix64(values * _K + np.uint64(j)) & np.uint64(bits - 1)
-        yield (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
+    return (_probe(values, bits, j) for j in range(1, PROBES + 1))
 
 
 def bloom(values: DataFrame) -> Bloom:
@@ -292,6 +299,12 @@ def likely(docs: DataFrame, frequent: Bloom, pairs: Bloom | None = None) -> Data
     return stored(found.mapInArrow(add, "value long"), "likely-phrases")
 
 
+def _different(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Hashes, phrases and sizes with equal hashes once."""
+    hashes, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
+    return hashes, np.concatenate([p[1] for p in parts])[first], np.concatenate([p[2] for p in parts])[first]
+
+
 def named(docs: DataFrame, frequent: Bloom, pairs: Bloom, triples: Bloom) -> DataFrame:
     """``s1, s2, s3`` of the phrases that may be frequent; ``s3`` is null for pairs. Tasks pack
     theirs by ranges of hashes, as they do for ``likely``, and each range drops repetitions."""
@@ -314,23 +327,24 @@ def named(docs: DataFrame, frequent: Bloom, pairs: Bloom, triples: Bloom) -> Dat
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two, three = (Bloom(w) for w in known.value)
-        seen, held = np.zeros(0, np.uint64), []
+        held, size = [], 0
         for words, _ in _slices(batches):
             of_pairs, of_triples, level = _may_be(words, one, two)
             at2, at3 = np.flatnonzero(level >= 2), np.flatnonzero(level >= 3)
             at3 = at3[three.holds(_hashed(of_triples[at3]))]
             hashes, first = np.unique(np.concatenate([of_pairs[at2], of_triples[at3]]), return_index=True)
-            new = ~np.isin(hashes, seen, assume_unique=True)
-            hashes, first = hashes[new], first[new]
             at, sizes = np.concatenate([at2, at3])[first], np.where(first >= len(at2), 3, 2).astype(np.int8)
             s = np.append(words.symbols, np.zeros(2, np.uint64))
             held.append((hashes, np.stack([s[at], s[at + 1], s[at + 2]], axis=1), sizes))
-            seen = np.union1d(seen, hashes)
-            if len(seen) >= BLOCK:
-                yield from emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                seen, held = np.zeros(0, np.uint64), []
-        if len(seen):
-            yield from emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            size += len(hashes)
+            if size >= BLOCK:
+                held = [_different(held)]
+                size = len(held[0][0])
+            if size >= BLOCK // 2 and len(held) == 1:
+                yield from emit(*held[0])
+                held, size = [], 0
+        if size:
+            yield from emit(*_different(held))
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def different(rows: list[bytes], size: int) -> Iterator[pa.RecordBatch]:
@@ -511,6 +525,41 @@ def _read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _counted(shard: int, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One task's counts, packed by blocks of phrases: all first bytes, then all second ones."""
+    for at in range(0, len(n), COUNT_BLOCK):
+        part = n[at : at + COUNT_BLOCK]
+        if part.any():
+            planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 8).T).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([at // COUNT_BLOCK], pa.int32()), pa.array([planes], pa.binary())],
+                names=["shard", "block", "counts"],
+            )
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of all tasks' counts, block by block; rows come sorted by block."""
+
+    def done(key: tuple[int, int], total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        seen = np.flatnonzero(total)
+        number = (seen + key[1] * COUNT_BLOCK).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(seen), key[0], np.int32)), pa.array(number), pa.array(total[seen])], names=["shard", "number", "a"]
+        )
+
+    key, total = None, np.zeros(COUNT_BLOCK, np.int64)
+    for batch in batches:
+        for shard, block, planes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if (shard, block) != key:
+                if key is not None:
+                    yield from done(key, total)
+                key, total = (shard, block), np.zeros(COUNT_BLOCK, np.int64)
+            part = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+            total[: len(part)] += part
+    if key is not None:
+        yield from done(key, total)
+
+
 def phrase_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """``s1, s2, s3, a``: how often each candidate occurs in ``docs``, if it does."""
     spark = docs.sparkSession
@@ -533,13 +582,10 @@ def phrase_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
                     n[: len(sums[i])] += sums[i]
                     sums[i] = n
             for (shard, _), n in zip(own, sums, strict=True):
-                seen = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(seen), shard, np.int32)), pa.array(seen.astype(np.int32)), pa.array(n[seen])],
-                    names=["shard", "number", "n"],
-                )
+                yield from _counted(shard, n)
 
-        found = docs.mapInArrow(count, "shard int, number int, n long").groupBy("shard", "number").agg(F.sum("n").alias("a"))
+        found = docs.mapInArrow(count, "shard int, block int, counts binary").repartition("shard", "block")
+        found = found.sortWithinPartitions("shard", "block").mapInArrow(_added, "shard int, number int, a long")
         found = stored(found, "phrase-counts")
         totals = found if totals is None else totals.unionByName(found)
     if totals is None:
