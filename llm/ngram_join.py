@@ -31,7 +31,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +40,9 @@ from llm.components import connected_components
 
 WORDS = 5
 SLICE_BYTES = 512 << 10
-BLOCK_NGRAMS = 1 << 20
+BLOCK_NGRAMS = 1 << 19
 RANGES_PER_TASK = 4
+RESULT_BYTES = 1 << 20
 GROUP_BYTES = 4 << 20
 MOST_COUNTED = 4095
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -141,10 +141,13 @@ def _postings(buckets: int):
         rows = [(i, 0, _packed(ngrams[a:b], owner[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
         rows.append((block % buckets, 1, table))
         bucket, kind, payload = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array(kind, pa.int32()), pa.array(payload, pa.binary())],
-            names=["bucket", "block", "kind", "payload"],
-        )
+        for at in range(0, len(rows), 32):
+            part = slice(at, at + 32)
+            size = len(bucket[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[part], pa.int32()), pa.array([block] * size, pa.int64()), pa.array(kind[part], pa.int32()), pa.array(payload[part], pa.binary())],
+                names=["bucket", "block", "kind", "payload"],
+            )
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sets, held = RollingHash(), {}, 0
@@ -163,31 +166,36 @@ def _postings(buckets: int):
     return postings
 
 
-def _count(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one range of hashes: the postings of n-grams in two sets or more, by block."""
-    tables = rows[rows["kind"] == 1][["block", "kind", "payload"]]
-    rows = rows[rows["kind"] == 0].drop_duplicates("block")
-    if not len(rows):
-        return tables
-    parts = [_unpacked(x) for x in rows["payload"]]
-    ngrams = np.concatenate([p[0] for p in parts])
-    sets = np.concatenate([p[1] for p in parts])
-    block = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
-    order = np.argsort(ngrams, kind="stable")
+def _count(rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+    """Of one range of hashes, rows ``(block, kind, payload)``: the postings of n-grams in two
+    sets or more, by block. Payloads are unpacked one by one into arrays for the whole range."""
+    packed: dict[int, bytes] = {}
+    for block, kind, payload in rows:
+        if kind == 1:
+            yield block, kind, payload
+        else:
+            packed[block] = payload  # equal blocks hold equal postings
+    rows.clear()
+    if not packed:
+        return
+    names = list(packed)
+    sizes = [int.from_bytes(packed[name][:8], "little") for name in names]
+    edges = np.cumsum([0, *sizes])
+    ngrams, sets = np.empty(edges[-1], np.uint64), np.empty(edges[-1], np.uint32)
+    for name, a, b in zip(names, edges, edges[1:], strict=False):
+        ngrams[a:b], sets[a:b] = _unpacked(packed.pop(name))
+    order = np.argsort(ngrams, kind="stable").astype(np.uint32 if len(ngrams) < 1 << 32 else np.int64)
     ordered = ngrams[order]
     opens = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    counts = np.repeat(np.diff(np.append(opens, len(ordered))), np.diff(np.append(opens, len(ordered))))
-    shared = counts >= 2
-    order, counts = order[shared], np.minimum(counts[shared], MOST_COUNTED)
-    by_block = np.argsort(block[order], kind="stable")
-    order, counts = order[by_block], counts[by_block]
-    edges = np.searchsorted(block[order], np.arange(len(parts) + 1))
-    found = [
-        (name, 0, _packed(ngrams[order[a:b]], sets[order[a:b]], counts[a:b]))
-        for name, a, b in zip(rows["block"], edges[:-1], edges[1:], strict=True)
-        if b > a
-    ]
-    return pd.concat([tables, pd.DataFrame(found, columns=["block", "kind", "payload"])])
+    del ordered
+    times = np.diff(np.append(opens, len(order)))
+    counts = np.zeros(len(order), np.uint16)
+    counts[order] = np.repeat(np.minimum(times, MOST_COUNTED).astype(np.uint16), times)
+    del order
+    for name, a, b in zip(names, edges, edges[1:], strict=False):
+        kept = np.flatnonzero(counts[a:b] >= 2) + a
+        if len(kept):
+            yield name, 0, _packed(ngrams[kept], sets[kept], counts[kept])
 
 
 def prefix_length(n: int) -> int:
@@ -195,27 +203,69 @@ def prefix_length(n: int) -> int:
     return n - (75 * n + 99) // 100 + 1
 
 
-def _candidates(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one block: the sets that may have a partner, their shared n-grams in global order."""
-    table = rows.loc[rows["kind"] == 1, "payload"].iloc[0]
-    parts = [_unpacked(x, True) for x in rows.loc[rows["kind"] == 0, "payload"]]
-    found = []
-    if parts:
-        ngrams = np.concatenate([p[0] for p in parts])
-        counts = np.concatenate([p[2] for p in parts]).astype(np.uint64)
-        keys = counts << np.uint64(52) | ngrams & np.uint64((1 << 52) - 1)
-        sets = np.concatenate([p[1] for p in parts])
-        order = np.lexsort((keys, sets))
-        keys, sets = keys[order], sets[order]
-        names, edges = np.unique(sets, return_index=True)
-        for number, a, b in zip(names.tolist(), edges.tolist(), [*edges[1:].tolist(), len(sets)], strict=True):
-            n = int.from_bytes(table[24 * number + 16 : 24 * number + 24], "little")
-            prefix = prefix_length(n) - (n - (b - a))  # n-grams of this set alone come first
-            if prefix > 0:
-                own = keys[a:b]
-                tokens = own[:prefix].view(np.int64).tolist()
-                found.append((table[24 * number : 24 * number + 16], n, own.tobytes(), own.nbytes, tokens, tokens[-1]))
-    return pd.DataFrame(found, columns=["set", "n", "ngrams", "size", "prefix", "commonest"])
+def _candidates(rows: list[tuple[int, bytes]]) -> Iterator[tuple]:
+    """Of one block, rows ``(kind, payload)``: the sets that may have a partner, with their
+    shared n-grams in global order."""
+    table = next(payload for kind, payload in rows if kind == 1)
+    parts = [payload for kind, payload in rows if kind == 0]
+    rows.clear()
+    if not parts:
+        return
+    edges = np.cumsum([0, *(int.from_bytes(x[:8], "little") for x in parts)])
+    keys, sets = np.empty(edges[-1], np.uint64), np.empty(edges[-1], np.uint32)
+    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        ngrams, sets[a:b], counts = _unpacked(parts[i], True)
+        keys[a:b] = counts.astype(np.uint64) << np.uint64(52) | ngrams & np.uint64((1 << 52) - 1)
+        parts[i] = b""
+    order = np.argsort(sets, kind="stable")
+    keys, sets = keys[order], sets[order]
+    del order
+    names, cuts = np.unique(sets, return_index=True)
+    for number, a, b in zip(names.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(sets)], strict=True):
+        n = int.from_bytes(table[24 * number + 16 : 24 * number + 24], "little")
+        prefix = prefix_length(n) - (n - (b - a))  # n-grams of this set alone come first
+        if prefix > 0:
+            own = np.sort(keys[a:b])
+            tokens = own[:prefix].view(np.int64)
+            yield table[24 * number : 24 * number + 16], n, own.tobytes(), own.nbytes, tokens, int(tokens[-1])
+
+
+def _by_group(found, schema: pa.Schema, most: int):
+    """Applies ``found`` to the rows of each group; rows come sorted by their first column, the
+    group, so that one group at a time is held. Results leave in batches of ``most`` bytes."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def results(rows: list) -> Iterator[pa.RecordBatch]:
+            out, held = [], 0
+            for row in found(rows):
+                out.append(row)
+                held += sum(len(x) for x in row if isinstance(x, bytes))
+                if held >= most:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                    out, held = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+        group, rows = None, []
+        for batch in batches:
+            columns = [batch.column(i) for i in range(batch.num_columns)]
+            for i, name in enumerate(columns[0].to_pylist()):
+                if name != group and rows:
+                    yield from results(rows)
+                    rows = []
+                group = name
+                rows.append(tuple(c[i].as_py() for c in columns[1:]))
+            del columns, batch
+        if rows:
+            yield from results(rows)
+
+    return apply
+
+
+_COUNTED = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
+_SETS = pa.schema(
+    [("set", pa.binary()), ("n", pa.int32()), ("ngrams", pa.binary()), ("size", pa.int64()), ("prefix", pa.list_(pa.int64())), ("commonest", pa.int64())]
+)
 
 
 class Trie:
@@ -376,13 +426,12 @@ def set_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = RANGES_PER_TASK * task_count(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    counted = (
-        texts.mapInArrow(_postings(buckets), _POSTINGS)
-        .groupBy("bucket")
-        .applyInPandas(_count, "block long, kind int, payload binary")
-    )
-    candidates = counted.groupBy("block").applyInPandas(
-        _candidates, "set binary, n int, ngrams binary, size long, prefix array<long>, commonest long"
+    postings = texts.mapInArrow(_postings(buckets), _POSTINGS).repartition("bucket").sortWithinPartitions("bucket")
+    counted = postings.mapInArrow(_by_group(_count, _COUNTED, RESULT_BYTES), "block long, kind int, payload binary")
+    counted = counted.repartition("block").sortWithinPartitions("block")
+    candidates = counted.mapInArrow(
+        _by_group(_candidates, _SETS, RESULT_BYTES),
+        "set binary, n int, ngrams binary, size long, prefix array<long>, commonest long",
     )
     sets = stored(candidates.dropDuplicates(["set"]), "candidate-sets")
     own = sets.withColumn("key", F.col("commonest").cast("string").cast("binary"))
