@@ -271,7 +271,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     )
     start = F.col("_first") + F.shiftright("_part", 32)
     end = start + F.col("_part").bitwiseAND(F.lit(0xFFFFFFFF)) + (window - 1)
-    return spans.groupBy("row_key").agg(F.collect_list(F.shiftleft(start, 32).bitwiseOR(end)).alias("spans"))
+    # a set: rows equal in id and text share a key, and each of them brings the same spans
+    return spans.groupBy("row_key").agg(F.collect_set(F.shiftleft(start, 32).bitwiseOR(end)).alias("spans"))
 
 
 def merged_spans(spans: np.ndarray) -> list[tuple[int, int]]:
@@ -294,6 +295,10 @@ def _kept(raw: memoryview, spans: list[tuple[int, int]]) -> list[memoryview]:
     return out
 
 
+def _decoded(parts: list[memoryview]) -> str:
+    return "".join(bytes(p).decode("utf-8", "ignore") for p in parts)
+
+
 def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
     bounded_batches(docs.sparkSession)
     keyed = docs.withColumn("row_key", row_key())
@@ -301,20 +306,23 @@ def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def removal_report(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``docs``."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` per row of ``docs``; ``text``
+    is what is left, without characters that a cut splits, and null where it was null."""
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, starts = text_buffer(batch.column("text"))
             view = memoryview(raw)
-            rows = []
+            rows, known = [], batch.column("text").is_valid().to_pylist()
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 merged = merged_spans(np.array(spans or [], np.int64))
+                parts = _kept(view[starts[i] : starts[i + 1]], merged)
                 sha = hashlib.sha256()
-                for part in _kept(view[starts[i] : starts[i + 1]], merged):
+                for part in parts:
                     sha.update(part)
-                rows.append((int(starts[i + 1] - starts[i]), sum(b - a for a, b in merged), len(merged), sha.hexdigest()))
-            size, removed, count, digest = zip(*rows, strict=True) if rows else ((), (), (), ())
+                text = _decoded(parts) if known[i] else None
+                rows.append((int(starts[i + 1] - starts[i]), sum(b - a for a, b in merged), len(merged), sha.hexdigest(), text))
+            size, removed, count, digest, texts = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -322,13 +330,14 @@ def removal_report(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                     pa.array(removed, pa.int64()),
                     pa.array(count, pa.int64()),
                     pa.array(digest, pa.string()),
+                    pa.array(texts, pa.string()),
                 ],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
             )
 
     joined = _with_spans(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), window, gram)
     return joined.select("doc_id", "text", "spans").mapInArrow(
-        report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
     )
 
 
@@ -348,7 +357,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
             texts = []
             for i, (known, spans) in enumerate(zip(batch.column("text").is_valid().to_pylist(), batch.column("spans").to_pylist(), strict=True)):
                 parts = _kept(view[starts[i] : starts[i + 1]], merged_spans(np.array(spans or [], np.int64)))
-                texts.append("".join(bytes(p).decode("utf-8", "ignore") for p in parts) if known else None)
+                texts.append(_decoded(parts) if known else None)
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
