@@ -6,9 +6,12 @@ trained with follow-the-regularised-leader under L1 and L2 penalties on at most
 ``train_rows`` training rows (those with the smallest hash of the id; a documented bound). A
 language with fewer than ``LEAST_ROWS`` of them takes part with its own ``LEAST_ROWS`` rows of
 smallest hash, so that every labelled language is learned however rare it is. A fifth of
-each other language is kept back to fit the temperature of the softmax. Prediction reads whole
-texts: the weight of an n-gram already holds its IDF, and frequencies are relative, so a
-score is the mean of a table's rows over the n-grams of the text.
+each other language is kept back to fit the temperature of the softmax, on whole rows and on
+short excerpts of them. Prediction reads whole texts: the weight of an n-gram already holds its
+IDF, and frequencies are relative, so a score is the mean of a table's rows over the n-grams of
+the text. It is multiplied by how familiar the n-grams are: a text that none of the learned
+languages would write scores low, whichever of them is the likeliest. More than ``MOST_LABELS``
+different labels are refused before anything is collected.
 
 Rows whose text is null or has no letter get ``und`` and score 0. Null labels are not
 learned from; without any labelled row with letters every prediction is ``und``. Repeated rows count as
@@ -34,6 +37,9 @@ ORDERS = (1, 2, 3)
 TRAIN_ROWS, LEAST_ROWS = 4096, 64
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.02, 0.02, 3
 SCALE = 100.0
+EXCERPTS = (5, 10, 20, 40)  # n-grams
+MOST_LABELS = 512
+LEAST_SCORE = 0.5
 SLICE_BYTES = 256 << 10
 UNKNOWN = "und"
 
@@ -126,7 +132,9 @@ def sample_features(docs: DataFrame, train_rows: int) -> tuple[list, set[str]]:
         return [], set()
     sample = _decoded(_features(hashed.where(F.col("h") <= last).select("h", "lang", "text")).limit(train_rows).collect())
     taken = Counter(lang for lang, _, _ in sample)
-    totals = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()}
+    if len(totals) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} languages: weights for all of them would not fit a task")
     rare = {lang for lang, n in totals.items() if taken[lang] < min(n, LEAST_ROWS)}
     if not rare:
         return sample, rare
@@ -169,8 +177,19 @@ def follow_the_leader(sample: list, idf: np.ndarray, langs: list[str]) -> np.nda
     return weights(np.arange(BUCKETS))
 
 
+def excerpts(rows: list, of: dict[str, int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Short texts in place of ``rows``: the rows themselves and a few of their n-grams, drawn
+    with a fixed seed, so that what is fitted on them holds for little evidence as well."""
+    draw, bags, truth = np.random.default_rng(5), [], []
+    for lang, at, counts in rows:
+        bags.append(np.repeat(at, counts))
+        bags += [draw.choice(bags[-1], size) for size in EXCERPTS]
+        truth += [of[lang]] * (1 + len(EXCERPTS))
+    return bags, np.array(truth, np.int64)
+
+
 def temperature(logits: np.ndarray, truth: np.ndarray) -> float:
-    """The softmax temperature with the least log loss on rows kept back, by golden section."""
+    """The softmax temperature, 1 at least, with the least log loss, by golden section."""
     if not len(truth):
         return 1.0
 
@@ -178,15 +197,30 @@ def temperature(logits: np.ndarray, truth: np.ndarray) -> float:
         p = _softmax(logits / np.exp(log_t))
         return float(-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-300)).mean())
 
-    low, high, ratio = -4.0, 4.0, (np.sqrt(5) - 1) / 2
+    low, high, ratio = 0.0, 8.0, (np.sqrt(5) - 1) / 2
     for _ in range(40):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         low, high = (low, b) if loss(a) <= loss(b) else (a, high)
     return float(np.exp((low + high) / 2))
 
 
+def familiarity(learned: list, langs: list[str], bags: list[np.ndarray]) -> np.ndarray:
+    """Per bucket, how much an n-gram speaks for a text of any learned language: the logarithm
+    of its share, languages weighing alike, on a scale on which ``bags`` of known texts have 6
+    in the median and n-grams drawn evenly from all buckets -6."""
+    shares = np.zeros((len(langs), BUCKETS))
+    of = {lang: i for i, lang in enumerate(langs)}
+    for lang, at, counts in learned:
+        shares[of[lang], at] += counts
+    mixed = (shares / np.maximum(shares.sum(axis=1, keepdims=True), 1)).mean(axis=0)
+    logs = np.log(0.9 * mixed + 0.1 / BUCKETS)
+    known, noise = float(np.median([logs[bag].mean() for bag in bags])), float(logs.mean())
+    return 12.0 * (logs - (known + noise) / 2) / max(known - noise, 1e-9)
+
+
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """``(languages, table)``: IDF, weights and temperature in one row per bucket.
+    """``(languages, table)``: IDF, weights and temperature in one row per bucket, and its
+    familiarity in the last column.
 
     ``labelled`` has doc_id, text and lang; rows without a label or a letter are passed over.
     """
@@ -204,9 +238,10 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str],
         (kept_back if row[0] not in rare and seen[row[0]] % 5 == 0 else learned).append(row)
     w = follow_the_leader(learned, idf, langs)
     table = SCALE * idf[:, None] * w
-    logits = np.array([counts @ table[at] / counts.sum() for _, at, counts in kept_back])
-    truth = np.array([langs.index(lang) for lang, _, _ in kept_back])
-    return langs, (table / temperature(logits, truth)).astype(np.float32)
+    bags, truth = excerpts(kept_back or learned, {lang: i for i, lang in enumerate(langs)})
+    logits = np.array([table[bag].mean(axis=0) for bag in bags])
+    known = familiarity(learned, langs, bags)
+    return langs, np.column_stack([table / temperature(logits, truth), known]).astype(np.float32)
 
 
 def predict(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
@@ -222,15 +257,16 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
             if langs:
                 buckets, owners = _grams(texts)
                 sums = np.stack(
-                    [np.bincount(owners, weights=table[:, c][buckets], minlength=len(texts)) for c in range(len(langs))],
+                    [np.bincount(owners, weights=table[:, c][buckets], minlength=len(texts)) for c in range(len(langs) + 1)],
                     axis=1,
                 )
-                sizes = np.maximum(np.bincount(owners, minlength=len(texts)), 1)
-                p = _softmax(sums / sizes[:, None])
+                means = sums / np.maximum(np.bincount(owners, minlength=len(texts)), 1)[:, None]
+                p = _softmax(means[:, :-1])
+                known = 1 / (1 + np.exp(-means[:, -1]))
                 best = p.argmax(axis=1)
                 for i, text in enumerate(texts):
                     if any(map(str.isalpha, text)):
-                        names[i], scores[i] = langs[best[i]], float(p[i, best[i]])
+                        names[i], scores[i] = langs[best[i]], float(p[i, best[i]] * known[i])
             columns = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -248,8 +284,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
-    """``docs`` without the rows whose language is unknown or guessed below ``least_score``."""
+def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """``docs`` without the rows whose language is unknown or scored below ``least_score``: by
+    default those whose language is more likely another one, or none of the learned ones."""
     langs, table = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
     if not langs:
         return docs.where(F.lit(False))

@@ -1,8 +1,8 @@
 """URL rules by a cascade of Bloom filters, with built-in functions only.
 
 A rule names a host with its subdomains and the start of a path, and blocks or allows. The
-keys of a URL are all its host's suffixes (at dots) joined with the starts of its path, of
-those lengths that rules have. The universe is the set of keys of the whole corpus. Level 1
+keys of a URL are its host's suffixes (at dots) joined with the starts of its path, of those
+numbers of labels and those lengths that rules have. The universe is the set of keys of the whole corpus. Level 1
 encodes the listed keys; level 2 those keys of the universe that level 1 passes wrongly;
 level 3 the listed ones that level 2 passes, and so on until no level passes anything wrongly. The
 first level that does not pass a key tells on which side it is: membership is exact for every
@@ -53,11 +53,15 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def keys_of(host: Column, path: Column, lengths: Sequence[int]) -> Column:
+def keys_of(host: Column, path: Column, lengths: Sequence[int], labels: Sequence[int]) -> Column:
     """Keys a rule could have to fit, the deciding one first; a host is told from a path by
-    the first ``/`` or, for empty paths, by the end."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    the first ``/`` or, for empty paths, by the end. Only suffixes of as many ``labels`` as some
+    rule's host has are made, however long the host is."""
+    own = F.split(host, r"\.")
+    suffixes = F.transform(
+        F.filter(F.array(*map(F.lit, sorted(labels, reverse=True))), lambda n: n <= F.size(own)),
+        lambda n: F.array_join(F.slice(own, F.size(own) - n + 1, n), "."),
+    )
     keys = F.flatten(
         F.transform(
             F.filter(suffixes, lambda s: s != ""),
@@ -147,12 +151,13 @@ def judged(
     rules = rules.where("coalesce(host, '') <> ''").select(
         F.concat(F.col("host"), F.coalesce("path", F.lit(""))).alias("key"),
         F.length(F.coalesce("path", F.lit(""))).alias("length"),
+        F.size(F.split("host", r"\.")).alias("labels"),
         "verdict",
     )
-    lengths = [r.length for r in rules.select("length").distinct().collect()]  # path lengths of rules
+    lengths, labels = ([r[0] for r in rules.select(c).distinct().collect()] for c in ("length", "labels"))
     pages = pages.drop("host", "path", "rule", "verdict", "_keys")
     named = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-    named = named.withColumn("_keys", keys_of(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"))
+    named = named.withColumn("_keys", keys_of(F.col("host"), F.col("path"), lengths, labels) if lengths else F.array().cast("array<string>"))
     universe = stored(named.select(F.explode("_keys").alias("key")).distinct(), "url-keys")
     sides = {v: Cascade(rules.where(F.col("verdict") == v), universe, bits_per_key, most_bits) for v in ("block", "allow")}
     if any(c.too_large for c in sides.values()):

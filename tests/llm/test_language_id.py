@@ -1,10 +1,11 @@
 """Held-out accuracy, and parts of the training."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from llm.common import read
-from llm.language_id import UNKNOWN, held_out, keep_identified, op5_language_id, predict, temperature, train
+from llm.language_id import LEAST_SCORE, UNKNOWN, held_out, keep_identified, op5_language_id, predict, temperature, train
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -38,6 +39,35 @@ def test_calibration_finds_the_temperature():
     assert 2.6 < temperature(3 * logits, truth) < 3.4
 
 
+def test_scores_are_probabilities_and_strangers_are_rejected(spark):
+    docs = read(spark, SF_DIR, "documents")
+    langs, table = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
+    draw, parts = np.random.default_rng(1), []
+    for r in docs.where(held_out()).select("lang", "text").collect():
+        words = r.text.split()
+        for size in (2, 4, 8, 16, len(words)):
+            at = int(draw.integers(0, max(1, len(words) - size)))
+            parts.append((size, r.lang, " ".join(words[at : at + size])))
+    got = predict(spark.createDataFrame(parts, "size int, lang string, text string").coalesce(2), langs, table).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault(min(int(10 * r.score), 9), []).append(r.score - (r.lang == r.lang_pred))
+    assert sum(abs(sum(b)) for b in bins.values()) / len(got) < 0.05
+    assert np.mean([r.score < LEAST_SCORE for r in got]) < 0.02
+    strange = ["xqzv kkjw pqpq zzxx", "Ελληνική πρόταση για δοκιμή", "日本語の文章をここに書きます", "Привет как дела сегодня"]
+    for r in predict(spark.createDataFrame([(t,) for t in strange], "text string"), langs, table).collect():
+        assert r.score < LEAST_SCORE
+    mixed = docs.limit(20).unionByName(spark.createDataFrame([(-1 - i, t, "en", "s", 9) for i, t in enumerate(strange)], docs.schema))
+    kept = predict(mixed, langs, table).where(F.col("score") >= LEAST_SCORE)
+    assert kept.count() == 20 and kept.where("doc_id < 0").count() == 0
+
+
+def test_too_many_languages_are_refused(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "'some text' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError, match="languages"):
+        train(docs)
+
+
 def test_odd_documents(spark, odd_documents, no_documents):
     langs, table = train(odd_documents.select("doc_id", "text", "lang"), 64)
     assert langs == ["en", "fr"]
@@ -46,7 +76,8 @@ def test_odd_documents(spark, odd_documents, no_documents):
     for r in got:
         assert (r.lang_pred == UNKNOWN) == (not any(c.isalpha() for c in r.text or "")) and 0 <= r.score <= 1
     kept = keep_identified(odd_documents)
-    assert kept.columns == odd_documents.columns and kept.count() == 8
+    scored = [r.score for r in predict(odd_documents.drop("score"), *train(odd_documents.where(~held_out()))).collect()]
+    assert kept.columns == odd_documents.columns and kept.count() == sum(x >= LEAST_SCORE for x in scored) > 0
     assert kept.select("score").distinct().collect() == [(0.5,)]
     assert keep_identified(no_documents).count() == 0
     langs, table = train(odd_documents.where("lang IS NULL").select("doc_id", "text", "lang"))

@@ -83,3 +83,13 @@ def test_a_cascade_has_no_false_positives(spark):
 def test_the_plan_has_no_python_and_no_join(spark):
     plan = op4_url_filter(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Join" not in plan
+
+
+def test_a_very_long_host_ends(spark):
+    labels = "a." * 400_000
+    urls = [(1, f"http://{labels}example.net/en/x"), (2, "http://" + "x" * 1_000_000), (3, f"http://{labels}/"), (4, "http://.net/"), (5, "http://net./")]
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow")], "host string, path string, verdict string")
+    got = judged(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in got} == {
+        1: ("example.net/en/", "allow"), 2: (None, "allow"), 3: (None, "allow"), 4: ("net/", "block"), 5: (None, "allow"),
+    }
