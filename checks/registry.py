@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping
+from contextlib import suppress
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,13 +44,15 @@ from rulefold.operators.quality import (
     run_totals,
     unmatched_findings,
 )
-from rulefold.operators.skew import COPIES, skew_join
+from rulefold.operators.skew import COPIES, shared_folder, skew_join
 from rulefold.operators.summaries import FIRST_OPEN_OR_MODE, summarize
-from rulefold.plans.runs import candidate_groups, publish_files
-from rulefold.schemas import ROLLUP_TABLE
+from rulefold.plans.incremental import run_incrementally
+from rulefold.plans.runs import candidate_groups, publish_files, publish_version
+from rulefold.schemas import ASSOCIATION_TABLE, ROLLUP_TABLE
 from rulefold.sources.ingest import TableImport, id_ranges, import_findings
 from rulefold.sources.rules import Rule, parse_rules
 from rulefold.sources.tables import FrameSource
+from rulefold.sources.versions import StaleRun, VersionedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 IDS = ["group_identifier", "group_identifier_readable"]
@@ -440,10 +443,58 @@ def import_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _imported(spark, {n: tables[n] for n in keys}, plan, keys, 999, {"findings": "id <= 999"})
 
 
+def own_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def before_changes(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as they may have been before a run: rows added, gone and changed since."""
+    old = dict(tables)
+    old["findings"] = tables["findings"].where("id % 13 <> 0").withColumn("source", F.expr("IF(id % 17 = 3, 'P', source)"))
+    old["findings"] = old["findings"].unionByName(old["findings"].where("id % 19 = 5").withColumn("id", F.expr("-id")))
+    old["findings_additional_data"] = tables["findings_additional_data"].where("finding_id % 23 <> 1")
+    old["plain_resources"] = tables["plain_resources"].withColumn("cloud_account", F.expr("IF(id % 37 = 2, 'moved', cloud_account)"))
+    old["resource_to_scopes"] = tables["resource_to_scopes"].where("resource_id % 41 <> 7")
+    old["scope_groups"] = tables["scope_groups"].withColumn("name", F.expr("IF(id = 3, 'old name', name)"))
+    old["tickets"] = tables["tickets"].where("id % 43 <> 0")
+    old["findings_scores"] = tables["findings_scores"].where("finding_id % 29 <> 4")
+    return old
+
+
+def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run over earlier tables, then a run over what changed: the groups of a full run."""
+    tables, folder = finding_tables(spark, sf_dir), own_folder(spark, "incremental")
+    run_incrementally(spark, before_changes(tables), FANOUT_RULES, folder)
+    run = run_incrementally(spark, tables, FANOUT_RULES, folder)
+    assert not run.full
+    return run.grouping.rollup.select(*IDS, "findings_count", "rule_number")
+
+
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of both outputs, published around a run that fails halfway and one that is
+    refused: groups with their rows in the association of the same version."""
+    store = VersionedTables(spark, own_folder(spark, "versions"))
+    rows = narrow_findings(spark, sf_dir)
+    publish_version(store, group_findings(rows, RULES[:3], unique_ids=True))
+    late, failed = store.begin(), store.begin()
+    run = group_findings(rows, RULES, unique_ids=True)
+    failed.write(ASSOCIATION_TABLE, run.association.limit(0))  # and no more: nothing is committed
+    publish_version(store, run)
+    with suppress(StaleRun):
+        store.commit(late)
+        raise AssertionError("a run from an older version was committed")
+    parts = []
+    for number in (1, 2):
+        tables = store.read(ROLLUP_TABLE, ASSOCIATION_TABLE, number=number)
+        held = tables[ASSOCIATION_TABLE].groupBy(*IDS).agg(F.count(F.lit(1)).alias("association_rows"))
+        parts.append(tables[ROLLUP_TABLE].join(held, IDS).select(F.lit(number).alias("version"), *IDS, "findings_count", "association_rows"))
+    return parts[0].unionByName(parts[1])
+
+
 def publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over tenants, published as files and read back."""
     run = group_findings(narrow_findings(spark, sf_dir), RULES, tenant="tenant")
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/published-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "published")
     publish_files(run, folder, tenant="tenant")
     back = spark.read.parquet(f"{folder}/{ROLLUP_TABLE}")
     return back.select("tenant", *IDS, "findings_count", "rule_number")
@@ -678,6 +729,8 @@ def queries() -> dict[str, Query]:
         "import_round_trip": import_round_trip,
         "import_capped": import_capped,
         "publish_round_trip": publish_round_trip,
+        "publish_versions": publish_versions,
+        "incremental_run": incremental_run,
         "claimed_ids": claimed,
         "unclaimed_findings": unclaimed_findings,
         "association_diff": association_diff,

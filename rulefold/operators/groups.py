@@ -138,6 +138,17 @@ def rollup(
     )
 
 
+def rollup_of_counts(counts: DataFrame, id_style: str = "compat") -> DataFrame:
+    """The rollup without lists, from counts kept per ``rule_number, group_key``."""
+    return counts.select(
+        *_identifiers(id_style),
+        F.lit(None).cast("array<long>").alias("finding_ids"),
+        F.lit(None).cast("array<string>").alias("cloud_accounts"),
+        "findings_count",
+        RULE_NUMBER,
+    )
+
+
 def united_rollups(rollups: Mapping[Sequence[str], DataFrame]) -> DataFrame:
     """Rollups with different group columns as one: each group's key in columns of their
     names, NULL where a rollup does not group by them.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COPIES = "row_copies"
@@ -86,6 +86,18 @@ def expand_copies(df: DataFrame, per_piece: int = COPIES_PER_PIECE) -> DataFrame
     return pieces.select(*others, F.explode(F.sequence(first, first + size - 1)).alias(COPY_NUMBER))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for files that all executors share, or one in the warehouse
+    of a local master; a cluster that names none raises."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("name a folder, or set spark.checkpoint.dir to one that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored"
+
+
 def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     """``df`` computed once, for several readers: written as parquet and read back.
 
@@ -94,12 +106,7 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     cluster without one raises, since executors would not find each other's files.
     """
     spark = df.sparkSession
-    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("name a folder, or set spark.checkpoint.dir to one that all executors share")
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored"
+    folder = folder or shared_folder(spark)
     path = f"{folder.rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

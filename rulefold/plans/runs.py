@@ -18,6 +18,7 @@ from rulefold.schemas import ASSOCIATION_TABLE, ROLLUP_TABLE
 from rulefold.sources.rules import load_rules
 from rulefold.sources.sinks import save_files, save_table
 from rulefold.sources.tables import catalog_tables
+from rulefold.sources.versions import Version, VersionedTables
 
 # The tables candidate groups are formed over.
 _CANDIDATE_TABLES = (
@@ -96,6 +97,15 @@ def publish_files(
         save_files(df, f"{folder}/{name}", file_format, partition_by=[tenant] if tenant else None)
 
 
+def publish_version(store: VersionedTables, grouping: Grouping, facts: Mapping[str, Any] | None = None) -> Version:
+    """Publish both outputs as one version: readers see this pair or the one before, whatever
+    fails. Raises ``StaleRun`` where another run was published while this one wrote."""
+    draft = store.begin()
+    for name, df in ((ASSOCIATION_TABLE, grouping.association), (ROLLUP_TABLE, grouping.rollup)):
+        draft.write(name, df)
+    return store.commit(draft, facts)
+
+
 def export_updates(plan: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Write a change plan, one folder per kind of change."""
     save_files(plan, path, file_format, partition_by=["change"])
