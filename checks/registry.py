@@ -42,15 +42,17 @@ from rulefold.operators.quality import (
     count_mismatches,
     run_report,
     run_totals,
+    schema_differences,
     unmatched_findings,
 )
 from rulefold.operators.skew import COPIES, shared_folder, skew_join
 from rulefold.operators.summaries import FIRST_OPEN_OR_MODE, summarize
 from rulefold.plans.incremental import run_incrementally
-from rulefold.plans.runs import candidate_groups, publish_files, publish_version
-from rulefold.schemas import ASSOCIATION_TABLE, ROLLUP_TABLE
-from rulefold.sources.ingest import TableImport, id_ranges, import_findings
-from rulefold.sources.rules import Rule, parse_rules
+from rulefold.plans.runs import candidate_groups, export_updates, publish_files, publish_version
+from rulefold.schemas import ASSOCIATION_TABLE, ROLLUP_TABLE, id_column, schema_of
+from rulefold.sources.ingest import TableImport, id_ranges, import_findings, import_plan
+from rulefold.sources.resume import Ledger, resume_import
+from rulefold.sources.rules import Rule, load_rules, parse_rules
 from rulefold.sources.tables import FrameSource
 from rulefold.sources.versions import StaleRun, VersionedTables
 
@@ -491,6 +493,93 @@ def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def import_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole plan of an import: every table it names, in ranges where it says so."""
+    tables = finding_tables(spark, sf_dir) | {"aggregation_rules": nation_rules(spark, sf_dir)}
+    plan = import_plan(ids_per_batch=40_000_000, connections=4)
+    keys = {s.table: s.key or id_column(s.table) for s in plan}
+    keys |= {"statuses": "key", "aggregation_rules": "id"}
+    return _imported(spark, tables, plan, keys)
+
+
+class InterruptedSource(RangedSource):
+    """A source that breaks off after some reads of ranges."""
+
+    def read_ids(self, spark, table, id_column, low, high, connections):
+        self.left[0] -= 1
+        if self.left[0] < 0:
+            raise ConnectionError("the connection was lost")
+        return super().read_ids(spark, table, id_column, low, high, connections)
+
+
+def import_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An import that stops within its second table and goes on later: rows and ids."""
+    tables = {n: df for n, df in finding_tables(spark, sf_dir).items() if n in ("findings", "plain_resources", "statuses")}
+    sizes = {}
+    for name in ("findings", "plain_resources"):  # four ranges each
+        low, high = FrameSource(tables).id_bounds(spark, name, "id")
+        sizes[name] = (high - low) // 4 + 1
+    plan = [*(TableImport(name, 4, size) for name, size in sizes.items()), TableImport("statuses")]
+    folder, source_tables = own_folder(spark, "import"), InterruptedSource(tables)
+    object.__setattr__(source_tables, "left", [5])
+    with suppress(ConnectionError):
+        resume_import(spark, source_tables, plan, folder)
+        raise AssertionError("the import was not interrupted")
+    resume_import(spark, RangedSource(tables), plan, folder)
+    if any(resume_import(spark, RangedSource(tables), plan, folder).values()):
+        raise AssertionError("a finished part was read again")
+    ledger = Ledger(spark, folder)
+    parts = []
+    for name, key in (("findings", "id"), ("plain_resources", "id"), ("statuses", "key")):
+        back = ledger.read(name).agg(F.count(F.lit(1)).alias("table_rows"), F.sum(key).alias("ids"))
+        parts.append(back.select(F.lit(name).alias("table_name"), "table_rows", "ids"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def nation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of rules, one per nation; those of one region are of another type."""
+    definition = (
+        "concat('{\"group_by\": [\"findings.package_name\"], \"filters_config\": {\"cloud_account\": \"', n_name, '\"}}')"
+    )
+    return source(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS id", "100 - n_nationkey AS `order`", "IF(n_regionkey = 2, 'OTHER', 'AGG') AS type", f"{definition} AS aggregation_query",
+        "n_nationkey % 5 = 1 AS disabled", "false AS is_deleted",
+    )
+
+
+def rules_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules read from their table: the grouping ones that are active, in their order."""
+    rules = load_rules(nation_rules(spark, sf_dir), active_only=True)
+    run = group_findings(narrow_findings(spark, sf_dir), rules, unique_ids=True, reuse=False)
+    return run.rollup.select(*IDS, "findings_count", "rule_number")
+
+
+def exported_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change plan exported to files, one folder per kind of change, and read back."""
+    folder = own_folder(spark, "updates")
+    export_updates(plan_changes(spark, sf_dir), folder)
+    return spark.read.parquet(folder)
+
+
+def output_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of a run against their declared columns, with their rows."""
+    run = _run(spark, sf_dir, FANOUT_RULES)
+    parts = []
+    for name, df in ((ASSOCIATION_TABLE, run.association), (ROLLUP_TABLE, run.rollup)):
+        wrong = schema_differences(df, schema_of(name))
+        columns = [F.lit(",".join(v)).alias(k) for k, v in wrong.items()]
+        parts.append(df.agg(F.count(F.lit(1)).alias("table_rows")).select(F.lit(name).alias("table_name"), *columns, "table_rows"))
+    return parts[0].unionByName(parts[1])
+
+
+def planted_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups whose association lost rows, got some twice, or is gone."""
+    run = create_groups(narrow_findings(spark, sf_dir), ["package_name", "cloud_account"], unique_ids=True)
+    lost = run.association.where("finding_id % 701 <> 3 AND group_identifier_readable <> 'null_null'")
+    wrong = lost.unionByName(lost.where("finding_id % 907 = 5"))
+    return count_mismatches(run.rollup, wrong)
+
+
 def publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over tenants, published as files and read back."""
     run = group_findings(narrow_findings(spark, sf_dir), RULES, tenant="tenant")
@@ -554,11 +643,17 @@ def plan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ungrouped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_existing_group(finding_tables(spark, sf_dir), "rule_id")
-    lists = ungrouped_findings(rows, ["rule_id"], "existing_group_id")
+    lists = ungrouped_findings(rows, ["rule_id"], "existing_group_id", lists=True)
     ids = F.array_sort(F.col("finding_ids_without_group").cast("array<string>"))
     return lists.select("rule_id", F.array_join(ids, ",").alias("finding_ids_without_group"))
 
 
+def ungrouped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as rows: a group's findings that are in no group, or one NULL."""
+    rows = with_existing_group(finding_tables(spark, sf_dir), "rule_id")
+    return ungrouped_findings(rows, ["rule_id"], "existing_group_id", every_group=True)
+
+
 def run_stamped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = group_key(["package_name"])
     number = F.lit(1)
@@ -674,6 +769,9 @@ PREDICATES: dict[str, Query] = {
     ),
     "pred_custom_sql": predicate({"custom_sql": "severity * 2 > 5", "source": "O"}),
     "pred_sql_filter": pred_sql_filter,
+    "pred_dropped_conditions": predicate(
+        {"filtersjson": both(leaf("source", "in", []), leaf("fix_type", "resembles", "x"), leaf("rule_id", "in", "rule-1"), leaf("severity", "in", [1, 4]))}
+    ),
 }
 
 SUMMARIES: dict[str, Query] = {
@@ -730,6 +828,13 @@ def queries() -> dict[str, Query]:
         "import_capped": import_capped,
         "publish_round_trip": publish_round_trip,
         "publish_versions": publish_versions,
+        "import_all": import_all,
+        "import_resumed": import_resumed,
+        "rules_from_table": rules_from_table,
+        "exported_updates": exported_updates,
+        "output_schemas": output_schemas,
+        "planted_mismatches": planted_mismatches,
+        "ungrouped_rows": ungrouped_rows,
         "incremental_run": incremental_run,
         "claimed_ids": claimed,
         "unclaimed_findings": unclaimed_findings,

@@ -26,7 +26,7 @@ def match_existing_groups(
 
 
 def ungrouped_findings(
-    df: DataFrame, group_by: list[str], group_id: str = "aggregation_group_id", lists: bool = True,
+    df: DataFrame, group_by: list[str], group_id: str = "aggregation_group_id", lists: bool = False,
     every_group: bool = False,
 ) -> DataFrame:
     """Per group, its findings that are in no existing group yet, from one reading of ``df``.

@@ -64,9 +64,9 @@ def test_ungrouped_lists_are_empty_not_absent(spark):
         "id AS finding_id", "CASE WHEN id < 90 THEN 'big' WHEN id < 95 THEN 'done' END AS g",
         "CASE WHEN id >= 90 OR id % 2 = 0 THEN 1 END AS aggregation_group_id",
     )
-    got = {r["g"]: r["finding_ids_without_group"] for r in ungrouped_findings(df, ["g"]).collect()}
+    got = {r["g"]: r["finding_ids_without_group"] for r in ungrouped_findings(df, ["g"], lists=True).collect()}
     assert sorted(got["big"]) == list(range(1, 90, 2)) and got["done"] == [] and got[None] == []
-    rows = ungrouped_findings(df, ["g"], lists=False)
+    rows = ungrouped_findings(df, ["g"])
     assert rows_of(rows) == sorted((("big", n) for n in range(1, 90, 2)), key=repr)
 
 
