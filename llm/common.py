@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -34,6 +35,18 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, BATCH_ROWS)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Actions in here send at most ``rows`` rows to a Python worker at once: for rows that are
+    packed and large. The session's own number returns."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, min(rows, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a folder of our own on a local master only."""
     named = spark.conf.get("spark.checkpoint.dir", None)

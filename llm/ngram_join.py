@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import RollingHash, bounded_batches, by_bytes, mix64, read, stored, task_count, text_buffer
+from llm.common import RollingHash, batches_of, bounded_batches, by_bytes, mix64, read, stored, task_count, text_buffer
 from llm.components import connected_components
 
 WORDS = 5
@@ -43,6 +43,7 @@ SLICE_BYTES = 512 << 10
 BLOCK_NGRAMS = 1 << 19
 RANGES_PER_TASK = 4
 RESULT_BYTES = 1 << 20
+PACKED_ROWS = 64
 GROUP_BYTES = 4 << 20
 MOST_COUNTED = 4095
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -433,7 +434,8 @@ def set_components(docs: DataFrame) -> DataFrame:
         _by_group(_candidates, _SETS, RESULT_BYTES),
         "set binary, n int, ngrams binary, size long, prefix array<long>, commonest long",
     )
-    sets = stored(candidates.dropDuplicates(["set"]), "candidate-sets")
+    with batches_of(spark, PACKED_ROWS):
+        sets = stored(candidates.dropDuplicates(["set"]), "candidate-sets")
     own = sets.withColumn("key", F.col("commonest").cast("string").cast("binary"))
     first = _searched(own.select("key", "set", "n", "ngrams", F.col("set").alias("label")), own.select("key", "size"), False)
     first = stored(first, "first-links")
