@@ -151,13 +151,18 @@ def assign_rules(
         number = _first_of([(F.col(_RULE_SET) == n, _first_rule(s)) for n, s in enumerate(compiled)])
         key = _first_of([(F.col(_RULE_SET) == n, _key_of(s)) for n, s in enumerate(compiled)])
         several = any(len(s) > 1 for s in compiled)
+        indexed = any(step.demand is not None for s in compiled for step in s)
     else:
         all_steps = steps(rules)
         number, key, several = _first_rule(all_steps), _key_of(all_steps), len(all_steps) > 1
+        indexed = any(step.demand is not None for step in all_steps)
 
+    number = number.cast("int")
+    if indexed:  # as a generator's output it is computed once, wherever it is used
+        number = F.explode_outer(F.array(number))
     weights = [COPIES] if COPIES in df.columns and fanout == "rows" else []
     matched = (
-        scope.withColumn(RULE_NUMBER, number.cast("int"))
+        scope.withColumn(RULE_NUMBER, number)
         .where(F.col(RULE_NUMBER).isNotNull())
         .select(*finding, RULE_NUMBER, key.cast("array<string>").alias(GROUP_KEY), *payload, *weights)
     )
