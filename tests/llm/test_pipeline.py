@@ -44,8 +44,8 @@ def test_stages_one_by_one(spark):
 def test_registered():
     queries, sql = contract.queries(), contract.oracle_sql()
     ours = [n for n in queries if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in ours] == list(range(1, 11)) and "pipeline" in queries
-    assert {n for n in sql if n.startswith("op")} == {n for n in ours if n.split("_")[0] in ("op1", "op3", "op4", "op8")}
+    assert [int(n[2:].split("_")[0]) for n in ours] == list(range(1, 14)) and "pipeline" in queries
+    assert {n for n in sql if n.startswith("op")} == {n for n in ours if n.split("_")[0] in ("op1", "op3", "op4", "op8", "op11", "op13")}
     assert "pipeline" not in sql and pipeline.ORACLE_SQL is None
 
 
