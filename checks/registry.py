@@ -34,9 +34,18 @@ from rulefold.operators.base_view import (
     older_view,
     packaged_findings,
 )
+from rulefold.operators.digests import range_difference
 from rulefold.operators.exclusions import exclude_findings
-from rulefold.operators.existing import change_plan, match_existing_groups, ungrouped_findings
-from rulefold.operators.groups import claimed_ids, create_groups, group_findings, rollup, unclaimed, united_rollups
+from rulefold.operators.existing import change_plan, match_existing_groups, ungrouped_findings, ungrouped_pages
+from rulefold.operators.groups import (
+    claimed_ids,
+    create_groups,
+    group_findings,
+    group_pages,
+    rollup,
+    unclaimed,
+    united_rollups,
+)
 from rulefold.operators.quality import (
     association_difference,
     count_mismatches,
@@ -45,7 +54,7 @@ from rulefold.operators.quality import (
     schema_differences,
     unmatched_findings,
 )
-from rulefold.operators.skew import COPIES, shared_folder, skew_join
+from rulefold.operators.skew import COPIES, materialize, shared_folder, skew_join
 from rulefold.operators.summaries import FIRST_OPEN_OR_MODE, summarize
 from rulefold.plans.incremental import run_incrementally
 from rulefold.plans.runs import candidate_groups, export_updates, publish_files, publish_version
@@ -536,6 +545,25 @@ def import_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def import_equal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An import in 16 batches of equal rows, of findings whose ids leave nine tenths of their
+    range empty: rows and ids read back, and whether no batch has over 1.5 times the mean."""
+    findings = finding_tables(spark, sf_dir)["findings"]
+    low, high = FrameSource({"findings": findings}).id_bounds(spark, "findings", "id")
+    moved = F.when(F.col("id") > (low + high) // 2, F.col("id") + 9 * (high - low)).otherwise(F.col("id"))
+    tables = {"findings": findings.withColumn("id", moved)}
+    plan, folder = [TableImport("findings", 4, rows_per_batch=-(-findings.count() // 16))], own_folder(spark, "equal")
+    resume_import(spark, RangedSource(tables), plan, folder)
+    ledger = Ledger(spark, folder)
+    counts = [
+        spark.read.parquet(f"{folder}/findings/{part}").agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+        for part in ledger.planned("findings")
+    ]
+    parts = reduce(DataFrame.unionByName, counts)
+    even = F.max("rows") <= 1.5 * F.avg("rows")
+    return parts.agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("table_rows"), F.sum("ids").alias("ids"), even.alias("even"))
+
+
 def nation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of rules, one per nation; those of one region are of another type."""
     definition = (
@@ -609,6 +637,32 @@ def association_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return association_difference(one("P"), one("F"))
 
 
+def association_diff_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An association against one that lost some rows, has others twice and holds foreign ones:
+    compared by digests of ranges, with multiplicities."""
+    rows = create_groups(narrow_findings(spark, sf_dir), ["package_name", "cloud_account"], unique_ids=True, reuse=False).association
+    kept = rows.where("finding_id % 2003 <> 7")
+    foreign = rows.where("finding_id % 1009 = 3").withColumn("finding_id", F.expr("-finding_id"))
+    other = kept.unionByName(rows.where("finding_id % 1511 = 2")).unionByName(foreign)
+    return range_difference(materialize(rows), materialize(other), distinct=False)
+
+
+def group_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings of each group of a run in pages of 50 ids, as often as they occur."""
+    pages = group_pages(_fanout_assigned(spark, sf_dir), 50)
+    ids = F.array_join(F.col("finding_ids").cast("array<string>"), ",")
+    accounts = F.array_join("cloud_accounts", ",", "null")
+    return pages.select(*IDS, "rule_number", "page", ids.alias("finding_ids"), accounts.alias("cloud_accounts"))
+
+
+def ungrouped_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in no existing group, by rule, in pages of 20 ids."""
+    rows = with_existing_group(finding_tables(spark, sf_dir), "rule_id")
+    pages = ungrouped_pages(rows, ["rule_id"], "existing_group_id", 20)
+    ids = F.array_join(F.col("finding_ids_without_group").cast("array<string>"), ",")
+    return pages.select("rule_id", "page", ids.alias("finding_ids_without_group"))
+
+
 def excluder_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = finding_tables(spark, sf_dir)
     findings = tables["findings"].select(F.col("id").alias("finding_id"), "source")
@@ -769,6 +823,9 @@ PREDICATES: dict[str, Query] = {
     ),
     "pred_custom_sql": predicate({"custom_sql": "severity * 2 > 5", "source": "O"}),
     "pred_sql_filter": pred_sql_filter,
+    "pred_checked_sql": predicate(
+        {"custom_sql": "CASE WHEN severity BETWEEN 2 AND 3 THEN lower(source) IN ('o', 'p') ELSE NOT (rule_id LIKE '%-1%' OR coalesce(fix_type, '') = 'Patch') END"}
+    ),
     "pred_dropped_conditions": predicate(
         {"filtersjson": both(leaf("source", "in", []), leaf("fix_type", "resembles", "x"), leaf("rule_id", "in", "rule-1"), leaf("severity", "in", [1, 4]))}
     ),
@@ -826,6 +883,10 @@ def queries() -> dict[str, Query]:
         "tenant_rule_sets": tenant_rule_sets,
         "import_round_trip": import_round_trip,
         "import_capped": import_capped,
+        "import_equal_rows": import_equal_rows,
+        "association_diff_ranges": association_diff_ranges,
+        "group_id_pages": group_id_pages,
+        "ungrouped_id_pages": ungrouped_id_pages,
         "publish_round_trip": publish_round_trip,
         "publish_versions": publish_versions,
         "import_all": import_all,

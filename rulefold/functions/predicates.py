@@ -5,7 +5,8 @@ Two shapes are understood, and may be nested as JSON text at any level:
 * a tree of ``{"operator": "and" | "or", "operands": [...]}`` nodes over
   ``{"field", "condition", "value"}`` leaves;
 * a flat configuration, whose keys are column names or one of ``filtersjson``,
-  ``scopesjson`` (trees) and ``custom_sql`` (trusted SQL text); all are AND-ed.
+  ``scopesjson`` (trees) and ``custom_sql`` (SQL text, see ``functions.sql_text``); all are
+  AND-ed.
 
 Values reach the plan as literals of the column's own type, never as SQL text.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rulefold.functions.sql_text import SqlTextError, check_sql_text
 from rulefold.schemas import TABLES, view_name_of
 
 # Configuration keys with a meaning of their own, keys that only
@@ -157,6 +159,7 @@ class FilterCompiler:
     ):
         self.fields = Fields(df, field_map)
         self.strict = strict
+        self._df = df
 
     def compile(self, config: Mapping[str, Any] | None) -> Column | None:
         """The predicate, or None where the configuration filters nothing."""
@@ -175,10 +178,17 @@ class FilterCompiler:
         if key in TREE_KEYS:
             return self._tree(value)
         if key == SQL_KEY:
-            return F.expr(value)
+            return self.sql(value)
         leaf = _Leaf(self.fields, key)
         return leaf.is_one_of(value) if isinstance(value, list) else leaf.column == leaf.literal(value)
 
+    def sql(self, text: str) -> Column:
+        """An SQL text as a predicate, if it holds nothing but what is allowed in rules."""
+        try:
+            return F.expr(check_sql_text(self._df, text))
+        except SqlTextError as error:
+            raise FilterError(str(error)) from error
+
     def _tree(self, node: Any) -> Column | None:
         if isinstance(node, str):
             try:

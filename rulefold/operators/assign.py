@@ -208,7 +208,7 @@ def _mentions_sql(rules: Rules, use_sql_filters: bool) -> bool:
 def _predicate(rule: Rule, compiler: FilterCompiler, excluding: bool, use_sql_filters: bool) -> Column:
     parts = [compiler.compile(rule.filters)]
     if use_sql_filters and rule.sql_filter:
-        parts.append(F.expr(rule.sql_filter))
+        parts.append(compiler.sql(rule.sql_filter))
     if excluding:
         parts.append(~is_excluded(rule.id))
     predicate = F.lit(True)

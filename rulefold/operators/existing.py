@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulefold.operators.paging import IDS_PER_PAGE, paged_lists
 from rulefold.operators.skew import COPIES, expand_copies
 
 # The states of a group in a change plan.
@@ -51,6 +52,18 @@ def ungrouped_findings(
     return df.groupBy(*group_by).agg(ids.alias("finding_ids_without_group"))
 
 
+def ungrouped_pages(
+    df: DataFrame, group_by: list[str], group_id: str = "aggregation_group_id", ids_per_page: int = IDS_PER_PAGE,
+    folder: str | None = None,
+) -> DataFrame:
+    """The lists of ``ungrouped_findings`` in pages of at most ``ids_per_page`` ids, in their order.
+
+    A group whose findings are all grouped has no page.
+    """
+    rows = df.where(F.col(group_id).isNull() & F.col("finding_id").isNotNull())
+    return paged_lists(rows, group_by, {"finding_id": "finding_ids_without_group"}, ids_per_page, folder)
+
+
 def change_plan(groups: DataFrame, existing: DataFrame, tenant: str | None = None) -> DataFrame:
     """What a run changes: each identifier as new, matched or vanished.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rulefold.functions.identity import group_identifier, readable_identifier
 from rulefold.operators.assign import GROUP_KEY, RULE_NUMBER, Rules, assign_rules
+from rulefold.operators.paging import IDS_PER_PAGE, PAGE, paged_lists
 from rulefold.operators.skew import copies_of, expand_copies, materialize
 from rulefold.operators.summaries import summarize, summary_inputs
 from rulefold.sources.rules import Rule
@@ -138,6 +139,25 @@ def rollup(
     )
 
 
+def group_pages(
+    assigned: DataFrame,
+    ids_per_page: int = IDS_PER_PAGE,
+    id_style: str = "compat",
+    tenant: str | None = None,
+    folder: str | None = None,
+) -> DataFrame:
+    """The rollup's two lists in pages: one row per group and ``ids_per_page`` of its entries.
+
+    Pages are numbered from 0; joined in order they are the group's lists, sorted by finding and
+    cloud account. No value or task holds more than a page, whatever the size of the group.
+    """
+    group = _group(tenant)
+    lists = {"finding_id": "finding_ids", "cloud_account": "cloud_accounts"}
+    pages = paged_lists(assigned, group, lists, ids_per_page, folder)
+    lead = [tenant] if tenant else []
+    return pages.select(*lead, *_identifiers(id_style), RULE_NUMBER, PAGE, *lists.values())
+
+
 def rollup_of_counts(counts: DataFrame, id_style: str = "compat") -> DataFrame:
     """The rollup without lists, from counts kept per ``rule_number, group_key``."""
     return counts.select(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulefold.schemas import id_column
+from rulefold.sources.ranges import IdRange, equal_ranges, id_ranges
 from rulefold.sources.sinks import save_table
 
 # The import plan. Large tables are read in id ranges, medium ones over
@@ -35,29 +37,13 @@ CONNECTIONS_PER_BATCH = 32
 MEDIUM_CONNECTIONS = 4
 
 
-@dataclass(frozen=True)
-class IdRange:
-    """An inclusive range of ids."""
-
-    low: int
-    high: int
-
-
-def id_ranges(bounds: tuple[int, int] | None, size: int, max_id: int | None = None) -> list[IdRange]:
-    """Cut ``bounds`` into consecutive ranges of ``size`` ids; ids above ``max_id`` are left out."""
-    if bounds is None:
-        return []
-    low, high = bounds
-    if max_id is not None:
-        high = min(high, max_id)
-    return [IdRange(start, min(start + size - 1, high)) for start in range(low, high + 1, size)]
-
-
 @dataclass(frozen=True)
 class TableImport:
     """How one table is read: in ranges of ``batch_size`` ids, or whole where that is None.
 
-    ``buckets`` stores the table bucketed by its id column. ``key`` is the column to range
+    ``rows_per_batch`` replaces ranges of equal width by batches of about so many rows, each read
+    in ``connections`` ranges of about as many rows: on sparse ids no task is empty and none reads
+    a multiple of the others. ``buckets`` stores the table bucketed by its id column. ``key`` is the column to range
     over where that is not the id column of the schema.
     """
 
@@ -66,6 +52,29 @@ class TableImport:
     batch_size: int | None = None
     buckets: int | None = None
     key: str | None = None
+    rows_per_batch: int | None = None
+
+    def batches(
+        self, spark: SparkSession, source, bounds: tuple[int, int] | None, max_id: int | None = None
+    ) -> list[IdRange]:
+        """The id ranges of the table's batches, in order and without gaps within ``bounds``."""
+        if bounds is None or (max_id is not None and max_id < bounds[0]):
+            return []
+        low, high = bounds[0], bounds[1] if max_id is None else min(bounds[1], max_id)
+        if high < low:
+            return []
+        if self.rows_per_batch is None:
+            return id_ranges((low, high), self.batch_size or max(high - low + 1, 1))
+        counts = partial(source.id_counts, spark, self.table, self.key or id_column(self.table))
+        return equal_ranges(counts, IdRange(low, high), rows=self.rows_per_batch)
+
+    def read(self, spark: SparkSession, source, ids: IdRange) -> DataFrame:
+        """One batch, in ``connections`` tasks."""
+        key = self.key or id_column(self.table)
+        if self.rows_per_batch is None:
+            return source.read_ids(spark, self.table, key, ids.low, ids.high, self.connections)
+        parts = equal_ranges(partial(source.id_counts, spark, self.table, key), ids, ranges=self.connections)
+        return source.read_ranges(spark, self.table, key, [(p.low, p.high) for p in parts])
 
     def run(self, spark: SparkSession, source, prefix: str = "", max_id: int | None = None,
             file_format: str = "parquet") -> int:
@@ -90,11 +99,7 @@ class TableImport:
             save_table(whole if max_id is None else whole.where(F.col(key) <= max_id), target, **layout)
             return 1
         bounds = source.id_bounds(spark, self.table, key)
-        size = self.batch_size or (bounds[1] - bounds[0] + 1 if bounds else 1)
-        batches = [
-            source.read_ids(spark, self.table, key, ids.low, ids.high, self.connections)
-            for ids in id_ranges(bounds, size, max_id)
-        ]
+        batches = [self.read(spark, source, ids) for ids in self.batches(spark, source, bounds, max_id)]
         if max_id is None and source.has_null_ids(spark, self.table, key):
             batches.append(source.read_null_ids(spark, self.table, key))
         if not batches:

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulefold.schemas import id_column
-from rulefold.sources.ingest import SMALL_TABLES, IdRange, TableImport, id_ranges
+from rulefold.sources.ingest import SMALL_TABLES, TableImport
+from rulefold.sources.ranges import IdRange
 from rulefold.sources.sinks import save_table
 
 WHOLE, NO_ID = "whole", "no-id"
@@ -78,8 +79,7 @@ def _parts(spark: SparkSession, source: Any, step: TableImport, ledger: Ledger,
         upto = max((int(p.rpartition("_")[2]) for p in known if p != NO_ID), default=None)
         if bounds and upto is not None:
             bounds = (upto + 1, bounds[1])
-        size = step.batch_size or (max(bounds[1] - bounds[0] + 1, 1) if bounds else 1)
-        parts = known + [_name(ids) for ids in id_ranges(bounds, size, max_id)]
+        parts = known + [_name(ids) for ids in step.batches(spark, source, bounds, max_id)]
         if NO_ID not in parts and max_id is None and source.has_null_ids(spark, step.table, key):
             parts.append(NO_ID)
     if parts != known:
@@ -109,7 +109,7 @@ def resume_import(
                 rows = source.read_null_ids(spark, step.table, key)
             else:
                 low, _, high = part.rpartition("_")
-                rows = source.read_ids(spark, step.table, key, int(low), int(high), step.connections)
+                rows = step.read(spark, source, IdRange(int(low), int(high)))
             ledger.write(step.table, part, rows)
             read[step.table] += 1
         if not ledger.planned(step.table):

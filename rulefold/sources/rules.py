@@ -18,7 +18,7 @@ GROUPING_TYPE = "AGG"
 class Rule:
     """Findings that pass ``filters`` are grouped by ``group_by``.
 
-    ``sql_filter`` is the older form of the filter, trusted SQL over
+    ``sql_filter`` is the older form of the filter, SQL text (see ``functions.sql_text``) over
     ``table.column`` names; it only applies where a run asks for it.
     """
 

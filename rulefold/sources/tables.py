@@ -6,12 +6,13 @@ a query needs it, so filters and column pruning reach the scans.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import Path
 from typing import ClassVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulefold.schemas import TABLES, schema_of
@@ -98,6 +99,23 @@ class JdbcSource:
         query = f"(SELECT * FROM {table} WHERE {id_column} BETWEEN {low} AND {high}) AS batch"
         return self.read_partitioned(spark, query, id_column, low, high, connections)
 
+    def id_counts(
+        self, spark: SparkSession, table: str, id_column: str, within: Sequence[tuple[int, int]], origin: int, width: int
+    ) -> dict[int, int]:
+        """Rows per slot of ``width`` ids, by the slot's first id, counted by the database."""
+        inside = " OR ".join(f"{id_column} BETWEEN {low} AND {high}" for low, high in within)
+        slots = f"SELECT {id_column} - MOD({id_column} - ({origin}), {width}) AS slot FROM {table} WHERE {inside}"
+        query = f"(SELECT slot, count(*) AS table_rows FROM ({slots}) AS ids GROUP BY slot) AS counted"
+        return {int(r["slot"]): int(r["table_rows"]) for r in self.read(spark, query).collect()}
+
+    def read_ranges(
+        self, spark: SparkSession, table: str, id_column: str, ranges: Sequence[tuple[int, int]]
+    ) -> DataFrame:
+        """One task per range."""
+        conditions = [f"{id_column} BETWEEN {low} AND {high}" for low, high in ranges]
+        properties = {**self.properties, **PARTITIONED_READ_OPTIONS}
+        return spark.read.jdbc(url=self.url, table=table, predicates=conditions, properties=properties)
+
     def has_null_ids(self, spark: SparkSession, table: str, id_column: str) -> bool:
         query = f"(SELECT count(*) AS missing FROM {table} WHERE {id_column} IS NULL) AS nulls"
         return self.read(spark, query).first()["missing"] > 0
@@ -130,6 +148,19 @@ class FrameSource:
     ) -> DataFrame:
         return self.tables[table].where(F.col(id_column).between(low, high))
 
+    def id_counts(
+        self, spark: SparkSession, table: str, id_column: str, within: Sequence[tuple[int, int]], origin: int, width: int
+    ) -> dict[int, int]:
+        slot = F.col(id_column) - F.pmod(F.col(id_column) - F.lit(origin), F.lit(width))
+        counts = self.read_ranges(spark, table, id_column, within).groupBy(slot.alias("slot")).count()
+        return {int(r["slot"]): r["count"] for r in counts.collect()}
+
+    def read_ranges(
+        self, spark: SparkSession, table: str, id_column: str, ranges: Sequence[tuple[int, int]]
+    ) -> DataFrame:
+        inside = [F.col(id_column).between(low, high) for low, high in ranges]
+        return self.tables[table].where(reduce(Column.__or__, inside))
+
     def has_null_ids(self, spark: SparkSession, table: str, id_column: str) -> bool:
         return not self.read_null_ids(spark, table, id_column).isEmpty()
 
