@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,9 @@ GROWING_TABLES = {
 IDS_PER_BATCH = 3_200_000
 CONNECTIONS_PER_BATCH = 32
 MEDIUM_CONNECTIONS = 4
+# A write lists all files of its table, so that one per batch would take time with the square of
+# the batches: from here on, consecutive batches share one.
+WRITES_PER_TABLE = 8
 
 
 @dataclass(frozen=True)
@@ -76,12 +81,25 @@ class TableImport:
         parts = equal_ranges(partial(source.id_counts, spark, self.table, key), ids, ranges=self.connections)
         return source.read_ranges(spark, self.table, key, [(p.low, p.high) for p in parts])
 
+    def read_batches(self, spark: SparkSession, source, batches: Sequence[IdRange]) -> DataFrame:
+        """Consecutive batches at once, in ``connections`` tasks that read one range after another:
+        ranges are as narrow, and as many are open at a time, as in a batch alone."""
+        if len(batches) == 1:
+            return self.read(spark, source, batches[0])
+        key = self.key or id_column(self.table)
+        ids, strides = IdRange(batches[0].low, batches[-1].high), self.connections * len(batches)
+        if self.rows_per_batch is None:
+            parts = id_ranges((ids.low, ids.high), max(1, ceil((ids.high - ids.low + 1) / strides)))
+        else:
+            parts = equal_ranges(partial(source.id_counts, spark, self.table, key), ids, ranges=strides)
+        return source.read_in_turn(spark, self.table, key, [(p.low, p.high) for p in parts], self.connections)
+
     def run(self, spark: SparkSession, source, prefix: str = "", max_id: int | None = None,
             file_format: str = "parquet") -> int:
         """Import the table and return the number of batches written.
 
-        The first batch replaces the table and the others append to it. A batch is
-        committed as a whole or not at all, so an import that stopped is run again
+        The first batch replaces the table and the others append to it, over ``WRITES_PER_TABLE``
+        batches several at a time. What is written at once is committed as a whole or not at all, so an import that stopped is run again
         from its start and leaves no row twice. ``max_id`` holds for large and medium
         tables; small ones are imported whole, also where they are read in ranges. Where no
         cap holds, rows without a key are a batch of their own.
@@ -99,15 +117,18 @@ class TableImport:
             save_table(whole if max_id is None else whole.where(F.col(key) <= max_id), target, **layout)
             return 1
         bounds = source.id_bounds(spark, self.table, key)
-        batches = [self.read(spark, source, ids) for ids in self.batches(spark, source, bounds, max_id)]
-        if max_id is None and source.has_null_ids(spark, self.table, key):
-            batches.append(source.read_null_ids(spark, self.table, key))
-        if not batches:
+        batches = self.batches(spark, source, bounds, max_id)
+        size = ceil(len(batches) / WRITES_PER_TABLE) or 1
+        writes = [self.read_batches(spark, source, batches[n : n + size]) for n in range(0, len(batches), size)]
+        keyless = max_id is None and source.has_null_ids(spark, self.table, key)
+        if keyless:
+            writes.append(source.read_null_ids(spark, self.table, key))
+        if not writes:
             save_table(source.read_empty(spark, self.table), target, **layout)
-        for number, batch in enumerate(batches):
+        for number, rows in enumerate(writes):
             mode = "overwrite" if number == 0 else "append"
-            save_table(batch, target, mode=mode, **layout)
-        return len(batches)
+            save_table(rows, target, mode=mode, **layout)
+        return len(batches) + int(keyless)
 
 
 def import_plan(

@@ -116,6 +116,13 @@ class JdbcSource:
         properties = {**self.properties, **PARTITIONED_READ_OPTIONS}
         return spark.read.jdbc(url=self.url, table=table, predicates=conditions, properties=properties)
 
+    def read_in_turn(
+        self, spark: SparkSession, table: str, id_column: str, ranges: Sequence[tuple[int, int]], connections: int
+    ) -> DataFrame:
+        """Consecutive ranges over ``connections`` connections at a time: a task reads several, each
+        with a statement of its own."""
+        return self.read_ranges(spark, table, id_column, ranges).coalesce(connections)
+
     def has_null_ids(self, spark: SparkSession, table: str, id_column: str) -> bool:
         query = f"(SELECT count(*) AS missing FROM {table} WHERE {id_column} IS NULL) AS nulls"
         return self.read(spark, query).first()["missing"] > 0
@@ -161,6 +168,12 @@ class FrameSource:
         inside = [F.col(id_column).between(low, high) for low, high in ranges]
         return self.tables[table].where(reduce(Column.__or__, inside))
 
+    def read_in_turn(
+        self, spark: SparkSession, table: str, id_column: str, ranges: Sequence[tuple[int, int]], connections: int
+    ) -> DataFrame:
+        """Consecutive ranges in one scan."""
+        return self.read_ids(spark, table, id_column, ranges[0][0], ranges[-1][1], connections)
+
     def has_null_ids(self, spark: SparkSession, table: str, id_column: str) -> bool:
         return not self.read_null_ids(spark, table, id_column).isEmpty()
 
