@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from rulefold.functions.identity import group_key
 from rulefold.functions.predicates import FilterCompiler, FilterError
 from rulefold.operators.exclusions import excluded_rules, is_excluded, with_excluded_rules
-from rulefold.operators.rule_index import Anchor, Demand, anchors_of, first_passing
+from rulefold.operators.rule_index import Anchor, Demand, anchors_of, candidate_words, first_passing
 from rulefold.operators.skew import COPIES, copies_of
 from rulefold.schemas import TABLES
 from rulefold.sources.rules import Rule, in_order
@@ -34,6 +34,7 @@ GROUP_KEY = "group_key"
 FANOUT_MODES = ("rows", "distinct")
 INDEX_FROM = 16
 _RULE_SET = "__rule_set"
+_FIRST = "__first_rule"
 
 Rules = Sequence[Rule] | Mapping[str, Sequence[Rule]]
 
@@ -148,18 +149,22 @@ def assign_rules(
     if isinstance(rules, Mapping):
         scope, sets = _with_rule_sets(scope, rules, tenant)
         compiled = [steps(some) for some in sets]
-        number = _first_of([(F.col(_RULE_SET) == n, _first_rule(s)) for n, s in enumerate(compiled)])
+        words = [_words_of(s, n) for n, s in enumerate(compiled)]
+        number = _first_of([(F.col(_RULE_SET) == n, _first_rule(s, w)) for n, (s, w) in enumerate(zip(compiled, words, strict=True))])
         key = _first_of([(F.col(_RULE_SET) == n, _key_of(s)) for n, s in enumerate(compiled)])
         several = any(len(s) > 1 for s in compiled)
-        indexed = any(step.demand is not None for s in compiled for step in s)
     else:
         all_steps = steps(rules)
-        number, key, several = _first_rule(all_steps), _key_of(all_steps), len(all_steps) > 1
-        indexed = any(step.demand is not None for step in all_steps)
+        words = [_words_of(all_steps)]
+        number, key, several = _first_rule(all_steps, words[0]), _key_of(all_steps), len(all_steps) > 1
 
     number = number.cast("int")
-    if indexed:  # as a generator's output it is computed once, wherever it is used
-        number = F.explode_outer(F.array(number))
+    if any(words):
+        # the rule is projected, which Spark compiles; behind a generator it is computed once,
+        # wherever it is used
+        scope = scope.withColumns({name: word for some in words for name, word in some.items()})
+        scope = scope.withColumn(_FIRST, F.array(number))
+        number = F.explode_outer(_FIRST)
     weights = [COPIES] if COPIES in df.columns and fanout == "rows" else []
     matched = (
         scope.withColumn(RULE_NUMBER, number)
@@ -225,9 +230,17 @@ def _first_of(cases: Sequence[tuple[Column, Column]]) -> Column:
     return F.lit(None) if chain is None else chain
 
 
-def _first_rule(steps: Sequence[_Step]) -> Column:
-    if any(s.demand is not None for s in steps):
-        return first_passing({s.number: s.predicate for s in steps}, {s.number: s.demand for s in steps})
+def _words_of(steps: Sequence[_Step], rule_set: int = 0) -> dict[str, Column]:
+    """The candidates among the steps, by names of columns for them; empty without an index."""
+    if all(s.demand is None for s in steps):
+        return {}
+    words = candidate_words({s.number: s.demand for s in steps})
+    return {f"__candidates_{rule_set}_{n}": word for n, word in enumerate(words)}
+
+
+def _first_rule(steps: Sequence[_Step], words: Mapping[str, Column]) -> Column:
+    if words:
+        return first_passing([F.col(name) for name in words], {s.number: s.predicate for s in steps})
     return _first_of([(s.predicate, F.lit(s.number)) for s in steps])
 
 

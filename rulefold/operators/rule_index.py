@@ -2,10 +2,11 @@
 
 The filter of most rules asks some column for one of a few values. A row without any of these
 cannot pass, whatever else the filter says. Per rule, the rarest such demand becomes its
-*anchors*, pairs of a column and a value; the anchors of all rules are held in one map per
-column, literals of the plan. A row looks up its own values, and only the rules found there,
-with those that have no anchors, are tested, in order. The rule's number picks its predicate
-by halving, so the work per row follows the rules that may pass and not the length of the list.
+*anchors*, pairs of a column and a value; the anchors of 64 rules are held in one map per
+column, literals of the plan. A row looks up its own values and has a bit for each rule found
+there or without anchors. These alone are tested, in order, up to the first that passes; halves
+of 64 bits without any are passed over. So the work per row follows the rules that may pass,
+besides a look-up per column for every 64 rules of the list.
 
 What a filter demands (``None`` where it filters nothing):
 
@@ -19,9 +20,9 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,7 @@ from rulefold.functions.predicates import (
 # How a column's values are looked up: itself, its entries, its entries in lower case.
 VALUE, ENTRY, LOWERED = "value", "entry", "lowered"
 KEYS_PER_SLOT = 4
+RULES_PER_WORD = 64
 
 
 @dataclass(frozen=True, order=True)
@@ -204,47 +206,96 @@ def _texts(column: str, lookup: str) -> Column:
     return entries if lookup == ENTRY else F.transform(entries, lambda entry: F.lower(entry))
 
 
-def candidate_rules(demands: Mapping[int, Demand | None]) -> Column:
-    """The numbers of the rules a row may pass, ascending."""
+def _numbers_by_anchor(demands: Mapping[int, Demand | None]) -> dict[tuple[str, str], dict[str, list[int]]]:
+    """By column and lookup, the rules of each text, ascending."""
     index: dict[tuple[str, str], dict[str, list[int]]] = {}
     for number, demand in sorted(demands.items()):
         for anchor in demand or ():
             index.setdefault((anchor.column, anchor.lookup), {}).setdefault(anchor.text, []).append(number)
+    return dict(sorted(index.items()))
+
+
+def _held(values: Mapping[str, Any], slots: int, kind: str) -> Column:
+    """One literal: a map is searched from its front, so its keys are dealt to small maps."""
+    table: list[dict[str, Any]] = [{} for _ in range(slots)]
+    for text, value in values.items():
+        table[zlib.crc32(text.encode()) % slots][text] = value
+    return F.from_json(F.lit(json.dumps(table)), f"array<map<string,{kind}>>")
+
+
+def candidate_rules(demands: Mapping[int, Demand | None]) -> Column:
+    """The numbers of the rules a row may pass, ascending."""
     none = F.array().cast("array<int>")
     parts = [F.array(*(F.lit(n) for n, demand in sorted(demands.items()) if demand is None)).cast("array<int>")]
-    for (column, lookup), rules_of in sorted(index.items()):
+    for (column, lookup), rules_of in _numbers_by_anchor(demands).items():
         slots = max(1, len(rules_of) // KEYS_PER_SLOT)
-        table: list[dict[str, list[int]]] = [{} for _ in range(slots)]
-        for text, numbers in rules_of.items():
-            table[zlib.crc32(text.encode()) % slots][text] = numbers
-        # one literal: a map is searched from its front, so its keys are dealt to small maps
-        held = F.from_json(F.lit(json.dumps(table)), "array<map<string,array<int>>>")
-
+        found = partial(_found, _held(rules_of, slots, "array<int>"), slots, none)
         if lookup == VALUE:
-            parts.append(_found(held, slots, F.col(f"`{column}`").cast("string")))
+            parts.append(found(F.col(f"`{column}`").cast("string")))
         else:
-            parts.append(F.coalesce(F.flatten(F.transform(_texts(column, lookup), partial(_found, held, slots))), none))
-    return F.array_sort(F.array_distinct(F.concat(*parts)))
-
-
-def _found(held: Column, slots: int, text: Column) -> Column:
+            parts.append(F.coalesce(F.flatten(F.transform(_texts(column, lookup), lambda text: found(text))), none))
+    return F.sort_array(F.array_distinct(F.concat(*parts)))
+
+
+def candidate_words(demands: Mapping[int, Demand | None]) -> list[Column]:
+    """The rules a row may pass as bits, ``RULES_PER_WORD`` rules in their order to a word.
+
+    Words are to be columns of their own: ``first_passing`` looks at them many times.
+    """
+    at = {number: place for place, number in enumerate(sorted(demands))}
+    none = F.lit(0).cast("long")
+    index = _numbers_by_anchor(demands)
+    words = []
+    for first in range(0, len(at), RULES_PER_WORD):
+        parts = [F.lit(_word(at[n] - first for n, demand in demands.items() if demand is None)).cast("long")]
+        for (column, lookup), rules_of in index.items():
+            values = {text: _word(at[n] - first for n in numbers) for text, numbers in rules_of.items()}
+            values = {text: value for text, value in values.items() if value}
+            if not values:
+                continue
+            slots = max(1, len(values) // KEYS_PER_SLOT)
+            found = partial(_found, _held(values, slots, "bigint"), slots, none)
+            if lookup == VALUE:
+                parts.append(found(F.col(f"`{column}`").cast("string")))
+            else:
+                united = partial(_united, found)
+                parts.append(F.coalesce(F.aggregate(_texts(column, lookup), none, lambda word, text: united(word, text)), none))
+        words.append(reduce(Column.bitwiseOR, parts))
+    return words
+
+
+def _united(found: Callable[[Column], Column], word: Column, text: Column) -> Column:
+    return word.bitwiseOR(found(text))
+
+
+def _word(places: Iterable[int]) -> int:
+    """Bits as a signed number; places of other words are left out."""
+    bits = sum(1 << place for place in set(places) if 0 <= place < RULES_PER_WORD)
+    return bits - (1 << RULES_PER_WORD) if bits >> (RULES_PER_WORD - 1) else bits
+
+
+def _found(held: Column, slots: int, none: Column, text: Column) -> Column:
     slot = F.get(held, (F.crc32(text.cast("binary")) % slots).cast("int"))
-    return F.coalesce(F.try_element_at(slot, text), F.array().cast("array<int>"))
+    return F.coalesce(F.try_element_at(slot, text), none)
 
 
-def first_passing(predicates: Mapping[int, Column], demands: Mapping[int, Demand | None]) -> Column:
-    """The least number whose predicate holds, tested for the candidates only."""
+def first_passing(words: Sequence[Column], predicates: Mapping[int, Column]) -> Column:
+    """The least number whose predicate holds. Only the candidates before it are tested: halves
+    of a word without any are passed over. No lambda, so that Spark compiles all of it."""
     numbers = sorted(predicates)
     if not numbers:
         return F.lit(None)
 
-    def passes(number: Column) -> Column:
-        def among(low: int, high: int) -> Column:
-            if high - low == 1:
-                return F.coalesce(predicates[numbers[low]], F.lit(False))
+    def among(word: Column, first: int, low: int, high: int) -> Column:
+        if high - low == 1:
+            passed = F.when(predicates[numbers[low]], F.lit(numbers[low]))
+        else:
             middle = (low + high) // 2
-            return F.when(number < numbers[middle], among(low, middle)).otherwise(among(middle, high))
-
-        return among(0, len(numbers))
-
-    return F.get(F.filter(candidate_rules(demands), passes), 0)
+            passed = F.coalesce(among(word, first, low, middle), among(word, first, middle, high))
+        mask = F.lit(_word(range(low - first, high - first))).cast("long")
+        return F.when(word.bitwiseAND(mask) != 0, passed)
+
+    starts = range(0, len(numbers), RULES_PER_WORD)
+    return F.coalesce(
+        *(among(w, s, s, min(s + RULES_PER_WORD, len(numbers))) for w, s in zip(words, starts, strict=True))
+    )

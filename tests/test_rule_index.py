@@ -134,3 +134,16 @@ def test_slots_agree_with_spark(spark):
     texts = ["a", "é", "日本", ""]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(F.crc32(F.col("t").cast("binary"))).collect()] == [zlib.crc32(t.encode()) for t in texts]
+
+
+def test_rules_are_tested_in_code_that_spark_compiles(spark):
+    # 200 rules take several words of bits, and the last bit of a word is the number's sign
+    rules = [Rule(n, n, ("name",), {"name": NAMES[n % 9], "level": [n % 3]}) for n in range(63)]
+    rules += [Rule(n, n, ("kind",), {"name": NAMES[n % 9], "level": 300, "kind": NAMES[n % 4]}) for n in range(63, 200)]
+    df = spark.createDataFrame(rows(3, 2_000), SCHEMA).repartition(2)
+    indexed = assign_rules(df, rules, index=True)
+    assert rows_of(indexed) == rows_of(assign_rules(df, rules, index=False))
+    assert {r.rule_number for r in indexed.collect()} > {63, 64}
+    # a lambda is interpreted row by row, and so is what a generator holds
+    plan = indexed._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "Generate explode(__first_rule" in plan
