@@ -202,7 +202,9 @@ def _with_rule_sets(
         rows.append((name, number))
     kind = df.schema[tenant].dataType.simpleString()
     table = df.sparkSession.createDataFrame(rows, f"__tenant {kind}, {_RULE_SET} int")
-    return df.join(table, F.col(tenant) == F.col("__tenant")).drop("__tenant"), sets
+    # it comes from the driver and is sent to all tasks: a shuffle by tenant would leave all rows of
+    # a tenant, and all steps that follow, to one task
+    return df.join(F.broadcast(table), F.col(tenant) == F.col("__tenant")).drop("__tenant"), sets
 
 
 def _mentions_sql(rules: Rules, use_sql_filters: bool) -> bool:

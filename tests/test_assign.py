@@ -225,3 +225,15 @@ def test_five_hundred_tenants_with_few_rule_lists(spark):
     assert plan.count("none") < 10
     got = rows_of(assigned, "tenant", "finding_id")
     assert got == sorted(((f"t{i % 500}", i) for i in range(2000) if i % 2 and i % 500 != 499), key=repr)
+
+
+def test_rows_of_one_tenant_are_dealt_to_several_tasks(spark, no_broadcast):
+    df = spark.range(400).selectExpr("id AS finding_id", "id % 2 AS tenant", "'p' AS package_name", "'a' AS cloud_account")
+    rules = {0: [Rule(1, 1, ("package_name",)), Rule(2, 2, ("cloud_account",))], 1: [Rule(3, 1, ("cloud_account",))]}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assigned = assign_rules(df, rules, tenant="tenant").withColumn("task", F.spark_partition_id())
+        assert rows_of(assigned.select("tenant", "task").distinct().groupBy("tenant").count()) == [(0, 4), (1, 4)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
