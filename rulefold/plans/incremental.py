@@ -42,10 +42,14 @@ BY_OTHER_KEY = {
     "scoring_rules": "id", "selection_rules": "id", "tickets": "id", "scope_groups": "id",
 }
 
+# Named with every version: a run compares with digests of its own form only.
+DIGESTS = "count, halves of sums, xor"
+
 
 def table_digests(df: DataFrame, key: str) -> DataFrame:
-    """``key, rows, total, mixed``: what the rows of each key are, whatever their order. Rows
-    without a key join nothing and are left out."""
+    """``key, rows, high, low, mixed``: what the rows of each key are, whatever their order. Rows
+    without a key join nothing and are left out. Halves of the hashes are summed, each exactly,
+    in 64 bits."""
     parts = []
     for name in sorted(df.columns):
         column = F.col(f"`{name}`")
@@ -56,11 +60,13 @@ def table_digests(df: DataFrame, key: str) -> DataFrame:
     row = F.xxhash64(*parts)
     return (
         df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).cast("long").alias("key"))
+        .select(F.col(key).cast("long").alias("key"), row.alias("__row"))
+        .groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.sum(row.cast("decimal(38,0)")).alias("total"),
-            F.bit_xor(row).alias("mixed"),
+            F.sum(F.shiftright("__row", 32)).alias("high"),
+            F.sum(F.col("__row").bitwiseAND(0xFFFFFFFF)).alias("low"),
+            F.bit_xor("__row").alias("mixed"),
         )
     )
 
@@ -75,8 +81,10 @@ def changed_keys(before: DataFrame, after: DataFrame) -> DataFrame:
     """The keys (with their ``table``, if they have one) whose digests differ, or that only one
     side has."""
     by = [c for c in ("table", "key") if c in before.columns]
-    a, b = (d.select(*by, F.struct("rows", "total", "mixed").alias(name)) for d, name in ((before, "_before"), (after, "_after")))
-    return a.join(b, by, "full").where(~F.col("_before").eqNullSafe(F.col("_after"))).select(*by)
+    sums = ("rows", "high", "low")  # of the later side less the earlier one, which needs no sorted join
+    sides = [d.select(*by, *((sign * F.col(c)).alias(c) for c in sums), "mixed") for d, sign in ((before, -1), (after, 1))]
+    left = sides[0].unionByName(sides[1]).groupBy(*by).agg(*(F.sum(c).alias(c) for c in sums), F.bit_xor("mixed").alias("mixed"))
+    return left.where(" OR ".join(f"{c} <> 0" for c in (*sums, "mixed"))).select(*by)
 
 
 def affected_findings(tables: Mapping[str, DataFrame], changed: Mapping[str, DataFrame]) -> DataFrame:
@@ -138,7 +146,7 @@ def run_incrementally(
     draft, last = store.begin(), store.current()
     excluder = options.get("excluder")
     plain = {k: v for k, v in options.items() if k not in ("excluder", "shares", "index")}
-    facts = {"rules": hashlib.md5(repr((in_order(rules), sorted(plain.items()), sorted(tables))).encode()).hexdigest()}
+    facts = {"digests": DIGESTS, "rules": hashlib.md5(repr((in_order(rules), sorted(plain.items()), sorted(tables))).encode()).hexdigest()}
     keys = {t: k for t, k in (BY_FINDING | BY_OTHER_KEY).items() if t in tables}
     now = dict(tables)
     if excluder is not None:

@@ -110,3 +110,12 @@ def test_a_run_that_fails_changes_nothing(spark, tables, tmp_path, monkeypatch):
     with pytest.raises(StaleRun):
         run_incrementally(spark, small, FANOUT_RULES, folder)
     assert store.current().facts == {"rules": "another run"}
+
+
+def test_digests_are_compared_without_a_sorted_join(spark, no_broadcast):
+    rows = spark.range(50).selectExpr("id % 20 AS id", "id AS a")
+    digests = table_digests(rows, "id")
+    assert {f.dataType.simpleString() for f in digests.schema} == {"bigint"}
+    changed = changed_keys(digests, table_digests(rows.where("a <> 45"), "id"))
+    assert [r.key for r in changed.collect()] == [5]
+    assert "Join" not in changed._jdf.queryExecution().executedPlan().toString()
