@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import RollingHash, batches_of, bounded_batches, by_bytes, mix64, read, stored, task_count, text_buffer
+from llm.common import RollingHash, batches_of, bounded_batches, by_bytes, mix64, read, stored, task_count, text_buffer, told_apart
 from llm.components import connected_components
 
 WORDS = 5
@@ -475,8 +475,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id. Rows
     without n-grams all stay. Ids name documents: rows with one id go or stay together."""
     found = stored(near_duplicates(docs.select("doc_id", "text")), "components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    doubtful, stay = told_apart(docs, gone, "doc_id")
+    gone = gone.select(F.col("doc_id").alias("_gone"))
+    return stay.unionAll(doubtful.join(gone, doubtful["doc_id"] == gone["_gone"], "left_anti"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import llm.ngram_join as join
+from llm import common
 from llm.ngram_join import joined_links, keep_one, near_duplicates, prefix_length
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -122,3 +123,29 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     rows = [(i, " ".join(f"x{j}" if j != 7 + i % 40 else f"y{i}" for j in range(120))) for i in range(600)]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got.select("component_id").distinct().collect() == [(0,)]
+
+
+def test_documents_that_stay_are_not_shuffled(spark):
+    rows = [(i, " ".join(f"w{i // 2 if i < 20 else i}x{j}" for j in range(30)), "may", "at") for i in range(200)]
+    df = spark.createDataFrame([*rows, (None, None, None, None)], "doc_id int, text string, _may string, _at string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with too many ids that go
+    try:
+        kept = keep_one(df)
+        assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == [*range(0, 20, 2), *range(20, 200)]
+        assert kept.count() == 191 and kept.schema == df.schema
+        branches = kept._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti")
+        assert len(branches) == 2 and "Union" in branches[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_told_apart_loses_no_row(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "FILTER_BITS", most)
+    df = spark.range(50_000).selectExpr("CAST(IF(id % 10 = 0, NULL, id) AS INT) AS doc_id", "'k' AS _key")
+    keys = spark.range(0, 50_000, 7).selectExpr("id AS doc_id")
+    may, others = common.told_apart(df, keys, "doc_id")
+    assert may.count() + others.count() == 50_000 and may.columns == others.columns == ["doc_id", "_key"]
+    assert others.where("doc_id % 7 = 0").count() == 0 and others.where("doc_id IS NULL").count() == 5_000
+    assert may.count() < 10_000 or most == 1 << 15
