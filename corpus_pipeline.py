@@ -12,6 +12,10 @@ from llm.sentencepiece_codec import token_digests
 from llm.suffix_dedup import remove_repeats
 
 
+#: Over 50 words: how they are spaced and how many bytes they have does not matter.
+PASSAGE_WORDS = 51
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is identified."""
     return keep_identified(docs)
@@ -23,8 +27,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts byte strings of 400 and more that occur elsewhere out of the texts."""
-    return remove_repeats(docs)
+    """Cuts byte strings of 400 and more, and passages of over 50 words, that occur elsewhere
+    out of the texts."""
+    return remove_repeats(docs, passage=PASSAGE_WORDS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
+import corpus_pipeline
 import llm.suffix_dedup as dedup
 from llm.suffix_dedup import equal_ranks, merged_spans, removal_report, remove_repeats, sliding_min
 
@@ -105,3 +107,52 @@ def test_a_cut_never_splits_a_character(spark):
     df = spark.createDataFrame([(1, "ab" + shared + "c"), (2, "q" + shared + "日")], "doc_id long, text string")
     for r in remove_repeats(df, window=41, gram=12).collect():
         assert "�" not in r.text
+
+
+def by_all_passages(rows, words):
+    texts = {i: [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for i, (_, t) in enumerate(rows)}
+    raw = [(t or "").encode() for _, t in rows]
+
+    def passages(i):
+        names = [raw[i][a:b] for a, b in texts[i]]
+        return [tuple(names[j : j + words]) for j in range(len(names) - words + 1)]
+
+    seen = Counter(x for i in texts for x in passages(i))
+    out = []
+    for i, (d, t) in enumerate(rows):
+        gone = bytearray(len(raw[i]))
+        for j, x in enumerate(passages(i)):
+            if seen[x] > 1:
+                a, b = texts[i][j][0], texts[i][j + words - 1][1]
+                gone[a:b] = b"\1" * (b - a)
+        out.append((d, t if t is None else bytes(x for x, g in zip(raw[i], gone, strict=True) if not g).decode()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, dictionary", [(3, 16 << 20), (4, 200)])
+def test_short_passages_of_many_words_go(spark, monkeypatch, seed, dictionary):
+    monkeypatch.setattr(dedup, "DICTIONARY_BYTES", dictionary)
+    monkeypatch.setattr(dedup, "SORTED_BYTES", 500)
+    r = random.Random(seed)
+
+    def prose(n):
+        return "".join(r.choice(["a", "bé", "c", "the", "日", "dd"]) + r.choice([" ", "\n", "  "]) for _ in range(n))
+
+    passage = prose(40)
+    texts = [prose(r.randrange(60)) for _ in range(25)]
+    texts += [prose(r.randrange(20)) + " ".join(passage.split()[: r.randrange(9, 40)]) + " " + prose(9) for _ in range(12)]
+    texts += [prose(4) + passage + prose(3), "x " * 60, "y " * 11, "z " * 10, "", None, " \n", prose(10)]
+    texts += texts[:2]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = remove_repeats(df, window=100_000, passage=10).collect()
+    assert sorted(tuple(x) for x in got) == by_all_passages(rows, 10)
+
+
+def test_the_pipeline_cuts_passages_below_400_bytes(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"one before {passage} one behind"), (2, f"two {passage.replace(' ', chr(10))}"), (3, "w0 w1 w2 alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(passage) < 400
+    got = dict(corpus_pipeline.repeats_stage(spark, df, "").collect())
+    assert got == {1: "one before  one behind", 2: "two ", 3: "w0 w1 w2 alone"}
