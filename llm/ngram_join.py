@@ -445,6 +445,7 @@ def set_components(docs: DataFrame) -> DataFrame:
     rows = families.join(sets.select("set", "n", "ngrams"), "set").join(labels, "set", "left")
     rows = rows.withColumn("label", F.coalesce("label", "set"))
     rest = _searched(rows, families.join(sets.select("set", "size"), "set").select("key", "size"), True)
+    rest = stored(rest, "rest-links")  # else a task runs the search and the contraction at once, in two workers
     # what the first walk joined counts as one: the rest links few labels
     roots = rest.select("a", "b")
     for end in ("a", "b"):

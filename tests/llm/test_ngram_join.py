@@ -149,3 +149,18 @@ def test_told_apart_loses_no_row(spark, monkeypatch, most):
     assert may.count() + others.count() == 50_000 and may.columns == others.columns == ["doc_id", "_key"]
     assert others.where("doc_id % 7 = 0").count() == 0 and others.where("doc_id IS NULL").count() == 5_000
     assert may.count() < 10_000 or most == 1 << 15
+
+
+def test_no_task_searches_and_joins_links_at_once(spark, monkeypatch, capsys):
+    """Each such task would hold two Python workers, and an executor keeps all it ever had."""
+    plans, whole = [], join.connected_components
+
+    def noted(edges):
+        edges.explain()
+        plans.append(capsys.readouterr().out)
+        return whole(edges)
+
+    monkeypatch.setattr(join, "connected_components", noted)
+    near_duplicates(spark.createDataFrame(corpus(1), "doc_id long, text string")).collect()
+    assert len(plans) == 3
+    assert all("Scan parquet" in plan and "MapInArrow" not in plan for plan in plans)
