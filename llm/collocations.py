@@ -9,13 +9,14 @@ Counting follows the levels of phrase lengths, and everything is per language.
    pairs with a rare word: neither is a candidate. The same again for triples whose two pairs
    may be frequent. What passes from level to level is a Bloom filter of at most
    ``FILTER_BITS`` bits: where it errs, there are more candidates, never fewer.
-3. *Candidates.* One more pass names the phrases that may be frequent: these are Apriori-safe.
-   They are dealt by their first two words to shards of about ``SHARD_PHRASES``, each of which
-   becomes a double-array trie, built by a task.
-4. *Counting.* A trie is broadcast, its size bounded by its shard's; all text positions of a
-   slice advance through it at once, level by level, and the accepting states are counted with
-   ``bincount``. Spark adds the counts of all tasks: these are exact, whatever the bounds said.
-   As many passes as there are groups of ``TRIES_AT_ONCE`` shards count all candidates.
+3. *Candidates.* One more pass names the phrases that may be frequent, with what follows each
+   pair: these are Apriori-safe. A task's equal ones are one with their number. They are dealt
+   by their first two words to ranges of hashes, and the phrases of a range become double-array
+   tries of at most ``SHARD_PHRASES`` (those of one pair stay together).
+4. *Counting.* All positions of a range advance through its tries at once, level by level, and
+   the accepting states are counted with ``bincount``, each as often as its position stands for:
+   these counts are exact, whatever the bounds said. A position meets one trie, and the texts
+   are not read again, however many candidates there are.
 
 Scores are exact decimals. Null texts have no words; null languages are ``und``. Texts are read
 whole, in slices of texts. Repeated rows count as often as they occur. An empty table gives an
@@ -46,8 +47,6 @@ RANGES_PER_TASK = 4
 FILTER_BITS, BITS_PER_KEY, PROBES = 1 << 27, 24, 4
 FILTER_BLOCK = 1 << 13  # words
 SHARD_PHRASES = 1 << 18
-TRIES_AT_ONCE = 8
-COUNT_BLOCK = 1 << 12
 _K = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -103,40 +102,97 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str
         yield words_of(hashes, *text_buffer(batch.column("text")), _salts(langs)), langs
 
 
+def _spelled(raw: np.ndarray, opens: np.ndarray, closes: np.ndarray) -> pa.Array:
+    """The bytes of ``raw`` from each of ``opens`` to its one of ``closes``."""
+    ends = np.cumsum(closes - opens)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(closes - ends, closes - opens)
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(opens), [None, pa.py_buffer(offsets), pa.py_buffer(raw[at])])
+
+
+def _planes(n: np.ndarray) -> bytes:
+    """Whole numbers: all first bytes, then all second ones, since the last are mostly zeros."""
+    return n.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _of_planes(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def _merged(parts: list[tuple]) -> tuple:
+    """Parts of keys, numbers and further arrays as one, with equal keys once: their numbers
+    are added, the others are those of one of them."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, first, of = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+    n = np.zeros(len(keys), np.int64)
+    np.add.at(n, of, np.concatenate([p[1] for p in parts]))
+    rest = []
+    for column in list(zip(*parts, strict=True))[2:]:
+        rest.append(pa.concat_arrays(column).take(pa.array(first)) if isinstance(column[0], pa.Array) else np.concatenate(column)[first])
+    return keys, n, *rest
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``symbol, lang, word, n`` of all words of ``docs`` (text, lang)."""
-
-    def emit(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        symbols, first, of = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
-        n = np.bincount(of, np.concatenate([p[1] for p in parts])).astype(np.int64)
-        names = [name for p in parts for name in p[2]]
-        langs = [lang for p in parts for lang in p[3]]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(symbols.view(np.int64)),
-                pa.array([langs[i] for i in first.tolist()], pa.string()),
-                pa.array([names[i] for i in first.tolist()], pa.binary()).cast(pa.string()),
-                pa.array(n),
-            ],
-            names=["symbol", "lang", "word", "n"],
-        )
+    """``symbol, lang, word, n`` of all words of ``docs`` (text, lang). Tasks pack theirs by
+    language and ranges of symbols, as they do for ``likely``, and each range adds them up."""
+    buckets = RANGES_PER_TASK * task_count(docs.sparkSession)
+
+    def emit(symbols: np.ndarray, n: np.ndarray, code: np.ndarray, words: pa.Array, langs: list[str]) -> Iterator[pa.RecordBatch]:
+        bucket = (symbols >> np.uint64(32)).astype(np.int64) * buckets >> 32
+        order = np.lexsort((code, bucket))
+        bucket, symbols, n, code, words = bucket[order], symbols[order], n[order], code[order], words.take(pa.array(order))
+        ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1).astype(np.int64)
+        raw = memoryview(words.buffers()[2])
+        opens = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (code[1:] != code[:-1])))
+        rows = []
+        for a, b in zip(opens.tolist(), [*opens[1:].tolist(), len(bucket)], strict=True):
+            packed = (symbols[a:b].tobytes(), _planes(n[a:b]), _planes(np.diff(ends[a : b + 1])), bytes(raw[ends[a] : ends[b]]))
+            rows.append((int(bucket[a]), langs[code[a]], *packed))
+        kinds = (pa.int32(), pa.string(), *[pa.binary()] * 4)
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "lang", "symbols", "n", "sizes", "words"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        codes: dict[str, int] = {}
+        held, size = [], 0
         for words, langs in _slices(batches):
             symbols, at, n = np.unique(words.symbols, return_index=True, return_counts=True)
-            view = memoryview(words.raw)
-            names = [bytes(view[a:b]) for a, b in zip(words.opens[at].tolist(), words.closes[at].tolist(), strict=True)]
-            parts.append((symbols, n, names, [langs[i] for i in words.owner[at].tolist()]))
-            held += len(symbols)
-            if held >= BLOCK // 4:
-                yield from emit(parts)
-                parts, held = [], 0
-        if held:
-            yield from emit(parts)
+            code = np.array([codes.setdefault(x, len(codes)) for x in langs], np.int64)[words.owner[at]]
+            held.append((symbols, n, code, _spelled(words.raw, words.opens[at], words.closes[at])))
+            size += len(symbols)
+            if size >= BLOCK // 2:
+                held = [_merged(held)]
+                size = len(held[0][0])
+            if size >= BLOCK // 4 and len(held) == 1:
+                yield from emit(*held[0], list(codes))
+                held, size = [], 0
+        if size:
+            yield from emit(*_merged(held), list(codes))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def total(lang: str, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            symbols, n, words = _merged(parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(symbols.view(np.int64)), pa.array([lang] * len(symbols), pa.string()), words.cast(pa.string()), pa.array(n)],
+                names=["symbol", "lang", "word", "n"],
+            )
+
+        key, parts = None, []
+        for batch in batches:
+            for at, lang, symbols, n, sizes, words in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if (at, lang) != key and parts:
+                    yield from total(key[1], parts)
+                    parts = []
+                key, closes = (at, lang), np.cumsum(_of_planes(sizes))
+                spelled = _spelled(np.frombuffer(words, np.uint8), closes - _of_planes(sizes), closes)
+                parts.append((np.frombuffer(symbols, np.uint64), _of_planes(n), spelled))
+        if parts:
+            yield from total(key[1], parts)
 
-    found = docs.mapInArrow(count, "symbol long, lang string, word string, n long")
-    return found.groupBy("symbol", "lang", "word").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(count, "bucket int, lang string, symbols binary, n binary, sizes binary, words binary")
+    found = found.repartition("bucket").sortWithinPartitions("bucket", "lang")
+    return found.mapInArrow(add, "symbol long, lang string, word string, n long")
 
 
 class Bloom:
@@ -299,79 +355,6 @@ def likely(docs: DataFrame, frequent: Bloom, pairs: Bloom | None = None) -> Data
     return stored(found.mapInArrow(add, "value long"), "likely-phrases")
 
 
-def _different(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Hashes, phrases and sizes with equal hashes once."""
-    hashes, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
-    return hashes, np.concatenate([p[1] for p in parts])[first], np.concatenate([p[2] for p in parts])[first]
-
-
-def named(docs: DataFrame, frequent: Bloom, pairs: Bloom, triples: Bloom) -> DataFrame:
-    """``s1, s2, s3`` of the phrases that may be frequent; ``s3`` is null for pairs. Tasks pack
-    theirs by ranges of hashes, as they do for ``likely``, and each range drops repetitions."""
-    known = docs.sparkSession.sparkContext.broadcast((frequent.words, pairs.words, triples.words))
-    buckets = RANGES_PER_TASK * task_count(docs.sparkSession)
-
-    def emit(hashes: np.ndarray, phrases: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
-        order = np.lexsort((sizes, bucket))
-        bucket, phrases, sizes = bucket[order], phrases[order], sizes[order]
-        opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        rows = []
-        for a, b in zip(opens.tolist(), [*opens[1:].tolist(), len(bucket)], strict=True):
-            two = a + int(np.searchsorted(sizes[a:b], 3))
-            rows.append((int(bucket[a]), phrases[a:two, :2].tobytes(), phrases[two:b].tobytes()))
-        names, twos, threes = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int32()), pa.array(twos, pa.binary()), pa.array(threes, pa.binary())], names=["bucket", "twos", "threes"]
-        )
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, three = (Bloom(w) for w in known.value)
-        held, size = [], 0
-        for words, _ in _slices(batches):
-            of_pairs, of_triples, level = _may_be(words, one, two)
-            at2, at3 = np.flatnonzero(level >= 2), np.flatnonzero(level >= 3)
-            at3 = at3[three.holds(_hashed(of_triples[at3]))]
-            hashes, first = np.unique(np.concatenate([of_pairs[at2], of_triples[at3]]), return_index=True)
-            at, sizes = np.concatenate([at2, at3])[first], np.where(first >= len(at2), 3, 2).astype(np.int8)
-            s = np.append(words.symbols, np.zeros(2, np.uint64))
-            held.append((hashes, np.stack([s[at], s[at + 1], s[at + 2]], axis=1), sizes))
-            size += len(hashes)
-            if size >= BLOCK:
-                held = [_different(held)]
-                size = len(held[0][0])
-            if size >= BLOCK // 2 and len(held) == 1:
-                yield from emit(*held[0])
-                held, size = [], 0
-        if size:
-            yield from emit(*_different(held))
-
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def different(rows: list[bytes], size: int) -> Iterator[pa.RecordBatch]:
-            s = np.frombuffer(b"".join(rows), np.int64).reshape(-1, size)
-            if len(s):
-                order = np.lexsort(s.T)
-                s = s[order]
-                s = s[np.append(True, (s[1:] != s[:-1]).any(axis=1))]
-                third = pa.array(s[:, 2].copy()) if size == 3 else pa.nulls(len(s), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), third], names=["s1", "s2", "s3"])
-
-        bucket, twos, threes = None, [], []
-        for batch in batches:
-            for at, two, three in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if at != bucket:
-                    yield from different(twos, 2)
-                    yield from different(threes, 3)
-                    bucket, twos, threes = at, [], []
-                twos.append(two)
-                threes.append(three)
-        yield from different(twos, 2)
-        yield from different(threes, 3)
-
-    found = docs.mapInArrow(name, "bucket int, twos binary, threes binary").repartition("bucket").sortWithinPartitions("bucket")
-    return found.mapInArrow(once, "s1 long, s2 long, s3 long")
-
-
 def double_array(phrases: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(alphabet, base, check, accept)`` of phrases of 2 or 3 symbols, one a row.
 
@@ -449,148 +432,133 @@ def _digit_bits(alphabet: np.ndarray) -> int:
 
 def accepted(trie: tuple[np.ndarray, ...], words: Words) -> np.ndarray:
     """The accepting states' phrase numbers at all positions, all lengths together."""
+    return _walked(trie, words.symbols, words.follows, np.arange(len(words.symbols)))[1]
+
+
+def _walked(trie: tuple[np.ndarray, ...], symbols: np.ndarray, follows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the positions ``starts``, and the accepting states' phrase numbers there."""
     alphabet, base, check, accept = trie
     bits = _digit_bits(alphabet)
-    label = np.minimum(np.searchsorted(alphabet, words.symbols), len(alphabet) - 1)
-    known = alphabet[label] == words.symbols
-    at = np.flatnonzero(known)
-    state, out = np.zeros(len(at), np.int64), []
+    label = np.minimum(np.searchsorted(alphabet, symbols), len(alphabet) - 1)
+    known = alphabet[label] == symbols
+    of = np.flatnonzero(known[starts])
+    at = starts[of]
+    state, places, out = np.zeros(len(at), np.int64), [], []
     for size in (1, 2, 3):
         for shift in (bits, 0):
             reached = base[state] + (label[at + size - 1] >> shift & ((1 << bits) - 1))
             good = reached < len(check)
             good[good] = check[reached[good]] == state[good]
-            at, state = at[good], reached[good]
-        out.append(accept[state[accept[state] >= 0]])
-        further = words.follows[at + size - 1]
-        at, state = at[further], state[further]
-        further = known[at + size]
-        at, state = at[further], state[further]
-    return np.concatenate(out)
-
-
-_TRIE = ["alphabet", "base", "check", "accept"]
-
-
-def tries(candidates: DataFrame) -> DataFrame:
-    """``shard, phrases, alphabet, base, check, accept``: the tries of ``candidates`` (s1, s2,
-    s3), with the phrases in the order of their numbers."""
-    shards = -(-max(candidates.count(), 1) // SHARD_PHRASES)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(shard: int, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(parts)
-            sizes = np.where(rows["s3"].is_valid().to_numpy(), 3, 2).astype(np.int8)
-            columns = [rows[c].fill_null(0).to_numpy().view(np.uint64) for c in ("s1", "s2", "s3")]
-            phrases = np.stack(columns, axis=1)
-            blobs = [sizes.tobytes() + phrases.tobytes(), *(x.tobytes() for x in double_array(phrases, sizes))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], names=["shard", "phrases", *_TRIE]
-            )
-
-        shard, parts = None, []
-        for batch in batches:
-            names = batch.column("shard").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(names)) + 1).tolist(), len(names)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if b > a:
-                    if names[a] != shard and parts:
-                        yield from done(shard, parts)
-                        parts = []
-                    shard = int(names[a])
-                    parts.append(batch.slice(a, b - a))
-        if parts:
-            yield from done(shard, parts)
-
-    dealt = candidates.withColumn("shard", F.pmod(F.xxhash64("s1", "s2"), F.lit(shards)).cast("int"))
-    dealt = dealt.repartition("shard").sortWithinPartitions("shard")
-    return stored(dealt.mapInArrow(build, "shard int, phrases binary, alphabet binary, base binary, check binary, accept binary"), "tries")
-
-
-def _read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            n = len(blob) // 25
-            sizes = np.frombuffer(blob, np.int8, n)
-            s = np.frombuffer(blob, np.int64, 3 * n, n).reshape(n, 3)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, shard, np.int32)),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(s[:, 0].copy()),
-                    pa.array(s[:, 1].copy()),
-                    pa.array(s[:, 2].copy(), mask=sizes == 2),
-                ],
-                names=["shard", "number", "s1", "s2", "s3"],
-            )
+            of, at, state = of[good], at[good], reached[good]
+        ends = accept[state] >= 0
+        places.append(of[ends])
+        out.append(accept[state[ends]])
+        for further in (follows[at + size - 1], None):
+            further = known[at + size] if further is None else further
+            of, at, state = of[further], at[further], state[further]
+    return np.concatenate(places), np.concatenate(out)
+
+
+def _packed_positions(n: np.ndarray, phrases: np.ndarray, sizes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Positions by ranges of their pairs' hashes: each pair once, then what follows it."""
+    hashes = mix64(phrases[:, 0] * _K + phrases[:, 1])
+    order = np.argsort(hashes, kind="stable")
+    hashes, n, phrases, sizes = hashes[order], n[order], phrases[order], sizes[order]
+    bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
+    first = np.append(True, (phrases[1:, :2] != phrases[:-1, :2]).any(axis=1))
+    opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    rows = []
+    for a, b in zip(opens.tolist(), [*opens[1:].tolist(), len(bucket)], strict=True):
+        pairs, thirds = phrases[a:b][first[a:b], :2], phrases[a:b][sizes[a:b] == 3, 2]
+        rows.append((int(bucket[a]), pairs.tobytes(), thirds.tobytes(), (sizes[a:b] + first[a:b] * np.int8(4)).tobytes(), _planes(n[a:b])))
+    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)]
+    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "pairs", "thirds", "kinds", "n"])
+
+
+def _unpacked_positions(pairs: bytes, thirds: bytes, kinds: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    kind = np.frombuffer(kinds, np.int8)
+    phrases, sizes = np.zeros((len(kind), 3), np.uint64), kind & 3
+    phrases[:, :2] = np.frombuffer(pairs, np.uint64).reshape(-1, 2)[np.cumsum(kind >= 4) - 1]
+    phrases[sizes == 3, 2] = np.frombuffer(thirds, np.uint64)
+    return phrases, sizes, _of_planes(n)
+
+
+def _counted(phrases: np.ndarray, sizes: np.ndarray, n: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Phrases, their sizes and how often positions accept them, by tries of about ``most``
+    phrases. Positions are rows of a pair and, where ``sizes`` is 3, what follows it; each stands
+    for ``n``. All rows of a pair meet one trie."""
+    order = np.lexsort((phrases[:, 2], sizes, phrases[:, 1], phrases[:, 0]))
+    phrases, sizes, n = phrases[order], sizes[order], n[order]
+    pair = np.append(True, (phrases[1:, :2] != phrases[:-1, :2]).any(axis=1))
+    opens = np.flatnonzero(pair | np.append(True, (phrases[1:, 2] != phrases[:-1, 2]) | (sizes[1:] != sizes[:-1])))
+    phrases, sizes, n, pair = phrases[opens], sizes[opens], np.add.reduceat(n, opens), pair[opens]
+    trie = np.cumsum(pair + (sizes == 3)) // max(most, 1)
+    trie = trie[np.flatnonzero(pair)][np.cumsum(pair) - 1]
+    cuts = [*np.flatnonzero(np.append(True, trie[1:] != trie[:-1])).tolist(), len(trie)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own, three = phrases[a:b], sizes[a:b] == 3
+        twos = own[pair[a:b]]
+        twos[:, 2] = 0
+        named, lengths = np.concatenate([twos, own[three]]), np.repeat(np.array([2, 3], np.int8), [len(twos), int(three.sum())])
+        follows = np.stack([np.ones(b - a, bool), three, np.zeros(b - a, bool)], axis=1).ravel()
+        at, number = _walked(double_array(named, lengths), own.ravel(), follows, np.arange(0, 3 * (b - a), 3))
+        counts = np.zeros(len(named), np.int64)
+        np.add.at(counts, number, n[a:b][at])
+        yield named, lengths, counts
+
+
+def phrase_counts(docs: DataFrame, frequent: Bloom, pairs: Bloom, triples: Bloom) -> DataFrame:
+    """``s1, s2, s3, a``: how often each phrase occurs that may be frequent and does so ``LEAST``
+    times; ``s3`` is null for pairs. Tasks pack their positions by ranges of hashes, as they do
+    for ``likely``, and each range builds its tries and counts with them."""
+    known = docs.sparkSession.sparkContext.broadcast((frequent.words, pairs.words, triples.words))
+    buckets, least, most = RANGES_PER_TASK * task_count(docs.sparkSession), LEAST, SHARD_PHRASES
 
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, two, three = (Bloom(w) for w in known.value)
+        held, size = [], 0
+        for words, _ in _slices(batches):
+            of_pairs, of_triples, level = _may_be(words, one, two)
+            at = np.flatnonzero(level >= 2)
+            sizes = np.full(len(at), 2, np.int8)
+            longer = np.flatnonzero(level[at] >= 3)
+            sizes[longer[three.holds(_hashed(of_triples[at[longer]]))]] = 3
+            keys, first, n = np.unique(np.where(sizes == 3, of_triples[at], of_pairs[at]), return_index=True, return_counts=True)
+            at, sizes = at[first], sizes[first]
+            s = np.append(words.symbols, np.zeros(2, np.uint64))
+            held.append((keys, n, np.stack([s[at], s[at + 1], np.where(sizes == 3, s[at + 2], np.uint64(0))], axis=1), sizes))
+            size += len(keys)
+            if size >= BLOCK:
+                held = [_merged(held)]
+                size = len(held[0][0])
+            if size >= BLOCK // 2 and len(held) == 1:
+                yield from _packed_positions(*held[0][1:], buckets)
+                held, size = [], 0
+        if size:
+            yield from _packed_positions(*_merged(held)[1:], buckets)
 
-def _counted(shard: int, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One task's counts, packed by blocks of phrases: all first bytes, then all second ones."""
-    for at in range(0, len(n), COUNT_BLOCK):
-        part = n[at : at + COUNT_BLOCK]
-        if part.any():
-            planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 8).T).tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([at // COUNT_BLOCK], pa.int32()), pa.array([planes], pa.binary())],
-                names=["shard", "block", "counts"],
-            )
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def total(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            for phrases, sizes, a in _counted(*(np.concatenate(x) for x in zip(*parts, strict=True)), most):
+                often = a >= least
+                s, two = phrases[often].view(np.int64), sizes[often] == 2
+                columns = [pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), pa.array(s[:, 2].copy(), mask=two), pa.array(a[often])]
+                yield pa.RecordBatch.from_arrays(columns, names=["s1", "s2", "s3", "a"])
 
+        bucket, parts = None, []
+        for batch in batches:
+            for at, *packed in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if at != bucket and parts:
+                    yield from total(parts)
+                    parts = []
+                bucket = at
+                parts.append(_unpacked_positions(*packed))
+        if parts:
+            yield from total(parts)
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of all tasks' counts, block by block; rows come sorted by block."""
-
-    def done(key: tuple[int, int], total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        seen = np.flatnonzero(total)
-        number = (seen + key[1] * COUNT_BLOCK).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(seen), key[0], np.int32)), pa.array(number), pa.array(total[seen])], names=["shard", "number", "a"]
-        )
-
-    key, total = None, np.zeros(COUNT_BLOCK, np.int64)
-    for batch in batches:
-        for shard, block, planes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if (shard, block) != key:
-                if key is not None:
-                    yield from done(key, total)
-                key, total = (shard, block), np.zeros(COUNT_BLOCK, np.int64)
-            part = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
-            total[: len(part)] += part
-    if key is not None:
-        yield from done(key, total)
-
-
-def phrase_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``s1, s2, s3, a``: how often each candidate occurs in ``docs``, if it does."""
-    spark = docs.sparkSession
-    built = tries(candidates)
-    phrases = built.select("shard", "phrases").mapInArrow(_read_phrases, "shard int, number int, s1 long, s2 long, s3 long")
-    shards = sorted(r.shard for r in built.select("shard").collect())
-    totals = None
-    for at in range(0, len(shards), TRIES_AT_ONCE):
-        rows = built.where(F.col("shard").isin(shards[at : at + TRIES_AT_ONCE])).select("shard", *_TRIE).collect()
-        known = spark.sparkContext.broadcast([(r.shard, *(bytes(r[c]) for c in _TRIE)) for r in rows])
-
-        def count(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-            own = []
-            for shard, alphabet, *rest in known.value:
-                own.append((shard, (np.frombuffer(alphabet, np.uint64), *(np.frombuffer(x, np.int32) for x in rest))))
-            sums = [np.zeros(0, np.int64) for _ in own]
-            for words, _ in _slices(batches):
-                for i, (_, trie) in enumerate(own):
-                    n = np.bincount(accepted(trie, words), minlength=len(sums[i]))
-                    n[: len(sums[i])] += sums[i]
-                    sums[i] = n
-            for (shard, _), n in zip(own, sums, strict=True):
-                yield from _counted(shard, n)
-
-        found = docs.mapInArrow(count, "shard int, block int, counts binary").repartition("shard", "block")
-        found = found.sortWithinPartitions("shard", "block").mapInArrow(_added, "shard int, number int, a long")
-        found = stored(found, "phrase-counts")
-        totals = found if totals is None else totals.unionByName(found)
-    if totals is None:
-        return phrases.select("s1", "s2", "s3", F.lit(0).cast("long").alias("a"))
-    return totals.join(phrases, ["shard", "number"]).select("s1", "s2", "s3", "a")
+    found = docs.mapInArrow(name, "bucket int, pairs binary, thirds binary, kinds binary, n binary")
+    found = found.repartition("bucket").sortWithinPartitions("bucket")
+    return found.mapInArrow(walk, "s1 long, s2 long, s3 long, a long")
 
 
 def _floor_ratio(a: str, left: str, right: str) -> Column:
@@ -611,14 +579,15 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     frequent = bloom(words.select("symbol"))
     pairs = bloom(likely(docs, frequent))
     triples = bloom(likely(docs, frequent, pairs))
-    candidates = named(docs, frequent, pairs, triples)
-    for i in (1, 2, 3):
-        own = words.select(F.col("symbol").alias(f"s{i}"), *([F.col("lang")] if i == 1 else []), F.col("word").alias(f"w{i}"), F.col("n").alias(f"n{i}"))
-        candidates = candidates.join(own, f"s{i}", "left" if i == 3 else "inner")
-    candidates = stored(candidates.where("s3 IS NULL OR w3 IS NOT NULL"), "candidate-phrases")
-    counts = phrase_counts(docs, candidates.select("s1", "s2", "s3")).where(F.col("a") >= LEAST)
-    counts = stored(counts, "frequent-phrases")
+    counts = stored(phrase_counts(docs, frequent, pairs, triples), "frequent-phrases")
     two, three = counts.where("s3 IS NULL").drop("s3"), counts.where("s3 IS NOT NULL")
+
+    def spelled(phrases: DataFrame, size: int) -> DataFrame:
+        for i in range(1, size + 1):
+            own = words.select(F.col("symbol").alias(f"s{i}"), *([F.col("lang")] if i == 1 else []), F.col("word").alias(f"w{i}"), F.col("n").alias(f"n{i}"))
+            phrases = phrases.join(own, f"s{i}")
+        return phrases
+
     left = two.withColumnRenamed("a", "l2")
     right = two.select(F.col("s1").alias("s2"), F.col("s2").alias("s3"), F.col("a").alias("r1"))
     three = stored(three.join(left, ["s1", "s2"]).join(right, ["s2", "s3"]), "frequent-triples")
@@ -627,10 +596,9 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     two = two.join(inside, ["s1", "s2"], "left").where(
         F.col("_longer").isNull() | (100 * F.col("_longer") < INSIDE * F.col("a"))
     )
-    of_two = candidates.where("s3 IS NULL").select("s1", "s2", "lang", "w1", "w2", F.col("n1").alias("l"), F.col("n2").alias("r"))
-    of_two = two.drop("_longer").join(of_two, ["s1", "s2"]).withColumn("score", _floor_ratio("a", "l", "r"))
-    of_two = of_two.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", "l", "r", "score")
-    of_three = three.join(candidates.where("s3 IS NOT NULL"), ["s1", "s2", "s3"])
+    of_two = spelled(two.drop("_longer"), 2).withColumn("score", _floor_ratio("a", "n1", "n2"))
+    of_two = of_two.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", F.col("n1").alias("l"), F.col("n2").alias("r"), "score")
+    of_three = spelled(three, 3)
     of_three = of_three.withColumns({"_1": _floor_ratio("a", "n1", "r1"), "_2": _floor_ratio("a", "l2", "n3")})
     early = F.col("_1") <= F.col("_2")
     of_three = of_three.select(

@@ -71,6 +71,22 @@ def test_equals_a_plain_count(spark, monkeypatch, shard, bits, block):
     assert sorted(tuple(r) for r in got.collect()) == plainly(rows, 30)
 
 
+def test_texts_are_read_as_often_however_many_candidates_there_are(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(4, 120), SCHEMA).coalesce(2)
+    found = []
+    for shard in (1 << 20, 2):  # all candidates at once, or tries of two phrases
+        monkeypatch.setattr(co, "SHARD_PHRASES", shard)
+        reads = spark.sparkContext.accumulator(0)
+
+        def read(batches, reads=reads):
+            reads.add(1)
+            yield from batches
+
+        rows = collocations(docs.mapInArrow(read, SCHEMA), top=30).collect()
+        found.append((reads.value, sorted(tuple(r) for r in rows)))
+    assert found[0] == found[1] and len(found[0][1]) > 20
+
+
 def test_query_and_sql(spark, tmp_path):
     rows = corpus(2)
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
