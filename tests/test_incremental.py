@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import finding_tables
 from checks.registry import FANOUT_RULES, before_changes
 from rulefold import aggregate_findings
+from rulefold.plans import incremental
 from rulefold.plans.incremental import affected_findings, changed_keys, run_incrementally, signed_counts, table_digests
 from rulefold.sources.versions import StaleRun, VersionedTables
 from tests.helpers import rows_of
@@ -33,6 +34,41 @@ def test_digests_tell_keys_whose_rows_differ(spark):
     assert changed_keys(digests(before), digests(before[::-1])).count() == 0
 
 
+def test_a_finding_has_one_digest_over_all_its_tables(spark):
+    def changed(before, after):
+        sides = [incremental.finding_digests({t: spark.createDataFrame(rows, kinds[t]) for t, rows in side.items()}, keys) for side in (before, after)]
+        assert [d.count() for d in sides] == [len({r[0] for r in side["findings"] if r[0] is not None}) for side in (before, after)]
+        return [r.key for r in changed_keys(*sides).orderBy("key").collect()]
+
+    kinds = {"findings": "id long, a string", "user_status": "id long, a string"}
+    keys = dict.fromkeys(kinds, "id")
+    before = {"findings": [(1, "x"), (2, "x"), (2, "x"), (3, "x"), (4, "x"), (None, "x")], "user_status": [(1, "y"), (3, "y"), (3, "z"), (7, "y")]}
+    assert changed(before, {t: rows[::-1] for t, rows in before.items()}) == []
+    moved = {"findings": [(1, "y"), (2, "x"), (3, "x"), (4, "x"), (7, "x")], "user_status": [(1, "x"), (3, "z"), (3, "y"), (7, "y"), (8, "y")]}
+    assert changed(before, moved) == [1, 2, 7]  # 1: its rows' values change places; 8 is no finding
+    assert changed(before, {**before, "user_status": before["user_status"] + [(4, None)]}) == [4]
+
+
+def test_sums_of_digests_pass_64_bits(spark):
+    rows = spark.range(0, 100_000, numPartitions=4).selectExpr("id % 2 AS id", "id AS a")
+    hashes = rows.where("id = 1").select(F.xxhash64("a", F.col("a").isNull(), "id", F.col("id").isNull())).collect()
+    found = {r.key: r.digest for r in table_digests(rows, "id").collect()}
+    assert found.keys() == {0, 1} and (found[1] - sum(h[0] for h in hashes)) % (1 << 64) == 0
+
+
+def test_stored_steps_leave_no_shuffle_files(spark, tables, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+    small = {**tables, "findings": tables["findings"].where("id % 50 = 1")}
+    before = shuffled()
+    run = run_incrementally(spark, small, FANOUT_RULES, f"file://{tmp_path}/runs")
+    assert shuffled() <= before
+    digests = spark.read.parquet(f"{run.version.data}/digests").where("table = 'findings'")
+    assert digests.count() == small["findings"].count()
+
+
 def test_counts_are_kept_by_additions_and_retractions(spark):
     schema = "finding_id long, rule_number int, group_key array<string>, row_copies long"
     counts = spark.createDataFrame([(0, ["a"], 5), (0, ["b"], 2), (1, [None], 1)], "rule_number int, group_key array<string>, findings_count long")
